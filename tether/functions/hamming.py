@@ -1,4 +1,4 @@
-"""Position-wise string similarity and the keys that find similar words by equi-join."""
+"""Position-wise string similarity."""
 
 from __future__ import annotations
 
@@ -25,64 +25,3 @@ def allowed_differences(length: Column, threshold: float) -> Column:
         return (1.0 - d / length) > threshold
 
     return F.when(passes(guess), guess).when(passes(guess - 1), guess - 1).otherwise(F.greatest(guess - 2, F.lit(0)))
-
-
-def partner_lengths(length: Column, threshold: float, longest: Column) -> Column:
-    """Lengths greater than ``length``, up to ``longest``, that a similar longer word can have."""
-    # A longer word of n positions needs length/n > threshold, so the list ends soon after length/threshold.
-    last = F.least(F.floor(length / F.lit(max(threshold, 1e-9))) + 1, longest).cast("int")
-    extra = F.filter(F.sequence(F.lit(0), F.greatest(last - length, F.lit(0))), lambda e: e > 0)
-    return F.filter(
-        F.transform(extra, lambda e: length + e),
-        lambda n: n - length <= allowed_differences(n, threshold),
-    )
-
-
-def _part(word: Column, index: Column, start: Column, size: Column, parts: Column) -> tuple[Column, Column]:
-    """Text and end offset of one of ``parts`` even pieces of the stretch ``[start, start + size)``."""
-    begin = start + F.floor(index * size / parts).cast("int")
-    end = start + F.floor((index + 1) * size / parts).cast("int")
-    return F.substr(word, begin + 1, end - begin), end
-
-
-def part_keys(word: Column, length: Column, threshold: float) -> Column:
-    """Hash keys of ``word`` seen as a word of ``length`` positions; any two similar words share at least one.
-
-    With ``k`` differences allowed, the positions are cut into blocks and the budget of ``k + 1`` differences is dealt out among them,
-    two or three to a block. In at least one block the two words then differ in fewer places than its share ``u``, so of ``u + 1``
-    even parts at least two are equal: each pair of parts makes a key. Parts beyond the end of a shorter word differ anyway and give
-    no key. The pairs read about two thirds of a block, which keeps groups of equal keys small.
-    """
-    budget = allowed_differences(length, threshold) + 1
-    # Below one half a block may be shorter than its number of parts; one block with single parts is still complete there.
-    paired = threshold >= 0.5
-    blocks = F.greatest(F.lit(1), F.floor(budget / 2).cast("int")) if paired else F.lit(1)
-    size = F.length(word)
-
-    def share(total: Column, j: Column) -> Column:
-        return F.floor(j * total / blocks).cast("int")
-
-    def block(j: Column) -> Column:
-        start = share(length, j)
-        width = share(length, j + 1) - start
-        units = share(budget, j + 1) - share(budget, j)
-
-        def single(i: Column) -> Column:
-            text, end = _part(word, i, start, width, units)
-            return F.when(end <= size, F.xxhash64(length, j, i, text))
-
-        def pair(i: Column, m: Column) -> Column:
-            first, _ = _part(word, i, start, width, units + 1)
-            second, end = _part(word, m, start, width, units + 1)
-            return F.when(end <= size, F.xxhash64(length, j, i, m, first, second))
-
-        if not paired:
-            return F.transform(F.sequence(F.lit(0), units - 1), single)
-        return F.flatten(
-            F.transform(
-                F.sequence(F.lit(0), units - 1),
-                lambda i: F.transform(F.sequence(i + 1, units), lambda m: pair(i, m)),
-            )
-        )
-
-    return F.array_distinct(F.array_compact(F.flatten(F.transform(F.sequence(F.lit(0), blocks - 1), block))))

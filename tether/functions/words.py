@@ -6,13 +6,15 @@ mentions.
 
 from __future__ import annotations
 
+import string
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 # Characters that end a token, as a regex class body.
 SEPARATORS = r"""\t\n\x0B\f\r ,;:()\[\]{}<>"?!@#$%&"""
 # Marks that stand alone between tokens.
-BREAKS = r"--|\.\.\.|''|``"
+BREAKS = ("--", "...", "''", "``")
 # English clitics split from the word before them.
 CLITICS = r"(n't|N'T|'(?:s|S|m|M|d|D|ll|LL|re|RE|ve|VE))\b"
 
@@ -31,11 +33,15 @@ STOP_WORDS = (
     "shan shan't shouldn shouldn't wasn wasn't weren weren't won won't wouldn wouldn't"
 ).split()
 
+# The letters are listed rather than given as a range: the regex engine then tests one table per character.
+_LETTERS = string.ascii_letters
 _GAP = "\u0001"
 
 
 def _split_ready(text: Column) -> Column:
-    return F.regexp_replace(F.regexp_replace(text, BREAKS, " "), CLITICS, " $1")
+    for mark in BREAKS:
+        text = F.replace(text, F.lit(mark), F.lit(" "))
+    return F.when(F.contains(text, F.lit("'")), F.regexp_replace(text, CLITICS, " $1")).otherwise(text)
 
 
 def tokens(text: Column) -> Column:
@@ -66,14 +72,17 @@ def nonempty(words: Column) -> Column:
     return F.filter(words, lambda w: w != "")
 
 
-def clean_words(text: Column) -> Column:
-    """Cleaned, non-empty words of ``text`` in order.
+def clean_text(text: Column) -> Column:
+    """``text`` with its words cleaned in place: only letters and separators are left.
 
-    Equal to cleaning each of ``tokens`` in turn, but done on the whole text in a fixed number of passes: none of the deletions can
-    reach over a separator, so they may run before the split.
+    None of the deletions can reach over a separator, so they may run on the whole text, before the split.
     """
-    kept = F.regexp_replace(strip_hex(_split_ready(text)), f"[^A-Za-z{SEPARATORS}]+", "")
-    return F.regexp_extract_all(kept, F.lit("[A-Za-z]+"), F.lit(0))
+    return F.regexp_replace(strip_hex(_split_ready(text)), f"[^{_LETTERS}{SEPARATORS}]+", "")
+
+
+def clean_words(text: Column) -> Column:
+    """Cleaned, non-empty words of ``text`` in order; equal to cleaning each of ``tokens`` in turn."""
+    return F.regexp_extract_all(clean_text(text), F.lit(f"[{_LETTERS}]+"), F.lit(0))
 
 
 def rule_tag(word: Column) -> Column:
@@ -122,3 +131,22 @@ def noun_runs(tagged: Column, max_run: int | None = None) -> Column:
 def mentions(tagged: Column, stop_words: list[str] | None = None, max_run: int | None = None) -> Column:
     """Mention bag of one document: single nouns in text order, then runs; duplicates kept."""
     return F.concat(noun_words(tagged, stop_words), noun_runs(tagged, max_run))
+
+
+def rule_mentions(cleaned: Column, stop_words: list[str] | None = None, max_run: int | None = None) -> Column:
+    """``mentions`` under ``rule_tag``, taken straight from a ``clean_text`` column.
+
+    Words that are no proper nouns never become array elements, which is most of the work on ordinary text.
+    """
+    listed = STOP_WORDS if stop_words is None else stop_words
+    capital_stops = [w for w in listed if w[:1].isupper()]
+    words = F.filter(F.regexp_extract_all(cleaned, F.lit(f"[A-Z](?<![{_LETTERS}].)[{_LETTERS}]*+"), F.lit(0)), long_or_acronym)
+    if capital_stops:
+        words = F.filter(words, lambda w: ~w.isin(capital_stops))
+    # A full stop takes the place of every other word; between full stops only proper nouns are left.
+    gaps = F.regexp_replace(cleaned, f"[a-z](?<![{_LETTERS}].)[{_LETTERS}]*+", ".")
+    chunks = F.transform(F.split(gaps, rf"\.[.{SEPARATORS}]*+", -1), lambda c: F.trim(F.regexp_replace(c, f"[{SEPARATORS}]+", " ")))
+    runs = F.filter(chunks, lambda c: F.contains(c, F.lit(" ")))
+    if max_run is not None:
+        runs = F.filter(runs, lambda c: F.size(F.split(c, " ", -1)) <= max_run)
+    return F.concat(words, runs)

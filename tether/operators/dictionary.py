@@ -6,6 +6,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from tether.operators.rows import exploded
+
 _SPACE = r"[ \t\n\x0B\f\r]+"
 _GRAM = 3
 
@@ -39,7 +41,7 @@ def dictionary_labels(docs: DataFrame, labels: DataFrame, id_column: str = "warc
     Records holding an anchor are then checked for the whole label. A label of blanks only names nothing and is left out.
     """
     texts = docs.where(F.col(id_column).isNotNull()).select(F.col(id_column).alias("id"), F.col(text_column).alias("text"))
-    words = texts.select("id", F.explode(F.array_distinct(_pieces(F.col("text")))).alias("word")).where("word <> ''")
+    words = exploded(texts, ["id"], F.array_distinct(_pieces(F.col("text"))), "word").where("word <> ''")
     vocabulary = words.groupBy("word").agg(F.count("*").alias("df"))
 
     named = labels.select("label", "kb_id").where("label <> ''").distinct()
@@ -64,7 +66,7 @@ def dictionary_labels(docs: DataFrame, labels: DataFrame, id_column: str = "warc
     )
     parts = short.where("anchor <> ''").select("anchor").distinct()
     held = (
-        vocabulary.select("word", F.explode(_grams(F.col("word"))).alias("gram"))
+        exploded(vocabulary, ["word"], _grams(F.col("word")), "gram")
         .join(parts.select("anchor", F.substr("anchor", F.lit(1), F.lit(_GRAM)).alias("gram")), "gram")
         .where(F.contains("word", "anchor"))
         .select("word", "anchor")

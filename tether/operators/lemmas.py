@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tether.operators.rows import exploded
+
 # Noun endings and what replaces them, in order of preference.
 NOUN_ENDINGS = (
     ("s", ""),
@@ -55,9 +57,7 @@ def lemmas(words: DataFrame, lexicon: DataFrame, exceptions: DataFrame | None =
     ``lexicon`` is a table ``word``; ``exceptions`` is ``(word, form)`` and, for a word it lists, replaces the rules.
     """
     distinct = words.select("word").distinct()
-    forms = distinct.select("word", F.posexplode(lemma_forms(F.col("word"))).alias("turn", "f")).select(
-        "word", "turn", "f.level", "f.form"
-    )
+    forms = exploded(distinct, ["word"], lemma_forms(F.col("word")), "f", "turn").select("word", "turn", "f.level", "f.form")
     if exceptions is not None:
         listed = exceptions.select("word").distinct()
         forms = forms.join(listed, "word", "left_anti").unionByName(
@@ -72,7 +72,7 @@ def lemmas(words: DataFrame, lexicon: DataFrame, exceptions: DataFrame | None =
 
 def lemmatise_words(words: DataFrame, lexicon: DataFrame, exceptions: DataFrame | None = None) -> DataFrame:
     """``(warc_id, words)`` with every word replaced by its lemma; each distinct word is looked up once."""
-    rows = words.select("warc_id", F.posexplode("words").alias("pos", "word"))
+    rows = exploded(words, ["warc_id"], "words", "word", "pos")
     changed = lemmas(rows, lexicon, exceptions).where("lemma <> word")
     back = (
         rows.join(changed, "word", "left")

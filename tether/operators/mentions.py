@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tether.functions import words as fw
 from tether.operators.lemmas import lemmatise_words
+from tether.operators.rows import exploded
 
 
 def word_arrays(docs: DataFrame, lexicon: DataFrame | None = None, exceptions: DataFrame | None = None) -> DataFrame:
@@ -24,7 +25,7 @@ def word_arrays(docs: DataFrame, lexicon: DataFrame | None = None, exceptions: D
 
 def token_rows(words: DataFrame, column: str = "words") -> DataFrame:
     """Long form ``(warc_id, pos, word)`` of a word array column."""
-    return words.select("warc_id", F.posexplode(column).alias("pos", "word"))
+    return exploded(words, ["warc_id"], column, "word", "pos")
 
 
 def remove_stop_words(rows: DataFrame, stop_words: list[str] | None = None) -> DataFrame:
@@ -62,7 +63,7 @@ def tag_tokens(words: DataFrame, lexicon: DataFrame | None = None) -> DataFrame:
 
 def tag_lexicon(words: DataFrame, min_share: float = 0.5) -> DataFrame:
     """Tag of each lower-cased word by use: a proper noun if at least ``min_share`` of its uses are capitalised."""
-    spelled = words.select(F.explode("words").alias("word")).groupBy("word").agg(F.count("*").alias("n"))
+    spelled = exploded(words, [], "words", "word").groupBy("word").agg(F.count("*").alias("n"))
     capital = F.when(F.col("word").rlike("^[A-Z]"), F.col("n")).otherwise(F.lit(0))
     return (
         spelled.groupBy(F.lower("word").alias("word"))
@@ -81,16 +82,22 @@ def mention_arrays(tagged: DataFrame, stop_words: list[str] | None = None, max_r
     return tagged.select("warc_id", fw.mentions(F.col("tagged"), stop_words, max_run).alias("mentions"))
 
 
+def text_mention_arrays(docs: DataFrame, stop_words: list[str] | None = None, max_run: int | None = None) -> DataFrame:
+    """``mention_arrays`` of documents under the capitalisation rule, in a fixed number of passes over each text."""
+    cleaned = docs.select("warc_id", fw.clean_text(F.col("body")).alias("cleaned"))
+    return cleaned.select("warc_id", fw.rule_mentions(F.col("cleaned"), stop_words, max_run).alias("mentions"))
+
+
 def mention_rows(arrays: DataFrame) -> DataFrame:
     """Long form ``(warc_id, ord, kind, mention)`` of a mention bag."""
     kind = F.when(F.contains("mention", F.lit(" ")), F.lit("run")).otherwise(F.lit("word"))
-    return arrays.select("warc_id", F.posexplode("mentions").alias("ord", "mention")).withColumn("kind", kind)
+    return exploded(arrays, ["warc_id"], "mentions", "mention", "ord").withColumn("kind", kind)
 
 
 def mention_counts(arrays: DataFrame) -> DataFrame:
     """``(warc_id, mention, n, n_mentions)``: distinct mentions with their count and the size of the record's whole bag."""
     return (
-        arrays.select("warc_id", F.size("mentions").cast("long").alias("n_mentions"), F.explode("mentions").alias("mention"))
+        exploded(arrays, ["warc_id", F.size("mentions").cast("long").alias("n_mentions")], "mentions", "mention")
         .groupBy("warc_id", "mention")
         .agg(F.count("*").alias("n"), F.max("n_mentions").alias("n_mentions"))
     )
@@ -104,7 +111,8 @@ def typed_entities(tagged: DataFrame, gazetteer: DataFrame, types: list[str] | N
     known = gazetteer.select(F.col("name").alias("entity"), "type").distinct()
     if types is not None:
         known = known.where(F.col("type").isin(types))
-    return tagged.select("warc_id", F.posexplode(fw.noun_chunks(F.col("tagged"))).alias("pos", "entity")).join(known, "entity")
+    chunks = tagged.select("warc_id", fw.noun_chunks(F.col("tagged")).alias("chunks"))
+    return exploded(chunks, ["warc_id"], "chunks", "entity", "pos").join(known, "entity")
 
 
 def entity_types(entities: DataFrame) -> DataFrame:

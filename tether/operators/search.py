@@ -20,6 +20,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from tether.operators.rows import exploded
+
 
 def label_words(text: Column) -> Column:
     """Lower-case words of a label or mention."""
@@ -37,7 +39,7 @@ def _by_commonness(rows: DataFrame, keys: list[str], weights: DataFrame) -> Data
 
 def _prefixes(rows: DataFrame, keys: list[str]) -> DataFrame:
     """One row per word of ``feats``: the word, its prefix as a string key and the prefix itself."""
-    at = rows.select(*keys, "feats", F.posexplode("feats").alias("at", "feat"))
+    at = exploded(rows, [*keys, "feats"], "feats", "feat", "at")
     prefix = F.slice("feats", F.lit(1), F.col("at") + 1)
     return at.select(
         *keys,
@@ -57,7 +59,7 @@ def word_weights(labels: DataFrame) -> DataFrame:
     rows = labels.select("kb_id", "label").distinct()
     n_labels = rows.agg(F.count("*").alias("n_labels")).scalar()
     return (
-        rows.select(F.explode(F.array_distinct(label_words(F.col("label")))).alias("word"))
+        exploded(rows, [], F.array_distinct(label_words(F.col("label"))), "word")
         .groupBy("word")
         .agg(F.count("*").alias("df"))
         .select(
@@ -78,7 +80,7 @@ def search_hits(mentions: DataFrame, labels: DataFrame, size: int = 100) -> Data
 
     label_rows = labels.select("kb_id", "label").distinct().withColumn("words", label_words(F.col("label")))
     label_feats = _by_commonness(
-        label_rows.select("kb_id", "label", F.size("words").alias("n_words"), F.explode(F.array_distinct("words")).alias("word")),
+        exploded(label_rows, ["kb_id", "label", F.size("words").alias("n_words")], F.array_distinct("words"), "word"),
         ["kb_id", "label", "n_words"],
         weights,
     )
@@ -91,7 +93,7 @@ def search_hits(mentions: DataFrame, labels: DataFrame, size: int = 100) -> Data
     )
 
     mention_feats = _by_commonness(
-        mentions.select("mention").distinct().select("mention", F.explode(F.array_distinct(label_words(F.col("mention")))).alias("word")),
+        exploded(mentions.select("mention").distinct(), ["mention"], F.array_distinct(label_words(F.col("mention"))), "word"),
         ["mention"],
         weights,
     ).withColumn("query", F.array_join(F.transform("feats", lambda f: f["word"]), " "))

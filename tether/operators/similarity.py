@@ -5,25 +5,80 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tether.functions.hamming import hamming_similarity, part_keys, partner_lengths
+from tether.functions.hamming import allowed_differences, hamming_similarity
 
 
-def _keyed(words: DataFrame, others: DataFrame, word: str, threshold: float) -> DataFrame:
-    """Rows ``(word, is_longer, key)``: each word under its own length and under the lengths of longer partners that exist."""
+def _int(column: Column) -> Column:
+    return F.floor(column).cast("int")
+
+
+def _with_longer_lengths(words: DataFrame, others: DataFrame, word: str, threshold: float) -> DataFrame:
+    """Each word under its own length ``n`` and, as the shorter one, under lengths a similar word of ``others`` has."""
     length = F.length(word)
     other_lengths = others.select(F.length(others.columns[0]).alias("n")).distinct()
     longest = other_lengths.agg(F.coalesce(F.max("n"), F.lit(0))).scalar()
     own = words.select(word, length.alias("n"), F.lit(True).alias("is_longer"))
+    # A longer word of n positions needs length/n > threshold, so the list ends soon after length/threshold.
+    last = F.least(_int(length / F.lit(max(threshold, 1e-9))) + 1, longest)
     as_shorter = (
-        words.withColumn("longest", longest)
-        .select(word, F.explode(partner_lengths(length, threshold, F.col("longest"))).alias("n"))
+        words.withColumn("last", last)
+        .where(F.col("last") > length)
+        .select(word, F.explode(F.sequence(length + 1, F.col("last"))).alias("n"))
+        .where(F.col("n") - length <= allowed_differences(F.col("n"), threshold))
         .join(other_lengths, "n", "left_semi")
         .select(word, "n", F.lit(False).alias("is_longer"))
     )
-    return own.unionByName(as_shorter).select(
-        word, "is_longer", F.explode(part_keys(F.col(word), F.col("n"), threshold)).alias("key")
+    return own.unionByName(as_shorter)
+
+
+def part_keys(words: DataFrame, word: str, threshold: float) -> DataFrame:
+    """Rows ``(word, is_longer, key)`` for ``words (word, n, is_longer)``: keys of a word seen as one of ``n`` positions.
+
+    Any two words similar over ``n`` positions share at least one key. With ``k`` differences allowed, the positions are cut into
+    blocks and a budget of ``k + 1`` differences is dealt out among them, two or three to a block. In at least one block the two words
+    then differ in fewer places than its share ``u``, so of its ``u + 1`` even parts at least two are equal: each two parts make a
+    key. Parts beyond the end of a shorter word differ anyway and give no key. A key reads about two thirds of a block, which keeps
+    groups of equal keys small.
+    """
+    # Below one half a block could have more parts than positions; one block with a part for each unit is complete there.
+    paired = threshold >= 0.5
+    budget = words.withColumn("budget", allowed_differences(F.col("n"), threshold) + 1)
+    blocks = F.greatest(F.lit(1), _int(F.col("budget") / 2)) if paired else F.lit(1)
+
+    def share(total: str, j: Column) -> Column:
+        return _int(j * F.col(total) / F.col("blocks"))
+
+    j = F.col("j")
+    block = (
+        budget.withColumn("blocks", blocks)
+        .withColumn("j", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+        .select(
+            word,
+            "n",
+            "is_longer",
+            "j",
+            share("n", j).alias("start"),
+            (share("n", j + 1) - share("n", j)).alias("width"),
+            (share("budget", j + 1) - share("budget", j)).alias("units"),
+        )
     )
 
+    def begin(part: Column, parts: Column) -> Column:
+        return F.col("start") + _int(part * F.col("width") / parts)
+
+    def text(part: Column, parts: Column) -> Column:
+        return F.substr(word, begin(part, parts) + 1, begin(part + 1, parts) - begin(part, parts))
+
+    a, b, units = F.col("a"), F.col("b"), F.col("units")
+    first = block.withColumn("a", F.explode(F.sequence(F.lit(0), units - 1)))
+    if paired:
+        parts = first.withColumn("b", F.explode(F.sequence(a + 1, units))).where(begin(b + 1, units + 1) <= F.length(word))
+        key = F.xxhash64("n", "j", "a", "b", text(a, units + 1), text(b, units + 1))
+    else:
+        parts = first.where(begin(a + 1, units) <= F.length(word))
+        key = F.xxhash64("n", "j", "a", text(a, units))
+    return parts.select(word, "is_longer", key.alias("key"))
+
 
 def similar_words(left: DataFrame, right: DataFrame, threshold: float = 0.8) -> DataFrame:
     """All pairs ``(word_a, word_b)`` of the distinct, non-empty words of two one-column tables with similarity above ``threshold``.
@@ -35,8 +90,8 @@ def similar_words(left: DataFrame, right: DataFrame, threshold: float = 0.8) ->
         raise ValueError("threshold must be at least 0 and less than 1")
     a = left.select(F.col(left.columns[0]).alias("word_a")).where("word_a <> ''").distinct()
     b = right.select(F.col(right.columns[0]).alias("word_b")).where("word_b <> ''").distinct()
-    ka = _keyed(a, b, "word_a", threshold).withColumnRenamed("is_longer", "a_longer")
-    kb = _keyed(b, a, "word_b", threshold).withColumnRenamed("is_longer", "b_longer")
+    ka = part_keys(_with_longer_lengths(a, b, "word_a", threshold), "word_a", threshold).withColumnRenamed("is_longer", "a_longer")
+    kb = part_keys(_with_longer_lengths(b, a, "word_b", threshold), "word_b", threshold).withColumnRenamed("is_longer", "b_longer")
     close: Column = hamming_similarity(F.col("word_a"), F.col("word_b")) > threshold
     return (
         ka.join(kb, "key")

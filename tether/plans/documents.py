@@ -27,6 +27,8 @@ def document_mentions(
 
     Mentions are proper nouns and their runs. With a ``gazetteer (name, type)`` they are the distinct typed entities instead.
     """
+    if tag_lexicon is None and lemma_lexicon is None and gazetteer is None:
+        return m.text_mention_arrays(docs, stop_words, max_run)
     tagged = m.tag_tokens(m.word_arrays(docs, lemma_lexicon), tag_lexicon)
     if gazetteer is not None:
         return m.entity_mentions(m.typed_entities(tagged, gazetteer))

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from tether.functions import words as fw
 from tether.functions.keys import ABSTRACT, KB_NAMESPACE, SAME_AS
 from tether.functions.markup import CONTENT_TYPE, RECORD_KEY
@@ -43,7 +45,8 @@ STOP_LIST = ", ".join(q(w) for w in fw.STOP_WORDS)
 
 
 def text_ctes(p: str, source: str) -> None:
-    spaced = rf"regexp_replace(regexp_replace(body, {q(fw.BREAKS)}, ' ', 'g'), {q(fw.CLITICS)}, ' \1', 'g')"
+    breaks = "|".join(re.escape(mark) for mark in fw.BREAKS)
+    spaced = rf"regexp_replace(regexp_replace(body, {q(breaks)}, ' ', 'g'), {q(fw.CLITICS)}, ' \1', 'g')"
     cte(
         f"{p}_tokens",
         f"""SELECT warc_id, unnest(l) AS token, unnest(range(len(l))) AS pos

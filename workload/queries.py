@@ -11,6 +11,7 @@ from tether.functions import hamming, keys, markup
 from tether.functions import words as fw
 from tether.operators import dictionary, evaluation, graph, lemmas, scoring, search, similarity
 from tether.operators import mentions as m
+from tether.operators.rows import exploded
 from tether.plans import documents as pd
 from tether.plans import linking
 from tether.session import fresh_path, stored
@@ -38,20 +39,22 @@ def _tagged(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _tagged_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _tagged(spark, sf_dir).select("warc_id", F.posexplode("tagged").alias("pos", "t")).select("warc_id", "pos", "t.word", "t.tag")
+    rows = exploded(_tagged(spark, sf_dir), ["warc_id"], "tagged", "t", "pos")
+    return rows.select("warc_id", "pos", "t.word", "t.tag")
 
 
 def _arrays(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return m.mention_arrays(_tagged(spark, sf_dir))
+    return pd.document_mentions(t.docs(spark, sf_dir))
 
 
 def _mentions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _arrays(spark, sf_dir).select(F.explode("mentions").alias("mention")).distinct()
+    """Distinct mentions of the corpus."""
+    return stored(exploded(_arrays(spark, sf_dir), [], "mentions", "mention").distinct(), "mentions")
 
 
 def _raw_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Distinct tokens with their number of uses."""
-    tokens = t.docs(spark, sf_dir).select(F.explode(fw.tokens(F.col("body"))).alias("token"))
+    tokens = exploded(t.docs(spark, sf_dir), [], fw.tokens(F.col("body")), "token")
     return tokens.groupBy("token").agg(F.count("*").alias("n"))
 
 
@@ -75,12 +78,17 @@ def _abstracts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _nouns(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return linking.description_nouns(graph.english_abstracts(_abstracts(spark, sf_dir)))
+    return stored(linking.description_nouns(graph.english_abstracts(_abstracts(spark, sf_dir))), "nouns")
+
+
+def _knowledge(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """Labels and triples as stored tables, as a knowledge base would come."""
+    return stored(t.kb_labels(spark, sf_dir), "labels"), stored(t.kb_triples(spark, sf_dir), "triples")
 
 
 def _scored(spark: SparkSession, sf_dir: str, normalize: str = "document") -> DataFrame:
     counts = stored(m.mention_counts(_arrays(spark, sf_dir)), "mentions")
-    return linking.scored_candidates(counts, t.kb_labels(spark, sf_dir), t.kb_triples(spark, sf_dir), normalize=normalize)
+    return linking.scored_candidates(counts, *_knowledge(spark, sf_dir), normalize=normalize)
 
 
 def _gold(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -144,7 +152,7 @@ def document_mentions(spark, sf_dir):
 
 @query
 def tokens(spark, sf_dir):
-    return t.docs(spark, sf_dir).select("warc_id", F.posexplode(fw.tokens(F.col("body"))).alias("pos", "token"))
+    return exploded(t.docs(spark, sf_dir), ["warc_id"], fw.tokens(F.col("body")), "token", "pos")
 
 
 @query
@@ -201,7 +209,7 @@ def tag_lexicon(spark, sf_dir):
 def tag_tokens(spark, sf_dir):
     words = _words(spark, sf_dir)
     tagged = m.tag_tokens(words, m.tag_lexicon(words))
-    rows = tagged.select(F.explode("tagged").alias("t")).select("t.word", "t.tag")
+    rows = exploded(tagged, [], "tagged", "t").select("t.word", "t.tag")
     return rows.groupBy("word", "tag").agg(F.count("*").alias("n"))
 
 
@@ -210,12 +218,12 @@ def tag_tokens(spark, sf_dir):
 
 @query
 def noun_runs(spark, sf_dir):
-    return _tagged(spark, sf_dir).select("warc_id", F.posexplode(fw.noun_runs(F.col("tagged"))).alias("pos", "run"))
+    return exploded(_tagged(spark, sf_dir), ["warc_id"], fw.noun_runs(F.col("tagged")), "run", "pos")
 
 
 @query
 def mentions(spark, sf_dir):
-    return m.mention_rows(_arrays(spark, sf_dir))
+    return m.mention_rows(m.mention_arrays(_tagged(spark, sf_dir)))
 
 
 @query
@@ -331,9 +339,8 @@ def flatten_bindings(spark, sf_dir):
 def hamming_similarity(spark, sf_dir):
     """Each word against the next one of its document."""
     words = F.col("words")
-    pairs = _words(spark, sf_dir).select(
-        F.explode(F.arrays_zip(words.alias("a"), F.slice(words, F.lit(2), F.size(words)).alias("b"))).alias("p")
-    )
+    zipped = F.arrays_zip(words.alias("a"), F.slice(words, F.lit(2), F.size(words)).alias("b"))
+    pairs = exploded(_words(spark, sf_dir), [], zipped, "p")
     distinct = pairs.select("p.a", "p.b").where("b is not null").distinct()
     return distinct.select("a", "b", F.round(hamming.hamming_similarity(F.col("a"), F.col("b")), 6).alias("similarity"))
 
@@ -370,16 +377,14 @@ def link_threshold(spark, sf_dir):
 
 @query
 def link_entities(spark, sf_dir):
-    return linking.link_entities(t.docs(spark, sf_dir), t.kb_labels(spark, sf_dir), t.kb_triples(spark, sf_dir))
+    return linking.link_entities(t.docs(spark, sf_dir), *_knowledge(spark, sf_dir))
 
 
 @query
 def link_entities_with_lexicon(spark, sf_dir):
     """Links with tags learned from the corpus: words mostly in lower case are no proper nouns."""
     lexicon = stored(m.tag_lexicon(_words(spark, sf_dir)).select("word", "tag"), "lexicon")
-    return linking.link_entities(
-        t.docs(spark, sf_dir), t.kb_labels(spark, sf_dir), t.kb_triples(spark, sf_dir), tag_lexicon=lexicon
-    )
+    return linking.link_entities(t.docs(spark, sf_dir), *_knowledge(spark, sf_dir), tag_lexicon=lexicon)
 
 
 @query
