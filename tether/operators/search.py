@@ -21,6 +21,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from tether.operators.rows import exploded
+from tether.session import stored
 
 
 def label_words(text: Column) -> Column:
@@ -37,16 +38,21 @@ def _by_commonness(rows: DataFrame, keys: list[str], weights: DataFrame) -> Data
     )
 
 
+def _short_key(words: Column) -> Column:
+    """Words as one string to group by, digested where that would be long."""
+    text = F.array_join(words, " ")
+    return F.when(F.length(text) > 64, F.sha2(text, 256)).otherwise(text)
+
+
+def _words_of(feats: Column) -> Column:
+    return F.transform(feats, lambda f: f["word"])
+
+
 def _prefixes(rows: DataFrame, keys: list[str]) -> DataFrame:
-    """One row per word of ``feats``: the word, its prefix as a string key and the prefix itself."""
+    """One row per word of ``feats``: the word, a key of its prefix and the prefix itself."""
     at = exploded(rows, [*keys, "feats"], "feats", "feat", "at")
     prefix = F.slice("feats", F.lit(1), F.col("at") + 1)
-    return at.select(
-        *keys,
-        F.col("feat.word").alias("word"),
-        F.array_join(F.transform(prefix, lambda f: f["word"]), " ").alias("prefix_key"),
-        prefix.alias("prefix"),
-    )
+    return at.select(*keys, F.col("feat.word").alias("word"), _short_key(_words_of(prefix)).alias("prefix_key"), prefix.alias("prefix"))
 
 
 def _relevance(shared: Column, n_words: Column) -> Column:
@@ -92,25 +98,22 @@ def search_hits(mentions: DataFrame, labels: DataFrame, size: int = 100) -> Data
         .select("word", F.col("prefix").alias("label_prefix"), "kb_id", "label", "n_words")
     )
 
-    mention_feats = _by_commonness(
-        exploded(mentions.select("mention").distinct(), ["mention"], F.array_distinct(label_words(F.col("mention"))), "word"),
-        ["mention"],
-        weights,
-    ).withColumn("query", F.array_join(F.transform("feats", lambda f: f["word"]), " "))
+    mention_words = F.array_distinct(label_words(F.col("mention")))
+    mention_feats = stored(
+        _by_commonness(exploded(mentions.select("mention").distinct(), ["mention"], mention_words, "word"), ["mention"], weights).select(
+            "mention", "feats", _short_key(_words_of(F.col("feats"))).alias("query")
+        ),
+        "mention-words",
+    )
     query_prefixes = _prefixes(mention_feats.select("query", "feats").distinct(), ["query"])
 
     in_prefix = W.partitionBy("prefix_key").orderBy(*hit_order)
+    shared = F.filter("label_prefix", lambda f: F.array_contains("prefix", f["word"]))
     prefix_hits = (
-        query_prefixes.select("word", "prefix_key", "prefix")
+        query_prefixes.select("word", "prefix_key", _words_of(F.col("prefix")).alias("prefix"))
         .distinct()
         .join(postings, "word")
-        .select(
-            "prefix_key",
-            "kb_id",
-            "label",
-            "n_words",
-            _relevance(F.array_intersect("prefix", "label_prefix"), F.col("n_words")).alias("search_score"),
-        )
+        .select("prefix_key", "kb_id", "label", "n_words", _relevance(shared, F.col("n_words")).alias("search_score"))
         .withColumn("place", F.row_number().over(in_prefix))
         .where(F.col("place") <= size)
         .drop("place")

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from tether.operators import graph, scoring, search
 from tether.operators.mentions import mention_counts
 from tether.plans.documents import document_mentions
-from tether.session import stored
+from tether.session import spread, stored
 
 
 def description_nouns(abstracts: DataFrame, **mention_options) -> DataFrame:
@@ -63,7 +63,7 @@ def best_links(
     **mention_options,
 ) -> DataFrame:
     """``(warc_id, mention, n, kb_id, score)``: the link of each distinct mention and how often the record has it."""
-    counts = stored(mention_counts(document_mentions(docs, **mention_options)), "mentions")
+    counts = stored(mention_counts(document_mentions(spread(docs, "warc_id"), **mention_options)), "mentions")
     scored = scored_candidates(
         counts, labels, triples, word_threshold, size, results, english, normalize, threshold, **mention_options
     )

@@ -56,3 +56,13 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     path = fresh_path(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def spread(df: DataFrame, key: str) -> DataFrame:
+    """Hash-partition ``df`` by ``key`` over all cores if it comes in fewer partitions than there are cores.
+
+    For few or badly split input files before costly row work. Inputs that already keep every core busy are left alone, so no large
+    table is shuffled for this.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores, key) if df.rdd.getNumPartitions() < cores else df

@@ -81,9 +81,14 @@ def _nouns(spark: SparkSession, sf_dir: str) -> DataFrame:
     return stored(linking.description_nouns(graph.english_abstracts(_abstracts(spark, sf_dir))), "nouns")
 
 
+def _labels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return stored(t.kb_labels(spark, sf_dir), "labels")
+
+
 def _knowledge(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     """Labels and triples as stored tables, as a knowledge base would come."""
-    return stored(t.kb_labels(spark, sf_dir), "labels"), stored(t.kb_triples(spark, sf_dir), "triples")
+    labels = _labels(spark, sf_dir)
+    return labels, stored(t.kb_triples(spark, sf_dir, labels), "triples")
 
 
 def _scored(spark: SparkSession, sf_dir: str, normalize: str = "document") -> DataFrame:
@@ -247,12 +252,12 @@ def entity_mentions(spark, sf_dir):
 
 @query
 def candidate_search(spark, sf_dir):
-    return search.search_hits(_mentions(spark, sf_dir), t.kb_labels(spark, sf_dir))
+    return search.search_hits(_mentions(spark, sf_dir), _labels(spark, sf_dir))
 
 
 @query
 def top_hits(spark, sf_dir):
-    return search.top_hits(search.search_hits(_mentions(spark, sf_dir), t.kb_labels(spark, sf_dir))).select(
+    return search.top_hits(search.search_hits(_mentions(spark, sf_dir), _labels(spark, sf_dir))).select(
         "mention", "rank", "kb_id", "label", "search_score"
     )
 
@@ -263,17 +268,17 @@ def _flat_sets(sets: DataFrame) -> DataFrame:
 
 @query
 def label_sets(spark, sf_dir):
-    return _flat_sets(search.search(_mentions(spark, sf_dir), t.kb_labels(spark, sf_dir)))
+    return _flat_sets(search.search(_mentions(spark, sf_dir), _labels(spark, sf_dir)))
 
 
 @query
 def best_candidates(spark, sf_dir):
-    return _flat_sets(search.best_candidates(_mentions(spark, sf_dir), t.kb_labels(spark, sf_dir)))
+    return _flat_sets(search.best_candidates(_mentions(spark, sf_dir), _labels(spark, sf_dir)))
 
 
 @query
 def flatten_hits(spark, sf_dir):
-    hits = search.search_hits(_mentions(spark, sf_dir), t.kb_labels(spark, sf_dir), 20)
+    hits = search.search_hits(_mentions(spark, sf_dir), _labels(spark, sf_dir), 20)
     source = F.struct("label", F.col("kb_id").alias("resource")).alias("_source")
     one = F.struct(F.col("search_score").alias("_score"), source).alias("hit")
     # At most twenty hits to a mention.
@@ -284,7 +289,7 @@ def flatten_hits(spark, sf_dir):
 
 @query
 def dictionary_labels(spark, sf_dir):
-    return dictionary.dictionary_labels(t.docs(spark, sf_dir), t.kb_labels(spark, sf_dir))
+    return dictionary.dictionary_labels(t.docs(spark, sf_dir), _labels(spark, sf_dir))
 
 
 # Knowledge base ------------------------------------------------------------------------------------------------------------------
@@ -313,7 +318,7 @@ def english_abstracts(spark, sf_dir):
 
 @query
 def candidates_with_abstract(spark, sf_dir):
-    candidates = search.best_candidates(_mentions(spark, sf_dir), t.kb_labels(spark, sf_dir))
+    candidates = search.best_candidates(_mentions(spark, sf_dir), _labels(spark, sf_dir))
     kept = graph.candidates_with_abstract(candidates, graph.english_abstracts(_abstracts(spark, sf_dir)))
     return kept.select("mention", "kb_id", "search_score")
 

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from tether.functions.keys import ABSTRACT, KB_NAMESPACE, SAME_AS, kb_iri
 from tether.functions.markup import CONTENT_TYPE, RECORD_KEY
 from tether.operators import mentions as m
-from tether.session import fresh_path
+from tether.session import fresh_path, spread
 
 # Names of the graph the triples stand for.
 THING = "http://graph.example/thing/"
@@ -26,7 +26,8 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def docs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents as ``(warc_id, body)``."""
-    return table(spark, sf_dir, "documents").select(F.col("doc_id").cast("string").alias("warc_id"), F.col("text").alias("body"))
+    rows = table(spark, sf_dir, "documents").select(F.col("doc_id").cast("string").alias("warc_id"), F.col("text").alias("body"))
+    return spread(rows, "warc_id")
 
 
 def items(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -49,7 +50,7 @@ def kb_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
     return named.unionByName(titles).distinct()
 
 
-def kb_triples(spark: SparkSession, sf_dir: str) -> DataFrame:
+def kb_triples(spark: SparkSession, sf_dir: str, labels: DataFrame | None = None) -> DataFrame:
     """``(s, p, o)``: one abstract per line of a passage; passages of several lines hang on two subjects, so paths to them repeat."""
     entity = items(spark, sf_dir).withColumn("iri", kb_iri(F.col("kb_id"))).withColumn("x", F.col("item_id").cast("string"))
 
@@ -60,7 +61,9 @@ def kb_triples(spark: SparkSession, sf_dir: str) -> DataFrame:
     several = entity.where(F.contains("text", F.lit("\n")))
     tagged = F.concat(F.lit('"'), F.col("value"), F.lit('"@'), F.col("lang"))
     lines = entity.select("x", "lang", F.explode(F.split("text", "\n", -1)).alias("value")).where("value <> ''")
-    names = kb_labels(spark, sf_dir).join(entity.select("kb_id", "iri", "lang"), "kb_id").withColumnRenamed("label", "value")
+    if labels is None:
+        labels = kb_labels(spark, sf_dir)
+    names = labels.join(entity.select("kb_id", "iri", "lang"), "kb_id").withColumnRenamed("label", "value")
     return (
         link(entity, THING, F.col("iri"))
         .unionByName(link(entity, THING, page))
