@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tether.functions import markup
@@ -13,6 +13,16 @@ from tether.functions import markup
 MARKER = "WARC/1.0"
 
 
+def line_separator(line_end: str = "\r\n") -> str:
+    """What ends a record for the text reader: a line break and the next marker line."""
+    return f"\n{MARKER}{line_end}"
+
+
+def record_text(value: Column) -> Column:
+    """A record as the text reader gives it, without the file's first marker line and without line breaks at its end."""
+    return F.rtrim(F.regexp_replace(value, rf"\A\Q{MARKER}\E[ \t]*\r?\n", ""), F.lit("\r\n"))
+
+
 def warc_records(
     spark: SparkSession,
     paths: str | Sequence[str],
@@ -30,22 +40,14 @@ def warc_records(
     records before the costly steps. ``drop_trailing`` leaves out the last record of each file, as a reader that emits a record
     only on meeting the next marker would.
     """
-    raw = (
-        spark.read.option("lineSep", f"\n{MARKER}{line_end}")
-        .text([paths] if isinstance(paths, str) else list(paths))
-        .select(
-            F.col("_metadata.file_path").alias("path"),
-            F.col("value").alias("raw"),
-            F.col("_metadata.file_block_start").alias("start"),
-        )
-    )
+    files = spark.read.option("lineSep", line_separator(line_end)).text([paths] if isinstance(paths, str) else list(paths))
+    raw = files.select("value", F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("start"))
     if drop_trailing:
         # Within a split ids grow in reading order, and splits of a file are ordered by where they start.
         raw = raw.withColumn("turn", F.struct("start", F.monotonically_increasing_id().alias("id")))
         last = raw.groupBy("path").agg(F.max("turn").alias("last"))
         raw = raw.join(last, "path").where(F.col("turn") < F.col("last"))
-    record = F.regexp_replace("raw", rf"\A\Q{MARKER}\E[ \t]*\r?\n", "")
-    records = raw.select("path", F.rtrim(record, F.lit("\r\n")).alias("record")).where("record <> ''")
+    records = raw.select("path", record_text(F.col("value")).alias("record")).where("record <> ''")
     return records if partitions is None else records.repartition(partitions)
 
 
