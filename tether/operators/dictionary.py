@@ -17,15 +17,11 @@ def _pieces(text: Column) -> Column:
     return F.split(text, _SPACE, -1)
 
 
-def _grams(piece: Column) -> Column:
-    """Distinct substrings of one to three characters, with a piece's start at every position."""
-    size = F.length(piece)
-
-    def of(width: int) -> Column:
-        starts = F.when(size >= width, F.sequence(F.lit(1), size - width + 1)).otherwise(F.array().cast("array<int>"))
-        return F.transform(starts, lambda i: F.substr(piece, i, F.lit(width)))
-
-    return F.array_distinct(F.concat(*[of(width) for width in range(1, _GRAM + 1)]))
+def _grams(words: DataFrame) -> DataFrame:
+    """``(word, gram)``: the substrings of one to three characters of each word."""
+    at = words.select("word", F.explode(F.sequence(F.lit(1), F.length("word"))).alias("at"))
+    sized = at.select("word", "at", F.explode(F.array(*[F.lit(w) for w in range(1, _GRAM + 1)])).alias("width"))
+    return sized.where(F.col("at") + F.col("width") - 1 <= F.length("word")).select("word", F.substr("word", F.col("at"), F.col("width")).alias("gram"))
 
 
 def dictionary_labels(docs: DataFrame, labels: DataFrame, id_column: str = "warc_id", text_column: str = "body") -> DataFrame:
@@ -38,7 +34,7 @@ def dictionary_labels(docs: DataFrame, labels: DataFrame, id_column: str = "warc
     * One or two words: the longest word must lie inside some word of the text. Which distinct text words hold it is settled by a
       join on character triples.
 
-    Records holding an anchor are then checked for the whole label. A label of blanks only names nothing and is left out.
+    Records holding an anchor are then checked for the whole label, unless the anchor is all of it. A label of blanks only names nothing and is left out.
     """
     texts = docs.where(F.col(id_column).isNotNull()).select(F.col(id_column).alias("id"), F.col(text_column).alias("text"))
     words = exploded(texts, ["id"], F.array_distinct(_pieces(F.col("text"))), "word").where("word <> ''")
@@ -66,19 +62,17 @@ def dictionary_labels(docs: DataFrame, labels: DataFrame, id_column: str = "warc
     )
     parts = short.where("anchor <> ''").select("anchor").distinct()
     held = (
-        exploded(vocabulary, ["word"], _grams(F.col("word")), "gram")
+        _grams(vocabulary)
         .join(parts.select("anchor", F.substr("anchor", F.lit(1), F.lit(_GRAM)).alias("gram")), "gram")
         .where(F.contains("word", "anchor"))
         .select("word", "anchor")
-    )
-    short_anchors = short.join(held, "anchor").select("label", "word")
-
-    near = words.join(inner_anchors.unionByName(short_anchors), "word").select("id", "label").distinct()
-    return (
-        near.join(texts, "id")
-        .where(F.contains("text", "label"))
-        .select("id", "label")
         .distinct()
-        .join(named, "label")
-        .select(F.col("id").alias(id_column), "label", "kb_id")
     )
+    # A label of one word is in the text once it is in a word of the text; only longer labels are looked at again.
+    short_anchors = short.join(held, "anchor").select("label", "word", (F.col("label") == F.col("anchor")).alias("settled"))
+    anchors = inner_anchors.select("label", "word", F.lit(False).alias("settled")).unionByName(short_anchors)
+
+    near = words.join(anchors, "word").groupBy("id", "label").agg(F.first("settled").alias("settled"))
+    checked = near.where(~F.col("settled")).join(texts, "id").where(F.contains("text", "label"))
+    found = near.where("settled").select("id", "label").unionByName(checked.select("id", "label"))
+    return found.join(named, "label").select(F.col("id").alias(id_column), "label", "kb_id")

@@ -12,26 +12,41 @@ def _int(column: Column) -> Column:
     return F.floor(column).cast("int")
 
 
-def _with_longer_lengths(words: DataFrame, others: DataFrame, word: str, threshold: float) -> DataFrame:
-    """Each word under its own length ``n`` and, as the shorter one, under lengths a similar word of ``others`` has."""
-    length = F.length(word)
-    other_lengths = others.select(F.length(others.columns[0]).alias("n")).distinct()
-    longest = other_lengths.agg(F.coalesce(F.max("n"), F.lit(0))).scalar()
-    own = words.select(word, length.alias("n"), F.lit(True).alias("is_longer"))
-    # A longer word of n positions needs length/n > threshold, so the list ends soon after length/threshold.
-    last = F.least(F.floor(length / F.lit(max(threshold, 1e-9))) + 1, longest).cast("int")
+def _longer_lengths(lengths: DataFrame, others: DataFrame, threshold: float) -> DataFrame:
+    """Rows of ``lengths`` with each length ``n`` that a similar word of ``others``, no shorter than ``length``, can have."""
+    # A longer word of n positions needs length/n > threshold, so the list ends soon after length/threshold. For low thresholds
+    # that is far, and the longest word there is ends it earlier.
+    last = F.floor(F.col("length") / F.lit(max(threshold, 1e-9))) + 1
+    if threshold < 0.5:
+        last = F.least(last, others.agg(F.coalesce(F.max("length"), F.lit(0))).scalar())
+    return (
+        lengths.withColumn("last", last.cast("int"))
+        .where(F.col("last") >= F.col("length"))
+        .select("length", F.explode(F.sequence("length", "last")).alias("n"))
+        .where(F.col("n") - F.col("length") <= allowed_differences(F.col("n"), threshold))
+    )
+
+
+def _with_lengths(words: DataFrame, lengths: DataFrame, other_lengths: DataFrame, threshold: float) -> DataFrame:
+    """``(word, n, is_longer)``: each word under its own length and, as the shorter one, under lengths of the other side.
+
+    Only lengths at which the other side has a possible partner are kept, so a few words of extreme length cost nothing.
+    """
+    sized = words.withColumn("length", F.length("word"))
+    as_longer = _longer_lengths(other_lengths, lengths, threshold).select(F.col("n").alias("length")).distinct()
     as_shorter = (
-        words.withColumn("last", last)
-        .where(F.col("last") > length)
-        .select(word, F.explode(F.sequence(length + 1, F.col("last"))).alias("n"))
-        .where(F.col("n") - length <= allowed_differences(F.col("n"), threshold))
-        .join(other_lengths, "n", "left_semi")
-        .select(word, "n", F.lit(False).alias("is_longer"))
+        _longer_lengths(lengths, other_lengths, threshold)
+        .where("n > length")
+        .join(other_lengths.select(F.col("length").alias("n")), "n", "left_semi")
+    )
+    return (
+        sized.join(as_longer, "length", "left_semi")
+        .select("word", F.col("length").alias("n"), F.lit(True).alias("is_longer"))
+        .unionByName(sized.join(as_shorter, "length").select("word", "n", F.lit(False).alias("is_longer")))
     )
-    return own.unionByName(as_shorter)
 
 
-def part_keys(words: DataFrame, word: str, threshold: float) -> DataFrame:
+def part_keys(words: DataFrame, threshold: float) -> DataFrame:
     """Rows ``(word, is_longer, key)`` for ``words (word, n, is_longer)``: keys of a word seen as one of ``n`` positions.
 
     Any two words similar over ``n`` positions share at least one key. With ``k`` differences allowed, the positions are cut into
@@ -53,7 +68,7 @@ def part_keys(words: DataFrame, word: str, threshold: float) -> DataFrame:
         budget.withColumn("blocks", blocks)
         .withColumn("j", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
         .select(
-            word,
+            "word",
             "n",
             "is_longer",
             "j",
@@ -67,17 +82,17 @@ def part_keys(words: DataFrame, word: str, threshold: float) -> DataFrame:
         return F.col("start") + _int(part * F.col("width") / parts)
 
     def text(part: Column, parts: Column) -> Column:
-        return F.substr(word, begin(part, parts) + 1, begin(part + 1, parts) - begin(part, parts))
+        return F.substr("word", begin(part, parts) + 1, begin(part + 1, parts) - begin(part, parts))
 
     a, b, units = F.col("a"), F.col("b"), F.col("units")
     first = block.withColumn("a", F.explode(F.sequence(F.lit(0), units - 1)))
     if paired:
-        parts = first.withColumn("b", F.explode(F.sequence(a + 1, units))).where(begin(b + 1, units + 1) <= F.length(word))
+        parts = first.withColumn("b", F.explode(F.sequence(a + 1, units))).where(begin(b + 1, units + 1) <= F.length("word"))
         key = F.xxhash64("n", "j", "a", "b", text(a, units + 1), text(b, units + 1))
     else:
-        parts = first.where(begin(a + 1, units) <= F.length(word))
+        parts = first.where(begin(a + 1, units) <= F.length("word"))
         key = F.xxhash64("n", "j", "a", text(a, units))
-    return parts.select(word, "is_longer", key.alias("key"))
+    return parts.select("word", "is_longer", key.alias("key"))
 
 
 def similar_words(left: DataFrame, right: DataFrame, threshold: float = 0.8) -> DataFrame:
@@ -88,14 +103,17 @@ def similar_words(left: DataFrame, right: DataFrame, threshold: float = 0.8) ->
     """
     if not 0 <= threshold < 1:
         raise ValueError("threshold must be at least 0 and less than 1")
-    a = left.select(F.col(left.columns[0]).alias("word_a")).where("word_a <> ''").distinct()
-    b = right.select(F.col(right.columns[0]).alias("word_b")).where("word_b <> ''").distinct()
-    ka = part_keys(_with_longer_lengths(a, b, "word_a", threshold), "word_a", threshold).withColumnRenamed("is_longer", "a_longer")
-    kb = part_keys(_with_longer_lengths(b, a, "word_b", threshold), "word_b", threshold).withColumnRenamed("is_longer", "b_longer")
-    close: Column = hamming_similarity(F.col("word_a"), F.col("word_b")) > threshold
+    a = left.select(F.col(left.columns[0]).alias("word")).where("word <> ''").distinct()
+    b = right.select(F.col(right.columns[0]).alias("word")).where("word <> ''").distinct()
+    a_lengths = a.select(F.length("word").alias("length")).distinct()
+    b_lengths = b.select(F.length("word").alias("length")).distinct()
+    ka = part_keys(_with_lengths(a, a_lengths, b_lengths, threshold), threshold).alias("a")
+    kb = part_keys(_with_lengths(b, b_lengths, a_lengths, threshold), threshold).alias("b")
+    word_a, word_b = F.col("a.word"), F.col("b.word")
+    close: Column = hamming_similarity(word_a, word_b) > threshold
     return (
-        ka.join(kb, "key")
-        .where((F.col("a_longer") | F.col("b_longer")) & close)
-        .select("word_a", "word_b")
+        ka.join(kb, F.col("a.key") == F.col("b.key"))
+        .where((F.col("a.is_longer") | F.col("b.is_longer")) & close)
+        .select(word_a.alias("word_a"), word_b.alias("word_b"))
         .distinct()
     )

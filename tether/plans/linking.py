@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tether.operators import graph, scoring, search
 from tether.operators.mentions import mention_counts
+from tether.operators.similarity import similar_words
 from tether.plans.documents import document_mentions
 from tether.session import spread, stored
 
@@ -35,16 +36,15 @@ def scored_candidates(
     ``min_score`` drops candidates below it; given to a job that keeps only links of that score, it changes no link and spares the
     ranking of all the others.
     """
-    candidates = search.best_candidates(counts, labels, size, results)
-    abstracts = graph.kb_abstracts(triples, candidates, suffix=english)
+    # Tables below are read more than once: kept rather than computed again.
+    candidates = stored(search.best_candidates(counts, labels, size, results), "candidates")
+    abstracts = stored(graph.kb_abstracts(triples, candidates, suffix=english), "abstracts")
     usable = graph.candidates_with_abstract(candidates, abstracts).select("mention", "kb_id", "search_score")
-    # Read four times below: kept as a table rather than searched again.
-    usable = stored(usable, "candidates")
-    abstracts = stored(abstracts, "abstracts")
     nouns = stored(description_nouns(abstracts, **mention_options), "nouns")
+    similar = stored(similar_words(counts.select("mention"), nouns.select("mention"), word_threshold), "similar")
 
     proposed = counts.join(usable, "mention")
-    scores = scoring.similarity_scores(proposed, counts, nouns, word_threshold, normalize)
+    scores = scoring.similarity_scores(proposed, counts, nouns, word_threshold, normalize, similar)
     if min_score is not None:
         scores = scoring.link_threshold(scores, min_score)
     return proposed.join(scores, ["warc_id", "kb_id"]).select("warc_id", "mention", "n", "kb_id", "search_score", "score")

@@ -106,10 +106,10 @@ def page_records(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def page_archive(spark: SparkSession, sf_dir: str) -> str:
-    """Write the page records as a gzip archive and return its path."""
+    """Write the page records as gzip archives, several files of them, and return their folder."""
     path = fresh_path(spark, "archive")
     (
-        page_records(spark, sf_dir)
+        spread(page_records(spark, sf_dir), "page_id")
         .select(F.concat(F.lit("WARC/1.0\r\n"), "record").alias("value"))
         .write.option("lineSep", "\r\n\r\n")
         .option("compression", "gzip")
