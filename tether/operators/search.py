@@ -20,6 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from tether.operators.joins import balanced_join
 from tether.operators.rows import exploded
 from tether.session import stored
 
@@ -109,10 +110,9 @@ def search_hits(mentions: DataFrame, labels: DataFrame, size: int = 100) -> Data
 
     in_prefix = W.partitionBy("prefix_key").orderBy(*hit_order)
     shared = F.filter("label_prefix", lambda f: F.array_contains("prefix", f["word"]))
+    searched = query_prefixes.select("word", "prefix_key", _words_of(F.col("prefix")).alias("prefix")).distinct()
     prefix_hits = (
-        query_prefixes.select("word", "prefix_key", _words_of(F.col("prefix")).alias("prefix"))
-        .distinct()
-        .join(postings, "word")
+        balanced_join(searched, stored(postings, "postings"), "word")
         .select("prefix_key", "kb_id", "label", "n_words", _relevance(shared, F.col("n_words")).alias("search_score"))
         .withColumn("place", F.row_number().over(in_prefix))
         .where(F.col("place") <= size)

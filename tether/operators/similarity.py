@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tether.functions.hamming import allowed_differences, hamming_similarity
+from tether.operators.joins import balanced_join
 
 
 def _int(column: Column) -> Column:
@@ -107,13 +108,12 @@ def similar_words(left: DataFrame, right: DataFrame, threshold: float = 0.8) ->
     b = right.select(F.col(right.columns[0]).alias("word")).where("word <> ''").distinct()
     a_lengths = a.select(F.length("word").alias("length")).distinct()
     b_lengths = b.select(F.length("word").alias("length")).distinct()
-    ka = part_keys(_with_lengths(a, a_lengths, b_lengths, threshold), threshold).alias("a")
-    kb = part_keys(_with_lengths(b, b_lengths, a_lengths, threshold), threshold).alias("b")
-    word_a, word_b = F.col("a.word"), F.col("b.word")
-    close: Column = hamming_similarity(word_a, word_b) > threshold
-    return (
-        ka.join(kb, F.col("a.key") == F.col("b.key"))
-        .where((F.col("a.is_longer") | F.col("b.is_longer")) & close)
-        .select(word_a.alias("word_a"), word_b.alias("word_b"))
-        .distinct()
+    ka = part_keys(_with_lengths(a, a_lengths, b_lengths, threshold), threshold)
+    kb = part_keys(_with_lengths(b, b_lengths, a_lengths, threshold), threshold)
+    met = balanced_join(
+        ka.select("key", F.col("word").alias("word_a"), F.col("is_longer").alias("a_longer")),
+        kb.select("key", F.col("word").alias("word_b"), F.col("is_longer").alias("b_longer")),
+        "key",
     )
+    close: Column = hamming_similarity(F.col("word_a"), F.col("word_b")) > threshold
+    return met.where((F.col("a_longer") | F.col("b_longer")) & close).select("word_a", "word_b").distinct()

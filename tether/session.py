@@ -63,7 +63,7 @@ def stored(df: DataFrame, name: str) -> DataFrame:
 
 
 def spread(df: DataFrame, key: str) -> DataFrame:
-    """Hash-partition ``df`` by ``key`` over all cores if it comes in fewer partitions than there are cores.
+    """Hash-partition ``df``, read straight from files, by ``key`` over all cores if it has fewer partitions than there are cores.
 
     For few or badly split input files before costly row work. Inputs that already keep every core busy are left alone, so no large
     table is shuffled for this.
