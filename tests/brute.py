@@ -35,36 +35,30 @@ def search(mentions, labels, size):
 
 
 def lemma(word, lexicon, endings, exceptions=None):
-    exceptions = exceptions or {}
+    """Shortest known form of the nearest level, the levels being sets of forms ever more rules away."""
 
-    def shorten(forms):
-        return [f[: -len(old)] + new for f in forms for old, new in endings if f.endswith(old)]
+    def levels():
+        if exceptions and word in exceptions:
+            yield [word, *exceptions[word]]
+            return
+        level, extra = [word], [word]
+        while level:
+            level = [f.removesuffix(old) + new for f in level for old, new in endings if f.endswith(old)]
+            yield extra + level
+            extra = []
 
-    def known(forms):
-        return [f for f in forms if f in lexicon]
-
-    if word in exceptions:
-        found = known([word, *exceptions[word]])
-        return min(found, key=len) if found else word
-    forms = shorten([word])
-    found = known([word, *forms])
-    while not found and forms:
-        forms = shorten(forms)
-        found = known(forms)
-    return min(found, key=len) if found else word
+    for level in levels():
+        if known := sorted((f for f in level if f in lexicon), key=len):
+            return known[0]
+    return word
 
 
 def strip_code_blocks(text):
-    """Lines outside blocks, by reading line after line."""
-    inside, kept = False, []
-    for line in text.splitlines():
-        if line.startswith("<!--"):
-            inside = True
-        elif line.startswith("//-->"):
-            inside = False
-        elif not inside:
-            kept.append(line)
-    return " ".join(kept)
+    """Lines that are no mark and whose last mark before them, if any, is a closing one."""
+    lines = text.splitlines()
+    marks = ["open" if x[:4] == "<!--" else "close" if x[:5] == "//-->" else None for x in lines]
+    last = [next((m for m in reversed(marks[:i]) if m), "close") for i in range(len(lines))]
+    return " ".join(x for x, mark, before in zip(lines, marks, last, strict=True) if mark is None and before == "close")
 
 
 def scores(bags, nouns, pairs, threshold=0.8):

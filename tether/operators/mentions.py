@@ -95,7 +95,10 @@ def mention_rows(arrays: DataFrame) -> DataFrame:
 
 
 def mention_counts(arrays: DataFrame) -> DataFrame:
-    """``(warc_id, mention, n, n_mentions)``: distinct mentions with their count and the size of the record's whole bag."""
+    """``(warc_id, mention, n, n_mentions)``: distinct mentions with their count and the size of the record's whole bag.
+
+    ``warc_id`` names one record.
+    """
     return (
         exploded(arrays, ["warc_id", F.size("mentions").cast("long").alias("n_mentions")], "mentions", "mention")
         .groupBy("warc_id", "mention")

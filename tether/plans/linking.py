@@ -77,3 +77,24 @@ def link_entities(docs: DataFrame, labels: DataFrame, triples: DataFrame, **opti
     """
     links = best_links(docs, labels, triples, **options)
     return links.select("warc_id", "mention", "kb_id", F.explode(F.sequence(F.lit(1), F.col("n"))).alias("turn")).drop("turn")
+
+
+def entities(
+    links: DataFrame, labels: DataFrame, triples: DataFrame, size: int = 100, results: int = 10, english: str = graph.ENGLISH
+) -> DataFrame:
+    """All that is known of each linked entity: ``(name, kb_id, labels, abstract, nouns, score)`` per ``(warc_id, name)``.
+
+    ``links`` comes from ``best_links`` with the same tables.
+    """
+    found = search.best_candidates(links.select("mention"), labels, size, results).select("mention", "kb_id", "labels")
+    abstracts = stored(graph.kb_abstracts(triples, links, suffix=english), "abstracts")
+    bodies = graph.concat_abstracts(abstracts)
+    nouns = document_mentions(bodies.select(F.col("kb_id").alias("warc_id"), "body")).select(
+        F.col("warc_id").alias("kb_id"), F.col("mentions").alias("nouns")
+    )
+    return (
+        links.join(found, ["mention", "kb_id"])
+        .join(bodies.withColumnRenamed("body", "abstract"), "kb_id")
+        .join(nouns, "kb_id")
+        .select("warc_id", F.col("mention").alias("name"), "kb_id", "labels", "abstract", "nouns", "score")
+    )

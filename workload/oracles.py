@@ -303,6 +303,19 @@ cte("lex_distinct", "SELECT DISTINCT mention FROM lex_doc_mentions", "lex_doc_me
 hit_ctes("lex_", "lex_distinct")
 link_ctes("lex_", "lex_doc_counts", "lex_kb_counts", "lex_candidates")
 
+# With typed entities as mentions: each distinct entity of a text is one mention
+for side in ("doc", "kb"):
+    cte(
+        f"typed_{side}_counts",
+        f"""SELECT warc_id, mention, 1 AS n, count(*) OVER (PARTITION BY warc_id) AS n_mentions
+            FROM (SELECT DISTINCT warc_id, chunk AS mention FROM {side}_chunks WHERE chunk IN (SELECT name FROM gazetteer))""",
+        f"{side}_chunks",
+        "gazetteer",
+    )
+cte("typed_distinct", "SELECT DISTINCT mention FROM typed_doc_counts", "typed_doc_counts")
+hit_ctes("typed_", "typed_distinct")
+link_ctes("typed_", "typed_doc_counts", "typed_kb_counts", "typed_candidates")
+
 # Lemmas --------------------------------------------------------------------------------------------------------------------------
 
 cte("raw_tokens", "SELECT token, count(*) AS n FROM doc_tokens GROUP BY token", "doc_tokens")
@@ -476,6 +489,17 @@ ORACLES: dict[str, str] = {
     "link_threshold": build("SELECT warc_id, mention, kb_id, round(score, 6) AS score FROM best WHERE score >= 0.2", "best"),
     "link_entities": build("SELECT warc_id, mention, kb_id FROM links", "links"),
     "link_entities_with_lexicon": build("SELECT warc_id, mention, kb_id FROM lex_links", "lex_links"),
+    "link_entities_by_type": build("SELECT warc_id, mention, kb_id FROM typed_links", "typed_links"),
+    "linked_entities": build(
+        """SELECT b.warc_id, b.mention AS name, b.kb_id, d.body AS abstract, round(score, 6) AS score, labels, nouns FROM best b
+           JOIN described d ON d.warc_id = b.kb_id
+           JOIN (SELECT warc_id AS kb_id, string_agg(mention, '|' ORDER BY ord) AS nouns FROM kb_mentions GROUP BY warc_id) k
+             ON k.kb_id = b.kb_id
+           WHERE score >= 0.2""",
+        "best",
+        "described",
+        "kb_mentions",
+    ),
     "links_tsv": build("SELECT warc_id, mention, kb_id FROM links", "links"),
     "link_eval": build(
         """SELECT gold, linked, correct, round(p, 6) AS precision, round(r, 6) AS recall,

@@ -385,6 +385,22 @@ def link_entities(spark, sf_dir):
     return linking.link_entities(t.docs(spark, sf_dir), *_knowledge(spark, sf_dir))
 
 
+@query
+def link_entities_by_type(spark, sf_dir):
+    """Links of typed entities only, in records and descriptions alike."""
+    gazetteer = stored(t.gazetteer(spark, sf_dir), "gazetteer")
+    return linking.link_entities(t.docs(spark, sf_dir), *_knowledge(spark, sf_dir), gazetteer=gazetteer)
+
+
+@query
+def linked_entities(spark, sf_dir):
+    labels, triples = _knowledge(spark, sf_dir)
+    best = stored(linking.best_links(t.docs(spark, sf_dir), labels, triples), "best")
+    rows = linking.entities(best, labels, triples)
+    flat = [F.array_join(c, "|").alias(c) for c in ("labels", "nouns")]
+    return _rounded(rows.select("warc_id", "name", "kb_id", "abstract", "score", *flat))
+
+
 @query
 def link_entities_with_lexicon(spark, sf_dir):
     """Links with tags learned from the corpus: words mostly in lower case are no proper nouns."""
