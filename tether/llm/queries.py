@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tether.llm import byte_bpe, packing, token_counts
+from tether.llm import byte_bpe, language, packing, quality_net, quality_rules, token_counts
 
 Query = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, Query] = {}
@@ -24,16 +24,33 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+@query
+def op1_quality_rules(spark, sf_dir):
+    return quality_rules.quality_rules(table(spark, sf_dir, "documents"))
+
+
 @query
 def op3_byte_bpe(spark, sf_dir):
     return byte_bpe.round_trip(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_multi_50k.tiktoken"))
 
 
+@query
+def op5_quality_classifier(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    return quality_net.score(docs, quality_net.learn(docs, table(spark, sf_dir, "labels")))
+
+
 @query
 def op7_best_fit_packing(spark, sf_dir):
     return packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
 
+@query
+def op9_language_id(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    return language.detect(docs, language.learn(docs))
+
+
 @query
 def op10_token_counts(spark, sf_dir):
     return token_counts.token_counts(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
