@@ -2,22 +2,38 @@
 
 from __future__ import annotations
 
+import functools
+import os
 from collections.abc import Callable
+from pathlib import Path
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tether.llm import byte_bpe, language, packing, quality_net, quality_rules, token_counts
+from tether.llm import byte_bpe, embedding_dedup, language, packing, quality_net, quality_rules, simhash, token_counts
 
 Query = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, Query] = {}
 ORACLES: dict[str, str] = {}
 
 
+def importable(spark: SparkSession) -> None:
+    """Let Python workers import this package from where the driver has it; on a cluster it comes with the job (``--py-files``)."""
+    root = str(Path(__file__).resolve().parents[2])
+    environment = spark.sparkContext.environment
+    if root not in environment.get("PYTHONPATH", "").split(os.pathsep):
+        environment["PYTHONPATH"] = os.pathsep.join(filter(None, [root, environment.get("PYTHONPATH")]))
+
+
 def query(fn: Query) -> Query:
-    REGISTRY[fn.__name__] = fn
-    return fn
+    @functools.wraps(fn)
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        importable(spark)
+        return fn(spark, sf_dir)
+
+    REGISTRY[fn.__name__] = run
+    return run
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -29,6 +45,11 @@ def op1_quality_rules(spark, sf_dir):
     return quality_rules.quality_rules(table(spark, sf_dir, "documents"))
 
 
+@query
+def op2_simhash(spark, sf_dir):
+    return simhash.simhash_components(table(spark, sf_dir, "documents"))
+
+
 @query
 def op3_byte_bpe(spark, sf_dir):
     return byte_bpe.round_trip(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_multi_50k.tiktoken"))
@@ -45,6 +66,11 @@ def op7_best_fit_packing(spark, sf_dir):
     return packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
 
+@query
+def op8_embedding_dedup(spark, sf_dir):
+    return embedding_dedup.embedding_links(table(spark, sf_dir, "embeddings"))
+
+
 @query
 def op9_language_id(spark, sf_dir):
     docs = table(spark, sf_dir, "documents")
