@@ -6,21 +6,21 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tether.session import stored
 
 
-def dealt_in_blocks(rows: DataFrame, by: list[str], member: str, block: int) -> DataFrame:
+def dealt_in_blocks(rows: DataFrame, by: list[str], member: str, block: int, also: Column | None = None) -> DataFrame:
     """Rows whose group ``by`` has more than one, with ``(own, p, q)``: any two rows of a group meet in some ``(…by, p, q)``.
 
-    ``own`` is the row's block, which is one of ``p`` and ``q``.
+    ``own`` is the row's block, which is one of ``p`` and ``q``. Groups for which the aggregate ``also`` is false are left out.
 
     A group of up to ``block`` rows stays together. A larger one is cut into blocks by a hash of ``member``, and each two blocks meet, so
     no task gets much more than two blocks, and a row is copied once for each block of its own group.
     """
-    sizes = rows.groupBy(*by).agg(F.count("*").alias("n")).where("n > 1")
+    sizes = rows.groupBy(*by).agg(F.count("*").alias("n"), (F.lit(True) if also is None else also).alias("also")).where("n > 1 and also").drop("also")
     cut = rows.join(sizes, by).withColumn("blocks", F.ceil(F.col("n") / block))
     cut = cut.withColumn("own", F.pmod(F.xxhash64(member), "blocks"))
     own = F.col("own")
