@@ -11,7 +11,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tether.llm import byte_bpe, embedding_dedup, language, line_dedup, packing, quality_net, quality_rules, simhash, token_counts
+from tether.llm import byte_bpe, embedding_dedup, language, line_dedup, packing, quality_net, quality_rules, simhash, token_counts, warc
+from tether.session import fresh_path
 
 Query = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, Query] = {}
@@ -72,6 +73,13 @@ def op3_byte_bpe(spark, sf_dir):
     return byte_bpe.round_trip(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_multi_50k.tiktoken"))
 
 
+@query
+def op4_warc(spark, sf_dir):
+    path = fresh_path(spark, "archive")
+    warc.write_archive(table(spark, sf_dir, "pages"), path)
+    return warc.page_records(warc.payloads(warc.reassembled(warc.read_records(spark, path))))
+
+
 @query
 def op5_quality_classifier(spark, sf_dir):
     docs = table(spark, sf_dir, "documents")
