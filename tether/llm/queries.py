@@ -12,11 +12,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tether.llm import byte_bpe, embedding_dedup, language, line_dedup, packing, quality_net, quality_rules, simhash, token_counts, warc
+from tether.llm.oracles import ORACLES
 from tether.session import fresh_path
 
+__all__ = ["ORACLES", "REGISTRY", "importable"]
+
 Query = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, Query] = {}
-ORACLES: dict[str, str] = {}
 
 
 def importable(spark: SparkSession) -> None:
@@ -41,23 +43,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-ORACLES["op6_line_dedup"] = f"""
-WITH l AS (
-    SELECT doc_id, unnest(s) AS line, unnest(range(len(s))) AS pos FROM (SELECT doc_id, string_split(text, chr(10)) AS s FROM documents)
-), d AS MATERIALIZED (
-    SELECT line, min(ROW(doc_id, pos)) AS first, length(line) AS n FROM l WHERE length(line) >= {line_dedup.MIN_CHARS} GROUP BY line
-), near AS (
-    SELECT a.line, min(b.first) AS first FROM d a JOIN d b ON b.first < a.first AND b.n BETWEEN a.n - {line_dedup.EDITS} AND a.n + {line_dedup.EDITS}
-    WHERE a.n >= {line_dedup.EDIT_CHARS} AND b.n >= {line_dedup.EDIT_CHARS} AND levenshtein(a.line, b.line) <= {line_dedup.EDITS} GROUP BY a.line
-), judged AS (
-    SELECT l.doc_id, CASE WHEN ROW(l.doc_id, l.pos) > d.first THEN 'exact' WHEN near.first IS NOT NULL THEN 'near' END AS reason
-    FROM l LEFT JOIN d USING (line) LEFT JOIN near USING (line)
-)
-SELECT doc_id, count(*) AS n_lines, count(*) FILTER (reason = 'exact') AS n_exact, count(*) FILTER (reason = 'near') AS n_near
-FROM judged GROUP BY doc_id
-"""
-
-
 @query
 def op1_quality_rules(spark, sf_dir):
     return quality_rules.quality_rules(table(spark, sf_dir, "documents"))
