@@ -70,14 +70,34 @@ def lemmas(words: DataFrame, lexicon: DataFrame, exceptions: DataFrame | None =
     return distinct.join(best, "word", "left").select("word", F.coalesce("lemma", "word").alias("lemma"))
 
 
+def changed_words(words: DataFrame, lexicon: DataFrame, exceptions: DataFrame | None = None) -> DataFrame:
+    """``(word, new)``: the distinct words of ``words (word)`` whose lemma is another word."""
+    may_change = F.lit(False)
+    for old, _ in NOUN_ENDINGS:
+        may_change |= F.col("word").endswith(old)
+    distinct = words.select("word").distinct()
+    some = distinct.where(may_change)
+    if exceptions is not None:
+        some = some.unionByName(distinct.join(exceptions.select("word").distinct(), "word", "left_semi")).distinct()
+    return lemmas(some, lexicon, exceptions).where("lemma <> word").select("word", F.col("lemma").alias("new"))
+
+
+def swaps(words: DataFrame, changed: DataFrame) -> DataFrame:
+    """``(warc_id, swaps)``: for each document that has some of the words in ``changed (word, new)``, these as a map.
+
+    Only distinct words that change are gathered, never the document's words in order.
+    """
+    pairs = exploded(words, ["warc_id"], F.array_distinct("words"), "word").join(changed, "word")
+    distinct = pairs.groupBy("warc_id", "word").agg(F.min("new").alias("new"))
+    return distinct.groupBy("warc_id").agg(F.map_from_entries(F.collect_list(F.struct("word", "new"))).alias("swaps"))
+
+
 def lemmatise_words(words: DataFrame, lexicon: DataFrame, exceptions: DataFrame | None = None) -> DataFrame:
-    """``(warc_id, words)`` with every word replaced by its lemma; each distinct word is looked up once."""
-    rows = exploded(words, ["warc_id"], "words", "word", "pos")
-    changed = lemmas(rows, lexicon, exceptions).where("lemma <> word")
-    back = (
-        rows.join(changed, "word", "left")
-        .groupBy("warc_id")
-        .agg(F.array_sort(F.collect_list(F.struct("pos", F.coalesce("lemma", "word").alias("word")))).alias("rows"))
-        .select("warc_id", F.transform("rows", lambda r: r["word"]).alias("words"))
-    )
-    return back.unionByName(words.where(F.size("words") == 0).select("warc_id", "words"))
+    """``(warc_id, words)`` with every word replaced by its lemma, in the document's row.
+
+    Each distinct word of the corpus is looked up once, and a document is joined once, with the few words of it that change.
+    """
+    changed = changed_words(exploded(words, [], F.array_distinct("words"), "word"), lexicon, exceptions)
+    joined = words.join(swaps(words, changed), "warc_id", "left")
+    swapped = F.transform("words", lambda w: F.coalesce(F.try_element_at("swaps", w), w))
+    return joined.select("warc_id", F.when(F.col("swaps").isNull(), F.col("words")).otherwise(swapped).alias("words"))

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tether.functions import words as fw
-from tether.operators.lemmas import lemmatise_words
+from tether.operators.lemmas import lemmatise_words, swaps
 from tether.operators.rows import exploded
 
 
@@ -49,16 +49,15 @@ def tag_tokens(words: DataFrame, lexicon: DataFrame | None = None) -> DataFrame:
     """
     if lexicon is None:
         return words.select("warc_id", fw.tag_by_rule(F.col("words")).alias("tagged"))
-    known = lexicon.select(F.col("word").alias("known"), F.col("tag").alias("known_tag"))
-    rows = token_rows(words).join(known, F.lower("word") == F.col("known"), "left")
-    tag = F.coalesce("known_tag", fw.rule_tag(F.col("word")))
-    tagged = rows.groupBy("warc_id").agg(F.array_sort(F.collect_list(F.struct("pos", "word", tag.alias("tag")))).alias("rows"))
-    back = tagged.select("warc_id", F.transform("rows", lambda r: F.struct(r["word"].alias("word"), r["tag"].alias("tag"))).alias("tagged"))
-    # A document without words has no rows to regroup.
-    empty = words.where(F.size("words") == 0).select(
-        "warc_id", F.transform("words", lambda w: F.struct(w.alias("word"), F.lit(fw.OTHER).alias("tag"))).alias("tagged")
-    )
-    return back.unionByName(empty)
+    # Only words whose tag is not the rule's are looked up, so the document stays in its row.
+    distinct = exploded(words, [], F.array_distinct("words"), "word").distinct()
+    known = lexicon.select(F.col("word").alias("known"), F.col("tag").alias("new"))
+    changed = distinct.join(known, F.lower("word") == F.col("known")).where(F.col("new") != fw.rule_tag(F.col("word"))).select("word", "new")
+    joined = words.join(swaps(words, changed), "warc_id", "left")
+    tag = lambda w: F.coalesce(F.try_element_at("swaps", w), fw.rule_tag(w))
+    swapped = F.transform("words", lambda w: F.struct(w.alias("word"), tag(w).alias("tag")))
+    by_rule = fw.tag_by_rule(F.col("words"))
+    return joined.select("warc_id", F.when(F.col("swaps").isNull(), by_rule).otherwise(swapped).alias("tagged"))
 
 
 def tag_lexicon(words: DataFrame, min_share: float = 0.5) -> DataFrame:
@@ -123,6 +122,11 @@ def entity_types(entities: DataFrame) -> DataFrame:
     return entities.groupBy("warc_id", "entity").agg(F.max(F.struct("pos", "type"))["type"].alias("type"))
 
 
-def entity_mentions(entities: DataFrame) -> DataFrame:
-    """``(warc_id, mentions)``: the distinct typed entities of each record, as the second way to find mentions."""
-    return entities.groupBy("warc_id").agg(F.array_sort(F.collect_set("entity")).alias("mentions"))
+def entity_mentions(entities: DataFrame, records: DataFrame) -> DataFrame:
+    """``(warc_id, mentions)``: the distinct typed entities of each record, as the second way to find mentions.
+
+    Every row of ``records (warc_id)`` has a bag; without typed entities it is empty.
+    """
+    found = entities.groupBy("warc_id").agg(F.array_sort(F.collect_set("entity")).alias("mentions"))
+    empty = F.array().cast("array<string>")
+    return records.select("warc_id").join(found, "warc_id", "left").select("warc_id", F.coalesce("mentions", empty).alias("mentions"))

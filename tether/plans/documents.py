@@ -19,17 +19,21 @@ def document_mentions(
     docs: DataFrame,
     tag_lexicon: DataFrame | None = None,
     lemma_lexicon: DataFrame | None = None,
+    lemma_exceptions: DataFrame | None = None,
     gazetteer: DataFrame | None = None,
+    types: list[str] | None = None,
     stop_words: list[str] | None = None,
     max_run: int | None = None,
 ) -> DataFrame:
-    """``(warc_id, mentions)`` of documents ``(warc_id, body)``.
+    """``(warc_id, mentions)`` of documents ``(warc_id, body)``, one row per document.
 
-    Mentions are proper nouns and their runs. With a ``gazetteer (name, type)`` they are the distinct typed entities instead.
+    Mentions are proper nouns and their runs. With a ``gazetteer (name, type)`` they are the distinct typed entities instead, of the given
+    ``types`` or of all. With a ``lemma_lexicon (word)`` of known words, and irregular forms in ``lemma_exceptions (word, form)``, words are
+    replaced by their noun lemmas first; without one they stay as they are and no document leaves its row.
     """
     if tag_lexicon is None and lemma_lexicon is None and gazetteer is None:
         return m.text_mention_arrays(docs, stop_words, max_run)
-    tagged = m.tag_tokens(m.word_arrays(docs, lemma_lexicon), tag_lexicon)
+    tagged = m.tag_tokens(m.word_arrays(docs, lemma_lexicon, lemma_exceptions), tag_lexicon)
     if gazetteer is not None:
-        return m.entity_mentions(m.typed_entities(tagged, gazetteer))
+        return m.entity_mentions(m.typed_entities(tagged, gazetteer, types), tagged)
     return m.mention_arrays(tagged, stop_words, max_run)

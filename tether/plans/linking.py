@@ -80,20 +80,28 @@ def link_entities(docs: DataFrame, labels: DataFrame, triples: DataFrame, **opti
 
 
 def entities(
-    links: DataFrame, labels: DataFrame, triples: DataFrame, size: int = 100, results: int = 10, english: str = graph.ENGLISH
+    links: DataFrame,
+    labels: DataFrame,
+    triples: DataFrame,
+    size: int = 100,
+    results: int = 10,
+    english: str = graph.ENGLISH,
+    candidates: DataFrame | None = None,
+    **mention_options,
 ) -> DataFrame:
     """All that is known of each linked entity: ``(name, kb_id, labels, abstract, nouns, score)`` per ``(warc_id, name)``.
 
-    ``links`` comes from ``best_links`` with the same tables.
+    ``links`` comes from ``best_links`` with the same tables and options. ``candidates (mention, kb_id, labels)`` spares a second search.
     """
-    found = search.best_candidates(links.select("mention"), labels, size, results).select("mention", "kb_id", "labels")
+    if candidates is None:
+        candidates = search.best_candidates(links.select("mention"), labels, size, results)
     abstracts = stored(graph.kb_abstracts(triples, links, suffix=english), "abstracts")
     bodies = graph.concat_abstracts(abstracts)
-    nouns = document_mentions(bodies.select(F.col("kb_id").alias("warc_id"), "body")).select(
+    nouns = document_mentions(bodies.select(F.col("kb_id").alias("warc_id"), "body"), **mention_options).select(
         F.col("warc_id").alias("kb_id"), F.col("mentions").alias("nouns")
     )
     return (
-        links.join(found, ["mention", "kb_id"])
+        links.join(candidates.select("mention", "kb_id", "labels"), ["mention", "kb_id"])
         .join(bodies.withColumnRenamed("body", "abstract"), "kb_id")
         .join(nouns, "kb_id")
         .select("warc_id", F.col("mention").alias("name"), "kb_id", "labels", "abstract", "nouns", "score")

@@ -44,7 +44,34 @@ def build(final: str, *reads: str) -> str:
 STOP_LIST = ", ".join(q(w) for w in fw.STOP_WORDS)
 
 
-def text_ctes(p: str, source: str) -> None:
+def lemma_ctes(p: str) -> None:
+    """Lemma of each distinct word of a source: every form the rules lead to, of which the nearest known one is taken."""
+    cte(f"{p}_lemma_words", f"SELECT DISTINCT regexp_replace(token, '[0-9][A-F]', '', 'g') AS word FROM {p}_tokens", f"{p}_tokens")
+    cte(
+        f"{p}_lemma_forms",
+        f"""SELECT word, word AS form, 0 AS depth, '' AS path FROM {p}_lemma_words WHERE word NOT IN (SELECT word FROM irregular)
+           UNION ALL
+           SELECT word, left(form, length(form) - length(old)) || new, depth + 1, path || place
+           FROM {p}_lemma_forms, endings WHERE form LIKE '%' || old AND length(form) - length(old) + length(new) > 0""",
+        f"{p}_lemma_words",
+        "irregular",
+        "endings",
+    )
+    cte(
+        f"{p}_lemma_table",
+        f"""SELECT word, coalesce(lemma, word) AS lemma FROM {p}_lemma_words LEFT JOIN (
+               SELECT word, first(form ORDER BY greatest(depth, 1), length(form), depth, path) AS lemma FROM (
+                   SELECT word, form, depth, path FROM {p}_lemma_forms
+                   UNION ALL SELECT word, word, 0, '' FROM irregular UNION ALL SELECT word, form, 1, '' FROM irregular)
+               WHERE form IN (SELECT word FROM known) GROUP BY word) USING (word)""",
+        f"{p}_lemma_words",
+        f"{p}_lemma_forms",
+        "irregular",
+        "known",
+    )
+
+
+def text_ctes(p: str, source: str, lemmas: bool = True) -> None:
     breaks = "|".join(re.escape(mark) for mark in fw.BREAKS)
     spaced = rf"regexp_replace(regexp_replace(body, {q(breaks)}, ' ', 'g'), {q(fw.CLITICS)}, ' \1', 'g')"
     cte(
@@ -53,13 +80,18 @@ def text_ctes(p: str, source: str) -> None:
             FROM (SELECT warc_id, regexp_extract_all({spaced}, {q(f"[^{fw.SEPARATORS}]+")}) AS l FROM {source})""",
         source,
     )
+    word = "regexp_replace(token, '[0-9][A-F]', '', 'g')"
+    rows = f"SELECT warc_id, pos, {word} AS raw FROM {p}_tokens"
+    if lemmas:
+        lemma_ctes(p)
+        rows = f"SELECT warc_id, pos, lemma AS raw FROM ({rows}) JOIN {p}_lemma_table t ON t.word = raw"
     cte(
         f"{p}_words",
         rf"""SELECT warc_id, word, row_number() OVER (PARTITION BY warc_id ORDER BY pos) - 1 AS pos FROM (
-            SELECT warc_id, pos, regexp_replace(regexp_replace(regexp_replace(
-                token, '[0-9][A-F]', '', 'g'), '[\W_]+', '', 'g'), '[0-9]', '', 'g') AS word FROM {p}_tokens)
+            SELECT warc_id, pos, regexp_replace(regexp_replace(raw, '[\W_]+', '', 'g'), '[0-9]', '', 'g') AS word FROM ({rows}))
             WHERE word <> ''""",
         f"{p}_tokens",
+        *([f"{p}_lemma_table"] if lemmas else []),
     )
     mention_ctes(p, f"(SELECT *, CASE WHEN regexp_matches(word, '^[A-Z]') THEN 'NNP' ELSE 'NN' END AS tag FROM {p}_words)", f"{p}_words")
 
@@ -98,7 +130,7 @@ text_ctes("doc", "docs")
 LANG = " ".join(f"WHEN regexp_matches(text, {q(letters)}) THEN {q(name)}" for name, letters in LANGUAGE_LETTERS)
 cte("items", f"SELECT item_id, '/m/0' || item_id AS kb_id, CASE {LANG} ELSE 'en' END AS lang, text FROM benchmark")
 cte("item_docs", "SELECT kb_id AS warc_id, text AS body FROM items", "items")
-text_ctes("item", "item_docs")
+text_ctes("item", "item_docs", lemmas=False)
 cte(
     "labels_kb",
     """SELECT DISTINCT warc_id AS kb_id, mention AS label FROM item_mentions
@@ -321,31 +353,8 @@ link_ctes("typed_", "typed_doc_counts", "typed_kb_counts", "typed_candidates")
 cte("raw_tokens", "SELECT token, count(*) AS n FROM doc_tokens GROUP BY token", "doc_tokens")
 cte("known", "SELECT token AS word FROM raw_tokens WHERE regexp_matches(token, '^[a-z]+$')", "raw_tokens")
 cte("irregular", "SELECT word, left(word, length(word) - 1) AS form FROM known WHERE word LIKE '%ae'", "known")
-cte("lemma_words", "SELECT DISTINCT regexp_replace(token, '[0-9][A-F]', '', 'g') AS word FROM raw_tokens", "raw_tokens")
 ENDINGS = ", ".join(f"({i}, {q(old)}, {q(new)})" for i, (old, new) in enumerate(NOUN_ENDINGS))
 cte("endings", f"SELECT * FROM (VALUES {ENDINGS}) e(place, old, new)")
-cte(
-    "lemma_forms",
-    """SELECT word, word AS form, 0 AS depth, '' AS path FROM lemma_words WHERE word NOT IN (SELECT word FROM irregular)
-       UNION ALL
-       SELECT word, left(form, length(form) - length(old)) || new, depth + 1, path || place
-       FROM lemma_forms, endings WHERE form LIKE '%' || old AND length(form) - length(old) + length(new) > 0""",
-    "lemma_words",
-    "irregular",
-    "endings",
-)
-cte(
-    "lemma_table",
-    """SELECT word, coalesce(lemma, word) AS lemma FROM lemma_words LEFT JOIN (
-           SELECT word, first(form ORDER BY greatest(depth, 1), length(form), depth, path) AS lemma FROM (
-               SELECT word, form, depth, path FROM lemma_forms
-               UNION ALL SELECT word, word, 0, '' FROM irregular UNION ALL SELECT word, form, 1, '' FROM irregular)
-           WHERE form IN (SELECT word FROM known) GROUP BY word) USING (word)""",
-    "lemma_words",
-    "lemma_forms",
-    "irregular",
-    "known",
-)
 
 # One statement per query ---------------------------------------------------------------------------------------------------------
 
@@ -401,14 +410,8 @@ ORACLES: dict[str, str] = {
         "raw_tokens",
     ),
     "strip_digits": build("SELECT token, regexp_replace(token, '[0-9]', '', 'g') AS word, n FROM raw_tokens", "raw_tokens"),
-    "lemmas": build("SELECT word, lemma FROM lemma_table", "lemma_table"),
-    "clean_tokens": build(
-        r"""SELECT warc_id, row_number() OVER (PARTITION BY warc_id ORDER BY pos) - 1 AS pos, word FROM (
-            SELECT warc_id, pos, regexp_replace(regexp_replace(lemma, '[\W_]+', '', 'g'), '[0-9]', '', 'g') AS word
-            FROM doc_tokens JOIN lemma_table t ON t.word = regexp_replace(token, '[0-9][A-F]', '', 'g')) WHERE word <> ''""",
-        "doc_tokens",
-        "lemma_table",
-    ),
+    "lemmas": build("SELECT word, lemma FROM doc_lemma_table", "doc_lemma_table"),
+    "clean_tokens": build("SELECT warc_id, pos, word FROM doc_words", "doc_words"),
     "stopword_filter": build(
         f"SELECT word, count(*) AS n FROM doc_words WHERE word NOT IN ({STOP_LIST}) GROUP BY word", "doc_words"
     ),
@@ -438,8 +441,17 @@ ORACLES: dict[str, str] = {
         "gazetteer",
     ),
     "entity_mentions": build(
-        """SELECT warc_id, string_agg(DISTINCT chunk, '|' ORDER BY chunk) AS mentions FROM doc_chunks
-           WHERE chunk IN (SELECT name FROM gazetteer) GROUP BY warc_id""",
+        """SELECT warc_id, coalesce(string_agg(DISTINCT chunk, '|' ORDER BY chunk) FILTER (chunk IN (SELECT name FROM gazetteer)), '') AS mentions
+           FROM docs LEFT JOIN doc_chunks USING (warc_id) GROUP BY warc_id""",
+        "docs",
+        "doc_chunks",
+        "gazetteer",
+    ),
+    "typed_places": build(
+        """SELECT warc_id, coalesce(string_agg(DISTINCT chunk, '|' ORDER BY chunk) FILTER (
+               chunk IN (SELECT name FROM gazetteer WHERE type IN ('GPE', 'ORGANIZATION'))), '') AS mentions
+           FROM docs LEFT JOIN doc_chunks USING (warc_id) GROUP BY warc_id""",
+        "docs",
         "doc_chunks",
         "gazetteer",
     ),

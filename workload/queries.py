@@ -30,8 +30,17 @@ def query(fn: Query) -> Query:
 # Shared inputs -------------------------------------------------------------------------------------------------------------------
 
 
+def _lemma_options(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    """Known words and irregular forms of the corpus as stored tables, as dictionaries would come."""
+    return {
+        "lemma_lexicon": stored(_lexicon(spark, sf_dir), "known-words"),
+        "lemma_exceptions": stored(_exceptions(spark, sf_dir), "irregular"),
+    }
+
+
 def _words(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return m.word_arrays(t.docs(spark, sf_dir))
+    """Words after all cleaning steps, lemmas included."""
+    return m.word_arrays(t.docs(spark, sf_dir), *_lemma_options(spark, sf_dir).values())
 
 
 def _tagged(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -44,7 +53,7 @@ def _tagged_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _arrays(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return pd.document_mentions(t.docs(spark, sf_dir))
+    return pd.document_mentions(t.docs(spark, sf_dir), **_lemma_options(spark, sf_dir))
 
 
 def _mentions(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -78,7 +87,8 @@ def _abstracts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _nouns(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return stored(linking.description_nouns(graph.english_abstracts(_abstracts(spark, sf_dir))), "nouns")
+    abstracts = graph.english_abstracts(_abstracts(spark, sf_dir))
+    return stored(linking.description_nouns(abstracts, **_lemma_options(spark, sf_dir)), "nouns")
 
 
 def _labels(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -92,8 +102,9 @@ def _knowledge(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
 
 
 def _scored(spark: SparkSession, sf_dir: str, normalize: str = "document") -> DataFrame:
-    counts = stored(m.mention_counts(_arrays(spark, sf_dir)), "mentions")
-    return linking.scored_candidates(counts, *_knowledge(spark, sf_dir), normalize=normalize)
+    options = _lemma_options(spark, sf_dir)
+    counts = stored(m.mention_counts(pd.document_mentions(t.docs(spark, sf_dir), **options)), "mentions")
+    return linking.scored_candidates(counts, *_knowledge(spark, sf_dir), normalize=normalize, **options)
 
 
 def _gold(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -147,7 +158,7 @@ def corpus_counts(spark, sf_dir):
 @query
 def document_mentions(spark, sf_dir):
     docs = pd.archive_documents(spark, t.page_archive(spark, sf_dir))
-    return pd.document_mentions(docs).select(
+    return pd.document_mentions(docs, **_lemma_options(spark, sf_dir)).select(
         "warc_id", F.size("mentions").alias("n_mentions"), F.array_join("mentions", "|").alias("mentions")
     )
 
@@ -186,8 +197,7 @@ def lemmas_of_words(spark, sf_dir):
 
 @query
 def clean_tokens(spark, sf_dir):
-    words = m.word_arrays(t.docs(spark, sf_dir), _lexicon(spark, sf_dir), _exceptions(spark, sf_dir))
-    return m.token_rows(words)
+    return m.token_rows(_words(spark, sf_dir))
 
 
 @query
@@ -212,7 +222,7 @@ def tag_lexicon(spark, sf_dir):
 
 @query
 def tag_tokens(spark, sf_dir):
-    words = _words(spark, sf_dir)
+    words = stored(_words(spark, sf_dir), "words")
     tagged = m.tag_tokens(words, m.tag_lexicon(words))
     rows = exploded(tagged, [], "tagged", "t").select("t.word", "t.tag")
     return rows.groupBy("word", "tag").agg(F.count("*").alias("n"))
@@ -236,6 +246,14 @@ def typed_entities(spark, sf_dir):
     return m.typed_entities(_tagged(spark, sf_dir), t.gazetteer(spark, sf_dir))
 
 
+@query
+def typed_places(spark, sf_dir):
+    """Mentions by typed entities of chosen types; documents without any keep an empty bag."""
+    options = _lemma_options(spark, sf_dir)
+    found = pd.document_mentions(t.docs(spark, sf_dir), gazetteer=t.gazetteer(spark, sf_dir), types=["GPE", "ORGANIZATION"], **options)
+    return found.select("warc_id", F.array_join("mentions", "|").alias("mentions"))
+
+
 @query
 def entity_types(spark, sf_dir):
     return m.entity_types(m.typed_entities(_tagged(spark, sf_dir), t.gazetteer(spark, sf_dir)))
@@ -243,7 +261,7 @@ def entity_types(spark, sf_dir):
 
 @query
 def entity_mentions(spark, sf_dir):
-    found = pd.document_mentions(t.docs(spark, sf_dir), gazetteer=t.gazetteer(spark, sf_dir))
+    found = pd.document_mentions(t.docs(spark, sf_dir), gazetteer=t.gazetteer(spark, sf_dir), **_lemma_options(spark, sf_dir))
     return found.select("warc_id", F.array_join("mentions", "|").alias("mentions"))
 
 
@@ -382,21 +400,22 @@ def link_threshold(spark, sf_dir):
 
 @query
 def link_entities(spark, sf_dir):
-    return linking.link_entities(t.docs(spark, sf_dir), *_knowledge(spark, sf_dir))
+    return linking.link_entities(t.docs(spark, sf_dir), *_knowledge(spark, sf_dir), **_lemma_options(spark, sf_dir))
 
 
 @query
 def link_entities_by_type(spark, sf_dir):
     """Links of typed entities only, in records and descriptions alike."""
     gazetteer = stored(t.gazetteer(spark, sf_dir), "gazetteer")
-    return linking.link_entities(t.docs(spark, sf_dir), *_knowledge(spark, sf_dir), gazetteer=gazetteer)
+    return linking.link_entities(t.docs(spark, sf_dir), *_knowledge(spark, sf_dir), gazetteer=gazetteer, **_lemma_options(spark, sf_dir))
 
 
 @query
 def linked_entities(spark, sf_dir):
     labels, triples = _knowledge(spark, sf_dir)
-    best = stored(linking.best_links(t.docs(spark, sf_dir), labels, triples), "best")
-    rows = linking.entities(best, labels, triples)
+    options = _lemma_options(spark, sf_dir)
+    best = stored(linking.best_links(t.docs(spark, sf_dir), labels, triples, **options), "best")
+    rows = linking.entities(best, labels, triples, **options)
     flat = [F.array_join(c, "|").alias(c) for c in ("labels", "nouns")]
     return _rounded(rows.select("warc_id", "name", "kb_id", "abstract", "score", *flat))
 
@@ -404,8 +423,10 @@ def linked_entities(spark, sf_dir):
 @query
 def link_entities_with_lexicon(spark, sf_dir):
     """Links with tags learned from the corpus: words mostly in lower case are no proper nouns."""
-    lexicon = stored(m.tag_lexicon(_words(spark, sf_dir)).select("word", "tag"), "lexicon")
-    return linking.link_entities(t.docs(spark, sf_dir), *_knowledge(spark, sf_dir), tag_lexicon=lexicon)
+    options = _lemma_options(spark, sf_dir)
+    words = m.word_arrays(t.docs(spark, sf_dir), *options.values())
+    lexicon = stored(m.tag_lexicon(words).select("word", "tag"), "lexicon")
+    return linking.link_entities(t.docs(spark, sf_dir), *_knowledge(spark, sf_dir), tag_lexicon=lexicon, **options)
 
 
 @query
