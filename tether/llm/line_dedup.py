@@ -12,21 +12,29 @@ before all others. Rows that repeat both key and text are not told apart: their
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tether.llm.groups import dealt_in_blocks, map_groups
+from tether.llm.texts import slices
 from tether.session import stored
 
 EDITS, MIN_CHARS, EDIT_CHARS = 2, 20, 40
 # Lines under one segment compared in one task: two blocks at most.
 BLOCK = 512
 PAIRS_AT_ONCE = 1 << 16
+SLICE_BYTES = 4 << 20
 TOP = np.uint64(1 << 63)
 ONE = np.uint64(1)
+BASE = 0x2545F4914F6CDD1D
+# Keys up to this number are sent to every task, eight bytes each; beyond it both sides are shuffled.
+BROADCAST_KEYS = 1_000_000
 
 
 def lines_of(docs: DataFrame, key: str, text: str) -> DataFrame:
@@ -39,23 +47,45 @@ def _digest(line: Column | str) -> list[Column]:
     return [F.xxhash64(line).alias("h1"), F.xxhash64(F.lit("line"), line).alias("h2")]
 
 
-def segment_keys(line: Column, edits: int, edit_chars: int) -> Column:
-    """Array of ``(part, index)``: hashes of the line's own segments (``index``) and of the substrings it probes."""
-    size, parts = F.length(line), edits + 1
-    keys = []
+def _mixed(x: np.ndarray) -> np.ndarray:
+    x = x * np.uint64(0x9E3779B97F4A7C15)
+    return x ^ (x >> np.uint64(29))
+
+
+def _powers(base: int, n: int) -> np.ndarray:
+    out = np.full(n, base, dtype=np.uint64)
+    out[:1] = 1
+    return np.multiply.accumulate(out)
+
+
+def segment_keys(lines: list[str], edits: int, edit_chars: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """``(part, line, index)``: hashes of each line's own segments (``index``) and of the other substrings it probes.
+
+    ``line`` is the place in ``lines``. Sums of weighted code points from a line's start give the hash of any substring in one step.
+    """
+    sizes = np.fromiter(map(len, lines), dtype=np.int64, count=len(lines))
+    starts = np.cumsum(sizes) - sizes
+    points = np.frombuffer("".join(lines).encode("utf-32-le", "surrogatepass"), dtype=np.uint32).astype(np.uint64)
+    longest = int(sizes.max(initial=0)) + 1
+    places = np.arange(len(points)) - np.repeat(starts, sizes)
+    sums = np.concatenate((np.zeros(1, dtype=np.uint64), np.cumsum(_mixed(points + np.uint64(1)) * _powers(BASE, longest)[places])))
+    back = _powers(pow(BASE, -1, 1 << 64), longest)
+    parts, found, own = edits + 1, [], []
     for shorter in range(edits + 1):
-        length = size - shorter
-        short = F.floor(length / parts).cast("int")
-        n_short = parts - length % parts  # the first segments are the shorter ones
+        length = sizes - shorter
+        short, n_short = length // parts, parts - length % parts  # the first segments are the shorter ones
+        usable = np.flatnonzero(length >= edit_chars)
         for i in range(parts):
-            start = short * i + F.greatest(F.lit(0), F.lit(i) - n_short)
-            width = short + (F.lit(i) >= n_short).cast("int")
+            start = short * i + np.maximum(0, i - n_short)
+            width = short + (i >= n_short)
             # At most i edits lie before the segment and at most ``edits - i`` after it.
             for shift in range(max(-i, shorter - (edits - i)), min(i, shorter + (edits - i)) + 1):
-                part = F.xxhash64(length, F.lit(i), F.substring(line, start + shift + 1, width))
-                whole = F.struct(part.alias("part"), F.lit(shorter == shift == 0).alias("index"))
-                keys.append(F.when(length >= edit_chars, whole))
-    return F.filter(F.array(*keys), lambda k: k.isNotNull())
+                at = start[usable] + shift
+                begin = starts[usable] + at
+                hashed = (sums[begin + width[usable]] - sums[begin]) * back[at]
+                found.append(_mixed(_mixed(hashed) + (length[usable] * 64 + i).astype(np.uint64)).view(np.int64))
+                own.append((usable, np.full(len(usable), shorter == shift == 0)))
+    return np.concatenate(found), np.concatenate([u for u, _ in own]), np.concatenate([x for _, x in own])
 
 
 def edit_distances(first: np.ndarray, first_sizes: np.ndarray, second: np.ndarray, second_sizes: np.ndarray, most: int) -> np.ndarray:
@@ -168,23 +198,41 @@ def links_in_groups(table: pa.Table, starts: np.ndarray, edits: int) -> tuple[np
     return x[first], y[first]
 
 
-def repeated_lines(
-    docs: DataFrame, edits: int = EDITS, min_chars: int = MIN_CHARS, edit_chars: int = EDIT_CHARS, key: str = "doc_id", text: str = "text"
-) -> DataFrame:
-    """``(key, pos, reason, first_key, first_pos)`` of each line that goes; ``reason`` is ``exact`` or ``near``. Runs jobs and stores tables.
+def parts_of(docs: DataFrame, edits: int, edit_chars: int, text: str) -> DataFrame:
+    """``(part, id, index)`` of the lines of all texts, see ``segment_keys``; ``id`` is the first half of a line's digest."""
 
-    ``first_key`` and ``first_pos`` name the earliest line that it equals or is linked with.
-    """
-    all_lines = lines_of(docs, key, text).where(F.length("line") >= min_chars)
-    grouped = all_lines.groupBy("line").agg(F.min(F.struct("key", "pos")).alias("first"), F.count("*").alias("n"))
-    # Stored at once, so that a line keeps its number when tasks are run again.
-    distinct = stored(grouped.select(F.monotonically_increasing_id().alias("id"), "line", "first", "n", *_digest(F.col("line"))), "lines")
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            column = batch.column(0)
+            for a, b in slices(pc.binary_length(column).to_pylist(), SLICE_BYTES):
+                lines = list({line for whole in column.slice(a, b - a).to_pylist() for line in whole.split("\n") if len(line) >= edit_chars})
+                if lines:
+                    part, line, index = segment_keys(lines, edits, edit_chars)
+                    ids = np.array([xxhash.xxh64_intdigest(x.encode(), 42) for x in lines], dtype=np.uint64).view(np.int64)
+                    yield pa.RecordBatch.from_pydict({"part": pa.array(part), "id": pa.array(ids[line]), "index": pa.array(index)})
+
+    return docs.where(F.col(text).isNotNull()).select(text).mapInArrow(run, "part long, id long, index boolean")
 
-    keyed = distinct.where(F.length("line") >= edit_chars).select("id", F.explode(segment_keys(F.col("line"), edits, edit_chars)).alias("k"))
-    dealt = dealt_in_blocks(keyed.select("id", "k.part", "k.index"), ["part"], "id", BLOCK, also=F.max("index"))
-    key_type = distinct.schema["first"].dataType["key"].dataType.simpleString()
-    met = dealt.join(distinct.select("id", "line", "first"), "id")
-    met = met.select("part", "p", "q", "own", "id", "index", "line", "first")
+
+def sent_if_few(keys: DataFrame) -> DataFrame:
+    """``keys``, a stored table, marked for sending to every task if it is small enough."""
+    return F.broadcast(keys) if keys.count() <= BROADCAST_KEYS else keys
+
+
+def near_lines(docs: DataFrame, edits: int, edit_chars: int, key: str, text: str) -> DataFrame:
+    """``(h1, h2, first, near)``: lines linked with an earlier one, where they and the earliest such line first stand."""
+    parts = parts_of(docs, edits, edit_chars, text)
+    # Lines meet under a part that two different ones have, one of them as its own segment.
+    shared = parts.groupBy("part").agg(F.min("id").alias("a"), F.max("id").alias("b"), F.max("index").alias("own")).where("a <> b and own")
+    shared = stored(shared.select("part"), "shared-parts")
+    meeting = stored(parts.join(sent_if_few(shared), "part").groupBy("part", "id").agg(F.max("index").alias("index")), "meeting-lines")
+    wanted = stored(meeting.select("id").distinct(), "wanted-lines")
+    lines = lines_of(docs, key, text).where(F.length("line") >= edit_chars).select("key", "pos", "line", *_digest(F.col("line")))
+    lines = lines.join(sent_if_few(wanted), F.col("h1") == F.col("id"))
+    lines = stored(lines.groupBy("id", "h2").agg(F.min(F.struct("key", "pos", "line")).alias("first")), "lines")
+    lines = lines.select("id", "h2", "first.line", F.struct("first.key", "first.pos").alias("first"))
+    met = dealt_in_blocks(meeting, ["part"], "id", BLOCK, also=F.max("index")).join(lines.drop("h2"), "id")
+    key_type = lines.schema["first"].dataType["key"].dataType.simpleString()
 
     def work(table: pa.Table, starts: np.ndarray) -> dict:
         firsts = table.column("first").combine_chunks()
@@ -202,12 +250,23 @@ def repeated_lines(
 
     links = map_groups(met, ["part", "p", "q"], work, f"id long, near_key {key_type}, near_pos int")
     near = links.groupBy("id").agg(F.min(F.struct(F.col("near_key").alias("key"), F.col("near_pos").alias("pos"))).alias("near"))
-    met_again = distinct.select("id", "first", "n", "h1", "h2").join(near, "id", "left").where("n > 1 or near is not null")
-    earliest = F.when(F.col("near").isNull() | (F.col("first") < F.col("near")), F.col("first")).otherwise(F.col("near"))
-    wanted = met_again.select("h1", "h2", "first", earliest.alias("earliest"))
+    return lines.join(near, "id").select(F.col("id").alias("h1"), "h2", "first", "near")
 
-    places = all_lines.select("key", "pos", *_digest(F.col("line")))
+
+def repeated_lines(
+    docs: DataFrame, edits: int = EDITS, min_chars: int = MIN_CHARS, edit_chars: int = EDIT_CHARS, key: str = "doc_id", text: str = "text"
+) -> DataFrame:
+    """``(key, pos, reason, first_key, first_pos)`` of each line that goes; ``reason`` is ``exact`` or ``near``. Runs jobs and stores tables.
+
+    ``first_key`` and ``first_pos`` name the earliest line that it equals or is linked with.
+    """
     here = F.struct("key", "pos")
+    places = lines_of(docs, key, text).where(F.length("line") >= min_chars).select("key", "pos", *_digest(F.col("line")))
+    equal = places.groupBy("h1", "h2").agg(F.min(here).alias("first"), F.count("*").alias("n")).where("n > 1").drop("n")
+    near = near_lines(docs, edits, edit_chars, key, text).withColumnRenamed("first", "near_first")
+    both = equal.join(near, ["h1", "h2"], "full_outer").withColumn("first", F.coalesce("first", "near_first"))
+    earliest = F.when(F.col("near").isNull() | (F.col("first") < F.col("near")), F.col("first")).otherwise(F.col("near"))
+    wanted = stored(both.select("h1", "h2", "first", earliest.alias("earliest")), "repeated")
     gone = places.join(wanted, ["h1", "h2"]).where(here > F.col("earliest"))
     return gone.select(
         F.col("key").alias(key),
