@@ -98,3 +98,19 @@ def test_links_file(spark, table, tmp_path):
     lines = [line for f in (tmp_path / "out").glob("part-*") for line in f.read_text().splitlines()]
     assert sorted(lines) == sorted("\t".join(r) for r in rows)
     assert sorted(map(tuple, links.read_links(spark, str(tmp_path / "out")).collect())) == sorted(rows)
+
+
+def test_marker_lines_of_any_form(spark, tmp_path):
+    one = "WARC-TREC-ID: {}\r\n\r\nContent-Type: text/html; charset=UTF-8\r\n\r\n<p>body {}</p>\r\n\r\n"
+    text = "WARC/1.0\r\n" + one.format("a", 1) + "WARC/1.0\n" + one.format("b", 2) + " WARC/1.0 \t\r\n" + one.format("c", "sees WARC/1.0")
+    (tmp_path / "mixed.warc").write_bytes(text.encode())
+    read = archive.read_records(archive.warc_records(spark, str(tmp_path)))
+    assert sorted((r.warc_id, r.reason) for r in read.collect()) == [("a", None), ("b", None), ("c", None)]
+    last = archive.warc_records(spark, str(tmp_path), drop_trailing=True)
+    assert sorted(r.record[14:15] for r in last.collect()) == ["a", "b"]
+
+
+def test_markup_is_taken_out_once(spark):
+    records = spark.createDataFrame([("x",)], "record string")
+    plan = archive.documents(archive.read_records(records))._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("<script") == 1

@@ -1,15 +1,15 @@
 import duckdb
 import pytest
 
-from __spark_entry__ import entry, oracle_sql, queries
+from __spark_entry__ import entry
 from tether.functions import keys
 from tether.plans.linking import best_links, link_entities
 from tether.session import shared_dir
 from workload import tables as t
+from workload.oracles import ORACLES
+from workload.queries import REGISTRY
 
 SF = "/root/testdata/sf0.001"
-# One query of each family; check.py runs all of them.
-FAMILIES = ["mentions", "document_mentions", "best_candidates", "kb_abstracts", "dictionary_labels", "similarity_score", "link_entities", "link_eval"]
 
 
 @pytest.fixture(scope="module")
@@ -72,7 +72,7 @@ def test_entry(spark):
 
 
 def test_every_query_has_sql():
-    assert set(queries()) == set(oracle_sql())
+    assert set(REGISTRY) == set(ORACLES)
 
 
 def test_every_document_is_read(spark):
@@ -83,13 +83,64 @@ def same(value):
     return round(value, 6) if isinstance(value, float) else value
 
 
-@pytest.mark.parametrize("name", FAMILIES)
+@pytest.mark.parametrize("name", list(REGISTRY))
 def test_query_equals_sql(spark, name):
     con = duckdb.connect()
     for view in ("documents", "pages", "benchmark"):
         con.execute(f"CREATE VIEW {view} AS SELECT * FROM '{SF}/{view}.parquet'")
-    df = queries()[name](spark, SF)
+    df = REGISTRY[name](spark, SF)
     columns = sorted(df.columns)
-    cursor = con.execute(f"SELECT {', '.join(columns)} FROM ({oracle_sql()[name]})")
+    cursor = con.execute(f"SELECT {', '.join(columns)} FROM ({ORACLES[name]})")
     want = sorted([tuple(map(same, r)) for r in cursor.fetchall()], key=repr)
     assert sorted([tuple(map(same, r)) for r in df.select(columns).collect()], key=repr) == want
+
+
+def test_hot_anchor_makes_no_pairs(spark, table):
+    """Labels that share their inner word are anchored on another piece."""
+    from pyspark.sql import functions as F
+
+    from tether.operators import dictionary
+
+    docs = spark.range(400).select(F.col("id").cast("string").alias("warc_id"), F.concat(F.lit("he is one of them, Univ"), "id", F.lit(" of Town"), "id", F.lit(".")).alias("body"))
+    labels = spark.range(300).select(F.concat(F.lit("Univ"), "id", F.lit(" of Town"), "id").alias("label"), F.lit("/m/0").alias("kb_id"))
+    near = []
+    plain = dictionary.balanced_join
+
+    def counted(left, right, on):
+        joined = plain(left, right, on)
+        near.append(joined.count())
+        return joined
+
+    dictionary.balanced_join = counted
+    try:
+        found = dictionary.dictionary_labels(docs, labels)
+    finally:
+        dictionary.balanced_join = plain
+    texts = [r.body for r in docs.collect()]
+    assert found.count() == sum(r.label in text for r in labels.collect() for text in texts)
+    assert near[0] < 3000
+
+
+def test_documents_without_typed_entities_stay(table):
+    from tether.plans.documents import document_mentions
+
+    docs = table([("1", "We saw Foo there"), ("2", "nothing here"), ("3", ""), ("4", "We saw Bar")], "warc_id string, body string")
+    names = table([("Foo", "PERSON"), ("Bar", "GPE")], "name string, type string")
+    assert {r.warc_id: r.mentions for r in document_mentions(docs, gazetteer=names).collect()} == {"1": ["Foo"], "2": [], "3": [], "4": ["Bar"]}
+    assert {r.warc_id: r.mentions for r in document_mentions(docs, gazetteer=names, types=["GPE"]).collect()} == {"1": [], "2": [], "3": [], "4": ["Bar"]}
+
+
+def test_lemmas_reach_mentions(table):
+    from tether.plans.documents import document_mentions
+
+    docs = table([("1", "We met Dogs and Geese"), ("2", "Foo")], "warc_id string, body string")
+    lexicon = table([("Dog",), ("Goose",)], "word string")
+    odd = table([("Geese", "Goose")], "word string, form string")
+    assert {r.warc_id: r.mentions for r in document_mentions(docs, lemma_lexicon=lexicon, lemma_exceptions=odd).collect()} == {"1": ["Dog", "Goose"], "2": ["Foo"]}
+
+
+def test_tied_hits_keep_the_order_of_the_response(table):
+    from tether.operators import search
+
+    hits = table([("m", 0, "b", "x", 1.0), ("m", 1, "a", "y", 1.0), ("m", 2, "c", "z", 2.0)], "mention string, pos int, kb_id string, label string, search_score double")
+    assert [r.kb_id for r in search.top_hits(hits, 2).orderBy("rank").collect()] == ["c", "b"]

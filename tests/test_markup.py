@@ -69,3 +69,8 @@ def test_strip_code_blocks_on_all_orders(table, parts):
 
     texts = ["".join(p) for n in (2, 3, 4) for p in product(parts, repeat=n)]
     assert column(table, texts, markup.strip_code_blocks) == [strip_code_blocks(t) for t in texts]
+
+
+def test_references_of_any_name_and_length(spark):
+    rows = spark.createDataFrame([("&#0000000233; &#x00000000E9; &alpha; &rarr; &Sigma; &hearts; &apos; &nosuch;",)], "t string")
+    assert rows.select(markup.unescape(F.col("t"))).first()[0] == "\xe9 \xe9 \u03b1 \u2192 \u03a3 \u2665 ' &nosuch;"

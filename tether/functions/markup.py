@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from html.entities import name2codepoint
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -9,43 +11,18 @@ from pyspark.sql import functions as F
 CONTENT_TYPE = "Content-Type: text/html; charset=UTF-8"
 RECORD_KEY = "WARC-TREC-ID"
 
-# Named character references of HTML 4 (Latin-1 names in code point order from U+00A0) and the common special ones.
-LATIN1_NAMES = (
-    "nbsp iexcl cent pound curren yen brvbar sect uml copy ordf laquo not shy reg macr "
-    "deg plusmn sup2 sup3 acute micro para middot cedil sup1 ordm raquo frac14 frac12 frac34 iquest "
-    "Agrave Aacute Acirc Atilde Auml Aring AElig Ccedil Egrave Eacute Ecirc Euml Igrave Iacute Icirc Iuml "
-    "ETH Ntilde Ograve Oacute Ocirc Otilde Ouml times Oslash Ugrave Uacute Ucirc Uuml Yacute THORN szlig "
-    "agrave aacute acirc atilde auml aring aelig ccedil egrave eacute ecirc euml igrave iacute icirc iuml "
-    "eth ntilde ograve oacute ocirc otilde ouml divide oslash ugrave uacute ucirc uuml yacute thorn yuml"
-).split()
-SPECIAL_NAMES = {
-    "amp": "&",
-    "lt": "<",
-    "gt": ">",
-    "quot": '"',
-    "apos": "'",
-    "ndash": "–",
-    "mdash": "—",
-    "lsquo": "‘",
-    "rsquo": "’",
-    "ldquo": "“",
-    "rdquo": "”",
-    "bull": "•",
-    "hellip": "…",
-    "euro": "€",
-    "trade": "™",
-}
+# The named character references of HTML 4, as Python's own table gives them, and the apostrophe.
+NAMED = {name: chr(code) for name, code in sorted(name2codepoint.items())} | {"apos": "'"}
 
 
 def _named_references() -> Column:
-    names = {name: chr(0xA0 + i) for i, name in enumerate(LATIN1_NAMES)} | SPECIAL_NAMES
-    return F.create_map(*[F.lit(x) for name, char in names.items() for x in (f"&{name};", char)])
+    return F.create_map(*[F.lit(x) for name, char in NAMED.items() for x in (f"&{name};", char)])
 
 
 def _numeric_reference(ref: Column) -> Column:
     """``&#233;`` and ``&#xE9;`` to their character; null where ``ref`` is no valid numeric reference."""
-    digits = F.regexp_extract(ref, r"^&#([0-9]{1,7});$", 1)
-    hex_digits = F.regexp_extract(ref, r"^&#[xX]([0-9A-Fa-f]{1,6});$", 1)
+    digits = F.regexp_extract(ref, r"^&#0*([0-9]{1,7});$", 1)
+    hex_digits = F.regexp_extract(ref, r"^&#[xX]0*([0-9A-Fa-f]{1,6});$", 1)
     code = F.coalesce(
         F.when(digits != "", F.hex(digits.try_cast("bigint"))),
         F.when(hex_digits != "", hex_digits),
@@ -66,17 +43,22 @@ def unescape(text: Column) -> Column:
     return F.when(F.contains(text, F.lit("&")), F.array_join(F.transform(pieces, decode), "")).otherwise(text)
 
 
-def html_text(markup: Column, sep: str = " ", strip_scripts: bool = True) -> Column:
-    """Text nodes of ``markup`` joined by ``sep``; comments never count as text.
-
-    ``sep=""`` joins text nodes without a gap; ``strip_scripts=False`` keeps the source text of scripts and styles.
-    """
+def tag_free(markup: Column, sep: str = " ", strip_scripts: bool = True) -> Column:
+    """``html_text`` with its character references left as they are."""
     text = F.regexp_replace(markup, r"(?s)<!--.*?(?:-->|\z)", sep)
     if strip_scripts:
         text = F.regexp_replace(text, r"(?is)<script\b[^>]*>.*?</script\s*>", sep)
         text = F.regexp_replace(text, r"(?is)<style\b[^>]*>.*?</style\s*>", sep)
-    text = F.regexp_replace(text, r"<[!/?a-zA-Z][^>]*>", sep)
-    return unescape(text)
+    return F.regexp_replace(text, r"<[!/?a-zA-Z][^>]*>", sep)
+
+
+def html_text(markup: Column, sep: str = " ", strip_scripts: bool = True) -> Column:
+    """Text nodes of ``markup`` joined by ``sep``; comments never count as text.
+
+    ``sep=""`` joins text nodes without a gap; ``strip_scripts=False`` keeps the source text of scripts and styles. Where the text is costly,
+    ``tag_free`` and ``unescape`` in two selects keep the first from being computed for each use in the second.
+    """
+    return unescape(tag_free(markup, sep, strip_scripts))
 
 
 def header_parts(text: Column, content_type: str = CONTENT_TYPE) -> Column:

@@ -6,7 +6,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from tether.operators.joins import balanced_join
 from tether.operators.rows import exploded
+from tether.session import stored
 
 _SPACE = r"[ \t\n\x0B\f\r]+"
 _GRAM = 3
@@ -24,17 +26,51 @@ def _grams(words: DataFrame) -> DataFrame:
     return sized.where(F.col("at") + F.col("width") - 1 <= F.length("word")).select("word", F.substr("word", F.col("at"), F.col("width")).alias("gram"))
 
 
+def _edge_keys(word: Column, at_end: bool) -> Column:
+    """The one to three characters at an edge of ``word``, as an array of ``(width, edge)``."""
+    edges = [F.struct(F.lit(w).alias("width"), (F.right(word, F.lit(w)) if at_end else F.left(word, F.lit(w))).alias("edge")) for w in range(1, _GRAM + 1)]
+    return F.filter(F.array(*edges), lambda e: e["width"] <= F.length(word))
+
+
+def _piece_matches(pieces: DataFrame, vocabulary: DataFrame) -> DataFrame:
+    """``(kind, piece, word, df)``: the text words each distinct piece can stand in.
+
+    An inner piece is a whole word of the text, the first one ends a word and the last one begins one.
+    """
+    wanted = pieces.select("kind", "piece").distinct()
+    inner = wanted.where("kind = 'inner'").join(vocabulary.withColumn("piece", F.col("word")), "piece").select("kind", "piece", "word", "df")
+    edges = []
+    for kind, at_end in (("first", True), ("last", False)):
+        width = F.least(F.length("piece"), F.lit(_GRAM))
+        edge = F.right("piece", width) if at_end else F.left("piece", width)
+        keyed = wanted.where(F.col("kind") == kind).select("kind", "piece", width.alias("width"), edge.alias("edge"))
+        words = exploded(vocabulary, ["word", "df"], _edge_keys(F.col("word"), at_end), "e").select("word", "df", "e.width", "e.edge")
+        stands = F.endswith("word", "piece") if at_end else F.startswith("word", "piece")
+        edges.append(words.join(keyed, ["width", "edge"]).where(stands).select("kind", "piece", "word", "df"))
+    return inner.unionByName(edges[0]).unionByName(edges[1])
+
+
+def _blank_labels(texts: DataFrame, named: DataFrame) -> DataFrame:
+    """``(id, label)`` of labels of blanks only, looked up in the distinct runs of blanks of the corpus."""
+    runs = exploded(texts, ["id"], F.array_distinct(F.regexp_extract_all("text", F.lit(_SPACE), F.lit(0))), "run")
+    blank = named.where(F.col("label").rlike(rf"^{_SPACE}$")).select("label", F.left("label", F.lit(1)).alias("char")).distinct()
+    letters = exploded(runs.select("run").distinct(), ["run"], F.array_distinct(F.split("run", "")), "char")
+    held = letters.join(blank, "char").where(F.contains("run", "label")).select("run", "label").distinct()
+    return runs.join(held, "run").select("id", "label").distinct()
+
+
 def dictionary_labels(docs: DataFrame, labels: DataFrame, id_column: str = "warc_id", text_column: str = "body") -> DataFrame:
     """``(id, label, kb_id)`` for every label that is a substring of a record's text; records without id are skipped.
 
-    Every label gets an anchor: a word of it that a matching text must hold.
+    Every label gets an anchor: a piece of it that a matching text must hold.
 
-    * Three or more words: an inner word must stand in the text as a whole word. The one in the fewest records is the anchor; if any
-      inner word is in no record, the label is nowhere.
-    * One or two words: the longest word must lie inside some word of the text. Which distinct text words hold it is settled by a
-      join on character triples.
+    * Two or more pieces: an inner piece must be a word of the text, the first must end a word and the last begin one. The piece whose
+      words are in the fewest records is the anchor, so common words like "of" never are unless all of a label is common; if any piece
+      is in no record, the label is nowhere.
+    * One piece: it must lie inside some word of the text. Which distinct text words hold it is settled by a join on character triples.
+    * Blanks only: looked up in the corpus's distinct runs of blanks.
 
-    Records holding an anchor are then checked for the whole label, unless the anchor is all of it. A label of blanks only names nothing and is left out.
+    Records holding an anchor are then checked for the whole label, unless the anchor is all of it.
     """
     texts = docs.where(F.col(id_column).isNotNull()).select(F.col(id_column).alias("id"), F.col(text_column).alias("text"))
     words = exploded(texts, ["id"], F.array_distinct(_pieces(F.col("text"))), "word").where("word <> ''")
@@ -43,36 +79,36 @@ def dictionary_labels(docs: DataFrame, labels: DataFrame, id_column: str = "warc
     named = labels.select("label", "kb_id").where("label <> ''").distinct()
     cut = named.select("label").distinct().withColumn("pieces", _pieces(F.col("label")))
 
-    inner = cut.where(F.size("pieces") >= 3).withColumn("inner", F.slice("pieces", F.lit(2), F.size("pieces") - 2))
-    rarest = W.partitionBy("label").orderBy("df", "word")
-    inner_anchors = (
-        inner.select("label", F.size(F.array_distinct("inner")).alias("wanted"), F.explode(F.array_distinct("inner")).alias("word"))
-        .join(vocabulary, "word")
+    n = F.size("pieces")
+    kind = lambda i: F.when(i == 0, "first").when(i == n - 1, "last").otherwise("inner")
+    kinds = F.array_distinct(F.transform("pieces", lambda piece, i: F.struct(kind(i).alias("kind"), piece.alias("piece"))))
+    wanted = F.filter(kinds, lambda p: p["piece"] != "")
+    pieces = exploded(cut.where(n >= 2), ["label", F.size(wanted).alias("wanted")], wanted, "p").select("label", "wanted", "p.kind", "p.piece")
+    matches = _piece_matches(pieces, vocabulary)
+    sizes = matches.groupBy("kind", "piece").agg(F.sum("df").alias("df"))
+    rarest = W.partitionBy("label").orderBy("df", "kind", "piece")
+    long_anchors = (
+        pieces.join(sizes, ["kind", "piece"])
         .withColumn("place", F.row_number().over(rarest))
         .withColumn("found", F.count("*").over(W.partitionBy("label")))
         .where((F.col("place") == 1) & (F.col("found") == F.col("wanted")))
+        .select("label", "kind", "piece")
+        .join(matches, ["kind", "piece"])
         .select("label", "word")
     )
 
-    short = cut.where(F.size("pieces") < 3).select(
-        "label",
-        F.when(F.length(F.col("pieces")[0]) >= F.length(F.element_at("pieces", -1)), F.col("pieces")[0])
-        .otherwise(F.element_at("pieces", -1))
-        .alias("anchor"),
-    )
-    parts = short.where("anchor <> ''").select("anchor").distinct()
+    # A label of one piece is all in one word, so it is in a text once that word is.
+    single = cut.where(n == 1).select("label")
     held = (
         _grams(vocabulary)
-        .join(parts.select("anchor", F.substr("anchor", F.lit(1), F.lit(_GRAM)).alias("gram")), "gram")
-        .where(F.contains("word", "anchor"))
-        .select("word", "anchor")
+        .join(single.select("label", F.substr("label", F.lit(1), F.lit(_GRAM)).alias("gram")), "gram")
+        .where(F.contains("word", "label"))
+        .select("word", "label")
         .distinct()
     )
-    # A label of one word is in the text once it is in a word of the text; only longer labels are looked at again.
-    short_anchors = short.join(held, "anchor").select("label", "word", (F.col("label") == F.col("anchor")).alias("settled"))
-    anchors = inner_anchors.select("label", "word", F.lit(False).alias("settled")).unionByName(short_anchors)
+    anchors = long_anchors.select("label", "word", F.lit(False).alias("settled")).unionByName(held.select("label", "word", F.lit(True).alias("settled")))
 
-    near = words.join(anchors, "word").groupBy("id", "label").agg(F.first("settled").alias("settled"))
+    near = balanced_join(words, stored(anchors, "anchors"), "word").groupBy("id", "label").agg(F.first("settled").alias("settled"))
     checked = near.where(~F.col("settled")).join(texts, "id").where(F.contains("text", "label"))
-    found = near.where("settled").select("id", "label").unionByName(checked.select("id", "label"))
+    found = near.where("settled").select("id", "label").unionByName(checked.select("id", "label")).unionByName(_blank_labels(texts, named))
     return found.join(named, "label").select(F.col("id").alias(id_column), "label", "kb_id")

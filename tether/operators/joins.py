@@ -26,7 +26,7 @@ def split_keys(left: DataFrame, heavy: DataFrame, on: str) -> DataFrame:
         .join(heavy, on)
         .groupBy(on)
         .agg(F.count("*").alias("n_left"), F.max("n_right").alias("n_right"))
-        .select(on, F.least(F.ceil(F.col("n_left") * F.col("n_right") / PAIRS_PER_TASK), F.col("n_left")).alias("salts"))
+        .select(on, F.least(F.ceil(F.col("n_left").cast("double") * F.col("n_right") / PAIRS_PER_TASK), F.col("n_left")).alias("salts"))
         .where("salts > 1")
     )
 

@@ -133,9 +133,12 @@ def search_hits(mentions: DataFrame, labels: DataFrame, size: int = 100) -> Data
 
 
 def top_hits(hits: DataFrame, results: int = 10) -> DataFrame:
-    """First ``results`` hits of each mention; ``hits`` may come from ``search_hits`` or from parsed search responses."""
+    """First ``results`` hits of each mention; ``hits`` may come from ``search_hits`` or from parsed search responses.
+
+    Hits of a response with equal scores keep their order there (``pos``).
+    """
     order = [F.desc("search_score")]
-    order += [F.col(c) for c in ("n_words", "kb_id", "label") if c in hits.columns]
+    order += [F.col(c) for c in ("pos", "n_words", "kb_id", "label") if c in hits.columns]
     best = W.partitionBy("mention").orderBy(*order)
     return hits.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= results)
 

@@ -20,25 +20,36 @@ def description_nouns(abstracts: DataFrame, **mention_options) -> DataFrame:
 
 def scored_candidates(
     counts: DataFrame,
-    labels: DataFrame,
-    triples: DataFrame,
+    labels: DataFrame | None,
+    triples: DataFrame | None,
     word_threshold: float = 0.8,
     size: int = 100,
     results: int = 10,
     english: str = graph.ENGLISH,
     normalize: str = "document",
     min_score: float | None = None,
+    candidates: DataFrame | None = None,
+    descriptions: DataFrame | None = None,
     **mention_options,
 ) -> DataFrame:
     """``(warc_id, mention, n, kb_id, search_score, score)`` for every candidate with an English abstract.
 
+    ``candidates (mention, kb_id, search_score)`` and ``descriptions (kb_id, abstract)``, for instance from stored responses, take the
+    place of the search in ``labels`` and of the look-up in ``triples``.
+
     ``counts`` is ``mention_counts`` of the documents. Each distinct mention is searched once, each candidate's abstract is read once.
     ``min_score`` drops candidates below it; given to a job that keeps only links of that score, it changes no link and spares the
     ranking of all the others.
     """
     # Tables below are read more than once: kept rather than computed again.
-    candidates = stored(search.best_candidates(counts, labels, size, results), "candidates")
-    abstracts = stored(graph.kb_abstracts(triples, candidates, suffix=english), "abstracts")
+    if candidates is None:
+        candidates = search.best_candidates(counts, labels, size, results)
+    candidates = stored(candidates, "candidates")
+    if descriptions is None:
+        descriptions = graph.kb_abstracts(triples, candidates, suffix=english)
+    else:
+        descriptions = graph.english_abstracts(descriptions, english).join(candidates.select("kb_id").distinct(), "kb_id", "left_semi")
+    abstracts = stored(descriptions, "abstracts")
     usable = graph.candidates_with_abstract(candidates, abstracts).select("mention", "kb_id", "search_score")
     nouns = stored(description_nouns(abstracts, **mention_options), "nouns")
     similar = stored(similar_words(counts.select("mention"), nouns.select("mention"), word_threshold), "similar")
@@ -52,25 +63,27 @@ def scored_candidates(
 
 def best_links(
     docs: DataFrame,
-    labels: DataFrame,
-    triples: DataFrame,
+    labels: DataFrame | None = None,
+    triples: DataFrame | None = None,
     threshold: float = 0.2,
     word_threshold: float = 0.8,
     size: int = 100,
     results: int = 10,
     english: str = graph.ENGLISH,
     normalize: str = "document",
+    candidates: DataFrame | None = None,
+    descriptions: DataFrame | None = None,
     **mention_options,
 ) -> DataFrame:
     """``(warc_id, mention, n, kb_id, score)``: the link of each distinct mention and how often the record has it."""
     counts = stored(mention_counts(document_mentions(docs, **mention_options)), "mentions")
     scored = scored_candidates(
-        counts, labels, triples, word_threshold, size, results, english, normalize, threshold, **mention_options
+        counts, labels, triples, word_threshold, size, results, english, normalize, threshold, candidates, descriptions, **mention_options
     )
     return scoring.best_candidate(scored).select("warc_id", "mention", "n", "kb_id", "score")
 
 
-def link_entities(docs: DataFrame, labels: DataFrame, triples: DataFrame, **options) -> DataFrame:
+def link_entities(docs: DataFrame, labels: DataFrame | None = None, triples: DataFrame | None = None, **options) -> DataFrame:
     """``(warc_id, mention, kb_id)``: one row per occurrence of a linked mention. ``options`` are those of ``best_links``.
 
     ``docs`` is ``(warc_id, body)``, ``labels`` is ``(kb_id, label)`` and ``triples`` is ``(s, p, o)``.

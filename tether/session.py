@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import functools
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -29,22 +27,10 @@ def local_session(cores: int | str = 8, name: str = "tether", **conf: str) -> Sp
     return spark
 
 
-@functools.cache
-def _local_dir(application: str) -> str:
-    return tempfile.mkdtemp(prefix=f"tether-{application}-")
-
-
 def shared_dir(spark: SparkSession) -> str:
-    """Folder every executor can reach, as the session's ``spark.checkpoint.dir`` names it.
-
-    Only a local master may go without the setting; it then gets one temporary folder per application.
-    """
+    """Folder every executor can reach, as the session's ``spark.checkpoint.dir`` names it, or else one in the warehouse."""
     path = spark.conf.get("spark.checkpoint.dir", None)
-    if path:
-        return path.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
-    return _local_dir(spark.sparkContext.applicationId)
+    return path.rstrip("/") if path else f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_tether"
 
 
 def fresh_path(spark: SparkSession, name: str) -> str:

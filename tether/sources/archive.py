@@ -18,9 +18,10 @@ def line_separator(line_end: str = "\r\n") -> str:
     return f"\n{MARKER}{line_end}"
 
 
-def record_text(value: Column) -> Column:
-    """A record as the text reader gives it, without the file's first marker line and without line breaks at its end."""
-    return F.rtrim(F.regexp_replace(value, rf"\A\Q{MARKER}\E[ \t]*\r?\n", ""), F.lit("\r\n"))
+def record_texts(value: Column) -> Column:
+    """Records in a piece of an archive, as an array: a marker may have blanks around it, and its line may end in either way."""
+    pieces = F.split(value, rf"(?md)^[ \t\x0B\f\r]*\Q{MARKER}\E[ \t\x0B\f\r]*$\n?", -1)
+    return F.transform(pieces, lambda piece: F.rtrim(piece, F.lit("\r\n")))
 
 
 def warc_records(
@@ -32,22 +33,25 @@ def warc_records(
 ) -> DataFrame:
     """``(path, record)``: the text after each marker line, up to the next one.
 
-    The marker line is the reader's record separator, so records stream out of each file (gzip included) and no file is held whole.
-    A marker inside a line splits nothing. ``line_end`` is what ends the archive's header lines. Line breaks at the end of a record
-    are not part of it, and records without text are skipped.
+    The usual marker line is the reader's separator, so records stream out of each file (gzip included) and no file is held whole; what
+    it gives is split once more at marker lines of any other form. A marker inside a line splits nothing. ``line_end`` is what ends most of
+    the archive's header lines and only bounds memory. Line breaks at the end of a record are not part of it, and records without text
+    are skipped.
 
     A gzip file is read by one task. Archives come as many files, so that is no limit; for few large ones ``partitions`` spreads the
     records before the costly steps. ``drop_trailing`` leaves out the last record of each file, as a reader that emits a record
     only on meeting the next marker would.
     """
     files = spark.read.option("lineSep", line_separator(line_end)).text([paths] if isinstance(paths, str) else list(paths))
-    raw = files.select("value", F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("start"))
+    path, start = F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("start")
+    # Within a split ids grow in reading order, and splits of a file are ordered by where they start.
+    ordered = files.select(path, start, F.monotonically_increasing_id().alias("id"), record_texts(F.col("value")).alias("texts"))
+    raw = ordered.select("path", "start", "id", F.posexplode_outer("texts").alias("place", "record")).where("record <> ''")
     if drop_trailing:
-        # Within a split ids grow in reading order, and splits of a file are ordered by where they start.
-        raw = raw.withColumn("turn", F.struct("start", F.monotonically_increasing_id().alias("id")))
+        raw = raw.withColumn("turn", F.struct("start", "id", "place"))
         last = raw.groupBy("path").agg(F.max("turn").alias("last"))
         raw = raw.join(last, "path").where(F.col("turn") < F.col("last"))
-    records = raw.select("path", record_text(F.col("value")).alias("record")).where("record <> ''")
+    records = raw.select("path", "record")
     return records if partitions is None else records.repartition(partitions)
 
 
@@ -56,21 +60,21 @@ def read_records(records: DataFrame, sep: str = " ", strip_scripts: bool = True)
 
     Reasons: ``empty``, ``no content type``, ``many content types``, ``no id``.
     """
-    text = records.withColumn("text", markup.html_text(F.col("record"), sep, strip_scripts))
-    parts = text.withColumn("parts", markup.header_parts(F.col("text"))).drop("text")
-    read = parts.withColumn("warc_id", markup.record_id(F.get("parts", F.lit(0))))
+    others = records.columns
+    text = records.select(*others, markup.tag_free(F.col("record"), sep, strip_scripts).alias("text"))
+    text = text.select(*others, markup.unescape(F.col("text")).alias("text"))
+    parts = text.select(*others, markup.header_parts(F.col("text")).alias("parts"))
+    warc_id = markup.record_id(F.get("parts", F.lit(0)))
     reason = (
         F.when(F.trim("record", F.lit(" \t\r\n")) == "", "empty")
         .when(F.size("parts") < 2, "no content type")
         .when(F.size("parts") > 2, "many content types")
-        .when(F.col("warc_id").isNull(), "no id")
-    )
-    return read.select(
-        *records.columns,
-        "warc_id",
-        markup.strip_code_blocks(F.get("parts", F.lit(1))).alias("body"),
-        reason.alias("reason"),
+        .when(warc_id.isNull(), "no id")
     )
+    body = markup.strip_code_blocks(F.get("parts", F.lit(1)))
+    # A filter on the outcome stays above the explode; below it, the whole text work would be done a second time at the scan.
+    found = F.explode_outer(F.array(F.struct(warc_id.alias("warc_id"), body.alias("body"), reason.alias("reason")))).alias("found")
+    return parts.select(*others, found).select(*others, "found.*")
 
 
 def documents(read: DataFrame) -> DataFrame:

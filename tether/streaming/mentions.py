@@ -19,7 +19,7 @@ def mention_stream(spark: SparkSession, folder: str, line_end: str = "\r\n", max
     reader = spark.readStream.option("lineSep", archive.line_separator(line_end))
     if max_files is not None:
         reader = reader.option("maxFilesPerTrigger", max_files)
-    records = reader.text(folder).select(archive.record_text(F.col("value")).alias("record")).where("record <> ''")
+    records = reader.text(folder).select(F.explode_outer(archive.record_texts(F.col("value"))).alias("record")).where("record <> ''")
     return document_mentions(archive.documents(archive.read_records(records)))
 
 

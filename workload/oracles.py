@@ -500,6 +500,7 @@ ORACLES: dict[str, str] = {
     ),
     "link_threshold": build("SELECT warc_id, mention, kb_id, round(score, 6) AS score FROM best WHERE score >= 0.2", "best"),
     "link_entities": build("SELECT warc_id, mention, kb_id FROM links", "links"),
+    "link_entities_from_responses": build("SELECT warc_id, mention, kb_id FROM links", "links"),
     "link_entities_with_lexicon": build("SELECT warc_id, mention, kb_id FROM lex_links", "lex_links"),
     "link_entities_by_type": build("SELECT warc_id, mention, kb_id FROM typed_links", "typed_links"),
     "linked_entities": build(

@@ -294,15 +294,19 @@ def best_candidates(spark, sf_dir):
     return _flat_sets(search.best_candidates(_mentions(spark, sf_dir), _labels(spark, sf_dir)))
 
 
-@query
-def flatten_hits(spark, sf_dir):
-    hits = search.search_hits(_mentions(spark, sf_dir), _labels(spark, sf_dir), 20)
+def _hits_json(spark: SparkSession, sf_dir: str, mentions: DataFrame) -> DataFrame:
+    """``(mention, json)``: the first twenty hits of each mention, as a search service would answer."""
+    hits = search.search_hits(mentions, _labels(spark, sf_dir), 20)
     source = F.struct("label", F.col("kb_id").alias("resource")).alias("_source")
     one = F.struct(F.col("search_score").alias("_score"), source).alias("hit")
-    # At most twenty hits to a mention.
     ranked = hits.groupBy("mention").agg(F.array_sort(F.collect_list(F.struct("rank", one))).alias("found"))
     body = F.struct(F.struct(F.transform("found", lambda h: h["hit"]).alias("hits")).alias("hits"))
-    return responses.flatten_hits(ranked.select("mention", F.to_json(body).alias("json")))
+    return ranked.select("mention", F.to_json(body).alias("json"))
+
+
+@query
+def flatten_hits(spark, sf_dir):
+    return responses.flatten_hits(_hits_json(spark, sf_dir, _mentions(spark, sf_dir)))
 
 
 @query
@@ -346,13 +350,17 @@ def concat_abstracts(spark, sf_dir):
     return graph.concat_abstracts(graph.english_abstracts(_abstracts(spark, sf_dir)))
 
 
-@query
-def flatten_bindings(spark, sf_dir):
-    # Few abstracts to an entity.
+def _bindings_json(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``(kb_id, json)``: the abstracts of each entity, few of them, as a graph service would answer."""
     value = F.struct(F.struct(F.col("abstract").alias("value")).alias("abstract"))
     grouped = _abstracts(spark, sf_dir).groupBy("kb_id").agg(F.collect_list(value).alias("bindings"))
     body = F.struct(F.struct("bindings").alias("results"))
-    return responses.flatten_bindings(grouped.select("kb_id", F.to_json(body).alias("json")))
+    return grouped.select("kb_id", F.to_json(body).alias("json"))
+
+
+@query
+def flatten_bindings(spark, sf_dir):
+    return responses.flatten_bindings(_bindings_json(spark, sf_dir))
 
 
 # Scores and links ----------------------------------------------------------------------------------------------------------------
@@ -403,6 +411,18 @@ def link_entities(spark, sf_dir):
     return linking.link_entities(t.docs(spark, sf_dir), *_knowledge(spark, sf_dir), **_lemma_options(spark, sf_dir))
 
 
+@query
+def link_entities_from_responses(spark, sf_dir):
+    """Links whose candidates and abstracts come from stored answers of the two services."""
+    options = _lemma_options(spark, sf_dir)
+    docs = t.docs(spark, sf_dir)
+    names = stored(exploded(pd.document_mentions(docs, **options), [], "mentions", "mention").distinct(), "mentions")
+    hits = responses.flatten_hits(_hits_json(spark, sf_dir, names))
+    candidates = search.label_sets(search.top_hits(hits))
+    descriptions = responses.flatten_bindings(_bindings_json(spark, sf_dir))
+    return linking.link_entities(docs, candidates=candidates, descriptions=descriptions, **options)
+
+
 @query
 def link_entities_by_type(spark, sf_dir):
     """Links of typed entities only, in records and descriptions alike."""

@@ -108,9 +108,15 @@ def page_records(spark: SparkSession, sf_dir: str) -> DataFrame:
 def page_archive(spark: SparkSession, sf_dir: str) -> str:
     """Write the page records as gzip archives, several files of them, and return their folder."""
     path = fresh_path(spark, "archive")
+    # Marker lines differ from page to page, as they do in archives put together from several sources.
+    marker = (
+        F.when(F.contains("record", F.lit('<html lang="fr">')), F.lit("WARC/1.0 \n"))
+        .when(F.contains("record", F.lit("&quot;")), F.lit(" WARC/1.0\t\r\n"))
+        .otherwise(F.lit("WARC/1.0\r\n"))
+    )
     (
         spread(page_records(spark, sf_dir), "page_id")
-        .select(F.concat(F.lit("WARC/1.0\r\n"), "record").alias("value"))
+        .select(F.concat(marker, "record").alias("value"))
         .write.option("lineSep", "\r\n\r\n")
         .option("compression", "gzip")
         .text(path)
