@@ -1,14 +1,14 @@
 import pytest
 
-from tether.llm.queries import importable
+from tether.llm.queries import prepared
 
 SF = "/root/testdata/sf0.001"
 WORDS = "alpha beta gamma delta omega sigma theta kappa lambda zeta river stone cloud forest window garden letter winter summer".split()
 
 
 @pytest.fixture(autouse=True, scope="session")
-def _importable(spark):
-    importable(spark)
+def _prepared(spark):
+    prepared(spark)
 
 
 @pytest.fixture(scope="session")
