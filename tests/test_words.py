@@ -101,4 +101,5 @@ def test_typed_entities(table):
         (2, "Bob", "GPE"),
     }
     assert {(r.entity, r.type) for r in m.entity_types(found).collect()} == {("Bob", "PERSON"), ("Big Red", "ORGANIZATION")}
-    assert m.entity_mentions(m.typed_entities(tagged, gazetteer, ["GPE"])).first().mentions == ["Bob"]
+    places = m.entity_mentions(m.typed_entities(tagged, gazetteer, ["GPE"]), tagged)
+    assert {r.warc_id: r.mentions for r in places.collect()} == {"1": ["Bob"], "2": []}
