@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tether.llm import language, line_dedup, packing, quality_net, simhash
-from tether.llm.queries import importable
+from tether.llm.queries import prepared
 from tether.session import stored
 
 # Below this score a document goes; the classifier's own threshold for calling a text good is higher.
@@ -20,29 +20,29 @@ MIN_QUALITY = 0.5
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    importable(spark)
+    prepared(spark)
     return language.filter_language(docs, language.learn(docs))
 
 
 def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    importable(spark)
+    prepared(spark)
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
     return quality_net.filter_quality(docs, quality_net.learn(docs, labels), MIN_QUALITY)
 
 
 def line_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    importable(spark)
+    prepared(spark)
     kept = line_dedup.drop_lines(docs, line_dedup.repeated_lines(docs))
     return kept.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
 
 
 def simhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    importable(spark)
+    prepared(spark)
     return simhash.drop_near_duplicates(docs)
 
 
 def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    importable(spark)
+    prepared(spark)
     return packing.pack(docs, public_tokenizers.path("byte_bpe_50k.json"))
 
 

@@ -29,7 +29,9 @@ EDITS, MIN_CHARS, EDIT_CHARS = 2, 20, 40
 # Lines under one segment compared in one task: two blocks at most.
 BLOCK = 512
 PAIRS_AT_ONCE = 1 << 16
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 1 << 20
+# Pairs verified side by side, and code points they may be padded to together.
+PAIRS_TOGETHER, CHARS_TOGETHER = 2048, 1 << 21
 TOP = np.uint64(1 << 63)
 ONE = np.uint64(1)
 BASE = 0x2545F4914F6CDD1D
@@ -150,6 +152,7 @@ def links_in_groups(table: pa.Table, starts: np.ndarray, edits: int) -> tuple[np
     """Rows of linked lines: ``(later, earlier)`` with the earliest such line for each later one and group."""
     ids, index, own, p, q = (table.column(c).to_numpy(zero_copy_only=False) for c in ("id", "index", "own", "p", "q"))
     lines = table.column("line").to_pylist()
+    line_sizes = np.array([len(line) for line in lines], dtype=np.int64)
     rank = np.asarray(table.column("rank").to_numpy())
     left, right = [], []
     later: list[np.ndarray] = []
@@ -159,9 +162,16 @@ def links_in_groups(table: pa.Table, starts: np.ndarray, edits: int) -> tuple[np
         a, b = np.concatenate(left), np.concatenate(right)
         left.clear(), right.clear()
         # Pairs of like length together, so that short lines are not padded to long ones.
-        order = np.argsort(np.array([len(lines[i]) for i in a]), kind="stable")
-        for i in range(0, len(order), 2048):
-            x, y = a[order[i : i + 2048]], b[order[i : i + 2048]]
+        longer = np.maximum(line_sizes[a], line_sizes[b])
+        order = np.argsort(longer, kind="stable")
+        i = 0
+        while i < len(order):
+            # Rows are padded to the longest of them, so long lines are taken few at a time.
+            some = order[i : i + PAIRS_TOGETHER]
+            fit = np.cumsum(longer[some] > 0) * longer[some] <= CHARS_TOGETHER
+            some = some[: max(1, int(fit.sum()))]
+            i += len(some)
+            x, y = a[some], b[some]
             seen, places = np.unique(np.concatenate((x, y)), return_inverse=True)
             rows, sizes = _code_points([lines[j] for j in seen])
             u, v = places[: len(x)], places[len(x) :]

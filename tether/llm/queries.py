@@ -15,14 +15,22 @@ from tether.llm import byte_bpe, embedding_dedup, language, line_dedup, packing,
 from tether.llm.oracles import ORACLES
 from tether.session import fresh_path
 
-__all__ = ["ORACLES", "REGISTRY", "importable"]
+__all__ = ["ORACLES", "REGISTRY", "prepared"]
 
 Query = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, Query] = {}
 
 
-def importable(spark: SparkSession) -> None:
-    """Let Python workers import this package from where the driver has it; on a cluster it comes with the job (``--py-files``)."""
+# Rows of one Arrow batch: whole texts are large, and a batch is held by the JVM and by Python at once.
+BATCH_ROWS = 1000
+
+
+def prepared(spark: SparkSession) -> None:
+    """Let Python workers import this package from where the driver has it, and keep batches of texts small.
+
+    On a cluster the package comes with the job (``--py-files``).
+    """
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
     root = str(Path(__file__).resolve().parents[2])
     environment = spark.sparkContext.environment
     if root not in environment.get("PYTHONPATH", "").split(os.pathsep):
@@ -32,7 +40,7 @@ def importable(spark: SparkSession) -> None:
 def query(fn: Query) -> Query:
     @functools.wraps(fn)
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        importable(spark)
+        prepared(spark)
         return fn(spark, sf_dir)
 
     REGISTRY[fn.__name__] = run
