@@ -32,10 +32,8 @@ def query(fn: Query) -> Query:
 
 def _lemma_options(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     """Known words and irregular forms of the corpus as stored tables, as dictionaries would come."""
-    return {
-        "lemma_lexicon": stored(_lexicon(spark, sf_dir), "known-words"),
-        "lemma_exceptions": stored(_exceptions(spark, sf_dir), "irregular"),
-    }
+    known = stored(_lexicon(spark, sf_dir), "known-words")
+    return {"lemma_lexicon": known, "lemma_exceptions": stored(_irregular(known), "irregular")}
 
 
 def _words(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -69,13 +67,18 @@ def _raw_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _lexicon(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Known words: the lower-case words of the corpus."""
-    return _raw_tokens(spark, sf_dir).where(F.col("token").rlike("^[a-z]+$")).select(F.col("token").alias("word"))
+    tokens = exploded(t.docs(spark, sf_dir), [], F.array_distinct(fw.tokens(F.col("body"))), "word")
+    return tokens.where(F.col("word").rlike("^[a-z]+$")).distinct()
+
+
+def _irregular(known: DataFrame) -> DataFrame:
+    ae = known.where(F.col("word").endswith("ae"))
+    return ae.select("word", F.expr("substring(word, 1, length(word) - 1)").alias("form"))
 
 
 def _exceptions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Irregular forms: words of the corpus in ``-ae`` go with the form in ``-a``."""
-    ae = _lexicon(spark, sf_dir).where(F.col("word").endswith("ae"))
-    return ae.select("word", F.expr("substring(word, 1, length(word) - 1)").alias("form"))
+    return _irregular(_lexicon(spark, sf_dir))
 
 
 def _word_counts(rows: DataFrame) -> DataFrame:
