@@ -180,3 +180,30 @@ def test_long_texts_count_whole():
     sorter = language.Classifier(tuple(known.items()))
     text = "zzz " * 300 + "einen anderen garten voller worte " * 400
     assert sorter.classify(text)[0] == "b" and sorter.classify("beta gamma delta alpha")[0] == "a"
+
+
+def test_narrow_margins_are_rejected(spark):
+    """Equal but for one or two bytes, or for less than the share asked for: not only exact ties go."""
+    docs = spark.read.parquet(f"{SF01}/documents.parquet")
+    known = language.learn(docs)
+    sorter = language.Classifier(tuple(sorted(known.items())))
+    draw = np.random.default_rng(1)
+    letters = np.array(list("abcdefghijklmnopqrstuvwxyz"))
+    texts = [" ".join("".join(draw.choice(letters, draw.integers(2, 11))) for _ in range(100)) for _ in range(60)]
+    texts += [r.text for r in docs.where("doc_id % 40 = 0").select("text").collect()]
+    found = [sorter.classify(t) for t in texts]
+    assert any(0.002 <= margin < language.MIN_MARGIN for _, margin, _ in found)
+    rows = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    rejected = {r.doc_id: r.rejected for r in language.detect(rows, known).collect()}
+    assert rejected == {i: margin < language.MIN_MARGIN or lead < language.MIN_LEAD for i, (_, margin, lead) in enumerate(found)}
+    assert sum(rejected[i] for i in range(60)) >= 57
+    kept = {r.doc_id for r in language.filter_language(rows, known).collect()}
+    assert kept == {i for i, gone in rejected.items() if not gone}
+
+
+def test_short_texts_need_a_lead_in_bytes(spark, monkeypatch):
+    monkeypatch.setattr(language.Classifier, "classify", lambda self, text: ("en", 0.5, int(text)))
+    work = language._work({"en": b""})([str(lead) for lead in range(6)])
+    rows = spark.createDataFrame([(s, n) for s, n in zip(work["score"].to_pylist(), work["lead"].to_pylist())], "score double, lead int")
+    kept = rows.where(language._clear(F.col("score"), F.col("lead"), language.MIN_MARGIN, language.MIN_LEAD)).collect()
+    assert sorted(r.lead for r in kept) == list(range(language.MIN_LEAD, 6))

@@ -12,8 +12,9 @@ from __future__ import annotations
 import functools
 from collections.abc import Callable
 
+import pyarrow as pa
 import zstandard
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tether.llm.texts import held_out, judged, map_texts
@@ -23,8 +24,12 @@ UNKNOWN = "und"
 SHARES, SAMPLE_CHARS = 96, 1200
 # Text compressed at once. With smaller blocks the dictionary says more, with larger ones the text itself does.
 BLOCK = 2048
-# A text is rejected if the best language makes it smaller than the second by less than this share.
-MIN_MARGIN = 0.002
+# A text is rejected if the best language makes it smaller than the second by less than this share, or by fewer bytes than this.
+MIN_MARGIN, MIN_LEAD = 0.02, 3
+
+# Lead of a language without a second one.
+ALONE = (1 << 31) - 1
+FOUND = "lang_pred string, score double, lead int"
 
 LETTERS = bytes(b if b >= 0x80 or chr(b).isalpha() else 0x20 for b in range(256))
 
@@ -73,16 +78,18 @@ class Classifier:
         self.names = [name for name, _ in dictionaries]
         self.compressors = [compressor(sample) for _, sample in dictionaries]
 
-    def classify(self, text: str) -> tuple[str, float]:
-        """Language and margin: by what share the best language's size is below the second's."""
+    def classify(self, text: str) -> tuple[str, float, int]:
+        """Language, margin and lead: by what share and by how many bytes the best language's size is below the second's."""
         if not self.names or not any(map(str.isalpha, text)):
-            return UNKNOWN, 0.0
+            return UNKNOWN, 0.0, 0
         data = letters(text)
         blocks = [data[i : i + BLOCK] for i in range(0, len(data), BLOCK)]
         sizes = [sum(map(len, map(compress, blocks))) for compress in self.compressors]
         best = min(range(len(sizes)), key=sizes.__getitem__)
         others = sizes[:best] + sizes[best + 1 :]
-        return self.names[best], 1 - sizes[best] / min(others) if others else 1.0
+        if not others:
+            return self.names[best], 1.0, ALONE
+        return self.names[best], 1 - sizes[best] / min(others), min(others) - sizes[best]
 
 
 @functools.lru_cache(maxsize=2)
@@ -95,17 +102,25 @@ def _work(dictionaries: dict[str, bytes]):
 
     def work(texts: list[str]) -> dict:
         found = [_classifier(fixed).classify(t) for t in texts]
-        return {"lang_pred": [lang for lang, _ in found], "score": [margin for _, margin in found]}
+        names, margins, leads = zip(*found) if found else ((), (), ())
+        return {"lang_pred": pa.array(names, pa.string()), "score": pa.array(margins, pa.float64()), "lead": pa.array(leads, pa.int32())}
 
     return work
 
 
-def detect(docs: DataFrame, dictionaries: dict[str, bytes], key: str = "doc_id", text: str = "text", min_margin: float = MIN_MARGIN) -> DataFrame:
+def _clear(score: Column, lead: Column, min_margin: float, min_lead: int) -> Column:
+    return (score >= min_margin) & (lead >= min_lead)
+
+
+def detect(
+    docs: DataFrame, dictionaries: dict[str, bytes], key: str = "doc_id", text: str = "text", min_margin: float = MIN_MARGIN, min_lead: int = MIN_LEAD
+) -> DataFrame:
     """``(key, held_out, lang_pred, score, rejected)``."""
-    found = map_texts(docs, key, text, _work(dictionaries), "lang_pred string, score double")
-    return found.select(key, held_out(key).alias("held_out"), "lang_pred", "score", (F.col("score") < min_margin).alias("rejected"))
+    found = map_texts(docs, key, text, _work(dictionaries), FOUND)
+    rejected = ~_clear(F.col("score"), F.col("lead"), min_margin, min_lead)
+    return found.select(key, held_out(key).alias("held_out"), "lang_pred", "score", rejected.alias("rejected"))
 
 
-def filter_language(docs: DataFrame, dictionaries: dict[str, bytes], text: str = "text", min_margin: float = MIN_MARGIN) -> DataFrame:
+def filter_language(docs: DataFrame, dictionaries: dict[str, bytes], text: str = "text", min_margin: float = MIN_MARGIN, min_lead: int = MIN_LEAD) -> DataFrame:
     """``docs`` without the rows whose language is rejected; all columns as they were."""
-    return judged(docs, text, _work(dictionaries), "lang_pred string, score double", lambda found: found["score"] >= min_margin)
+    return judged(docs, text, _work(dictionaries), FOUND, lambda found: _clear(found["score"], found["lead"], min_margin, min_lead))
