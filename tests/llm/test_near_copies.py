@@ -263,3 +263,45 @@ def test_lines_of_odd_and_empty_tables(odd):
     assert line_dedup.drop_lines(odd, gone).columns == odd.columns
     assert gone.where(F.col("doc_id").isNull()).count() == 0
     assert line_dedup.repeated_lines(odd.limit(0)).collect() == []
+
+
+def with_words_changed(draw, line, n):
+    words = line.split(" ")
+    for _ in range(n):
+        words[draw.randrange(len(words))] = draw.choice(WORDS)
+    return " ".join(words)
+
+
+def brute_growing(rows):
+    first = {}
+    for key, text in rows:
+        for pos, line in enumerate(text.split("\n")):
+            first[line] = min(first.get(line, (key, pos)), (key, pos))
+    near = {}
+    for a in first:
+        for b in first:
+            short = min(len(a), len(b))
+            most = min(15, max(2, short // 20))
+            if first[b] < first[a] and short >= 20 and abs(len(a) - len(b)) <= most and distance(a, b) <= most:
+                near[a] = min(near.get(a, first[b]), first[b])
+    return {(*first[a], *earliest) for a, earliest in near.items()}
+
+
+@pytest.mark.parametrize("block", [512, 3])
+def test_edits_grow_with_the_line(spark, monkeypatch, block):
+    """Long lines with changed words and lines of 20 to 39 characters, against brute force."""
+    monkeypatch.setattr(line_dedup, "BLOCK", block)
+    draw = random.Random(8)
+    lines = [" ".join(draw.choices(WORDS, k=n)) for n in (3, 4, 5, 6, 9, 12, 20, 30, 50, 70)]
+    lines += [with_words_changed(draw, draw.choice(lines), draw.randint(1, 3)) for _ in range(45)]
+    lines += [edited(draw, draw.choice(lines), draw.randint(1, 17)) for _ in range(25)]
+    lines += ["copyright the authors 2019", "copyright the authors 2020"]
+    draw.shuffle(lines)
+    rows = [(i, "\n".join(lines[i * 3 : i * 3 + 3])) for i in range(-(-len(lines) // 3))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    found = line_dedup.repeated_lines(docs, edit_chars=20, share=line_dedup.SHARE).where("reason = 'near'").collect()
+    want = brute_growing(rows)
+    size = {(key, pos): len(line) for key, text in rows for pos, line in enumerate(text.split("\n"))}
+    assert {(r.doc_id, r.pos, r.first_key, r.first_pos) for r in found} == want
+    assert any(size[w[:2]] >= 300 for w in want) and any(size[w[:2]] < 40 for w in want)
+    assert len(line_dedup.repeated_lines(docs).where("reason = 'near'").collect()) < len(want)

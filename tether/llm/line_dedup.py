@@ -6,7 +6,8 @@ could be; lines that meet under a segment are verified with a banded bit-paralle
 
 A line is a stretch between line feeds, and lines are ordered by document key and place. A line goes if it equals an earlier one, or is
 linked to an earlier one, whether that one stays or not. Lines under ``min_chars`` characters always stay: they say too little to be a copy.
-Lines under ``edit_chars`` are only compared for equality, so no segment is short. Null and empty texts have no such line; a null key comes
+Lines under ``edit_chars`` are only compared for equality. With ``share``, the edits grow with the line: one for each ``share`` characters of
+the shorter of the two, ``edits`` at least and ``MOST_EDITS`` at most. Null and empty texts have no such line; a null key comes
 before all others. Rows that repeat both key and text are not told apart: their lines go or stay together.
 """
 
@@ -26,6 +27,10 @@ from tether.llm.texts import slices
 from tether.session import stored
 
 EDITS, MIN_CHARS, EDIT_CHARS = 2, 20, 40
+# Characters for each edit where edits grow with the line, and the edits that no line goes beyond: it has 300 characters then.
+SHARE, MOST_EDITS = 20, 15
+# Lines of one length class are cut alike; a class ends where the edits grow, or at so many times its first length.
+CLASS_GROWTH = 1.25
 # Lines under one segment compared in one task: two blocks at most.
 BLOCK = 512
 PAIRS_AT_ONCE = 1 << 16
@@ -90,6 +95,57 @@ def segment_keys(lines: list[str], edits: int, edit_chars: int) -> tuple[np.ndar
     return np.concatenate(found), np.concatenate([u for u, _ in own]), np.concatenate([x for _, x in own])
 
 
+def allowed(sizes: np.ndarray, edits: int, share: int | None) -> np.ndarray:
+    """Edits at which a line may be linked with one that is not shorter."""
+    return np.full(len(sizes), edits) if share is None else np.clip(sizes // share, edits, max(edits, MOST_EDITS))
+
+
+def class_bounds(longest: int, edits: int, edit_chars: int, share: int) -> list[int]:
+    """First lengths of the classes up to ``longest``, and the one after them; a class has one number of edits."""
+    bounds = [edit_chars]
+    while bounds[-1] <= longest:
+        here = bounds[-1]
+        later = np.arange(here + 1, max(here + 2, int(here * CLASS_GROWTH) + 1))
+        grown = later[allowed(later, edits, share) > allowed(np.array([here]), edits, share)]
+        bounds.append(int(grown[0] if len(grown) else later[-1]))
+    return bounds
+
+
+def class_keys(lines: list[str], edits: int, edit_chars: int, share: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """As ``segment_keys``, with edits that grow: ``(part, line, index)``.
+
+    The first characters of a class's lines, as many as its shortest line has, are cut into one segment more than it has edits. For some i,
+    segment i is whole, i edits lie before it and the rest after it. So it stands in the longer line at most i places before and after its
+    own, and no more than the rest before it, as the longer line does not end earlier.
+    """
+    sizes = np.fromiter(map(len, lines), dtype=np.int64, count=len(lines))
+    starts = np.cumsum(sizes) - sizes
+    points = np.frombuffer("".join(lines).encode("utf-32-le", "surrogatepass"), dtype=np.uint32).astype(np.uint64)
+    longest = int(sizes.max(initial=0)) + 1
+    places = np.arange(len(points)) - np.repeat(starts, sizes)
+    sums = np.concatenate((np.zeros(1, dtype=np.uint64), np.cumsum(_mixed(points + np.uint64(1)) * _powers(BASE, longest)[places])))
+    back = _powers(pow(BASE, -1, 1 << 64), longest)
+    found, line, own = [], [], []
+    bounds = class_bounds(longest, edits, edit_chars, share)
+    for low, high in zip(bounds, bounds[1:]):
+        most = int(allowed(np.array([low]), edits, share)[0])
+        usable = np.flatnonzero((sizes >= low) & (sizes < high + most))
+        if not len(usable):
+            continue
+        cuts = low * np.arange(most + 2) // (most + 1)
+        segment, shift = np.array([(i, d) for i in range(most + 1) for d in range(max(-i, i - most), i + 1)]).T
+        at, width = cuts[segment] + shift, np.diff(cuts)[segment]
+        which, probe = np.nonzero((at >= 0) & (at + width <= sizes[usable][:, None]))
+        begin = starts[usable][which] + at[probe]
+        hashed = (sums[begin + width[probe]] - sums[begin]) * back[at[probe]]
+        found.append(_mixed(_mixed(hashed) + (low * 64 + segment[probe]).astype(np.uint64)).view(np.int64))
+        line.append(usable[which])
+        own.append((shift[probe] == 0) & (sizes[usable][which] < high))
+    if not found:
+        return np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int64), np.zeros(0, dtype=bool)
+    return np.concatenate(found), np.concatenate(line), np.concatenate(own)
+
+
 def edit_distances(first: np.ndarray, first_sizes: np.ndarray, second: np.ndarray, second_sizes: np.ndarray, most: int) -> np.ndarray:
     """Edit distance of each pair of rows of code points, ``most + 1`` where it is more than ``most``.
 
@@ -148,7 +204,32 @@ def _code_points(lines: list[str]) -> tuple[np.ndarray, np.ndarray]:
     return rows, sizes
 
 
-def links_in_groups(table: pa.Table, starts: np.ndarray, edits: int) -> tuple[np.ndarray, np.ndarray]:
+def _without_ends(first: np.ndarray, m: np.ndarray, second: np.ndarray, n: np.ndarray, most: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """The pairs without their common beginnings, which no edit distance depends on; ``most`` characters stay of either line."""
+    width = min(first.shape[1], second.shape[1])
+    differs = first[:, :width] != second[:, :width]
+    same = np.where(differs.any(axis=1), differs.argmax(axis=1), width)
+    skip = np.maximum(np.minimum(same, np.minimum(m, n) - most), 0)
+
+    def rest(rows: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        left = sizes - skip
+        at = skip[:, None] + np.arange(max(1, int(left.max(initial=1))))
+        return np.where(at < sizes[:, None], np.take_along_axis(rows, np.minimum(at, rows.shape[1] - 1), axis=1), -1), left
+
+    return *rest(first, m), *rest(second, n)
+
+
+def _near(first: np.ndarray, m: np.ndarray, second: np.ndarray, n: np.ndarray, most: int) -> np.ndarray:
+    """Which pairs are within ``most`` edits; common beginnings, then common ends are left out before they are compared."""
+    first, m, second, n = _without_ends(first, m, second, n, most)
+    turned = []
+    for rows, sizes in ((first, m), (second, n)):
+        at = sizes[:, None] - 1 - np.arange(rows.shape[1])
+        turned += [np.where(at >= 0, np.take_along_axis(rows, np.maximum(at, 0), axis=1), -1), sizes]
+    return edit_distances(*_without_ends(*turned, most), most) <= most
+
+
+def links_in_groups(table: pa.Table, starts: np.ndarray, edits: int, share: int | None = None) -> tuple[np.ndarray, np.ndarray]:
     """Rows of linked lines: ``(later, earlier)`` with the earliest such line for each later one and group."""
     ids, index, own, p, q = (table.column(c).to_numpy(zero_copy_only=False) for c in ("id", "index", "own", "p", "q"))
     lines = table.column("line").to_pylist()
@@ -161,21 +242,26 @@ def links_in_groups(table: pa.Table, starts: np.ndarray, edits: int) -> tuple[np
     def verify() -> None:
         a, b = np.concatenate(left), np.concatenate(right)
         left.clear(), right.clear()
+        shorter, longer = np.minimum(line_sizes[a], line_sizes[b]), np.maximum(line_sizes[a], line_sizes[b])
+        limit = allowed(shorter, edits, share)
+        # Two lines that share several segments are compared once.
+        _, once = np.unique(np.stack((np.minimum(ids[a], ids[b]), np.maximum(ids[a], ids[b]))), axis=1, return_index=True)
+        once = once[(longer - shorter)[once] <= limit[once]]
+        a, b, longer, limit = a[once], b[once], longer[once], limit[once]
         # Pairs of like length together, so that short lines are not padded to long ones.
-        longer = np.maximum(line_sizes[a], line_sizes[b])
-        order = np.argsort(longer, kind="stable")
+        order = np.lexsort((longer, limit))
         i = 0
         while i < len(order):
             # Rows are padded to the longest of them, so long lines are taken few at a time.
             some = order[i : i + PAIRS_TOGETHER]
-            fit = np.cumsum(longer[some] > 0) * longer[some] <= CHARS_TOGETHER
-            some = some[: max(1, int(fit.sum()))]
+            fit = (np.cumsum(longer[some] > 0) * longer[some] <= CHARS_TOGETHER) & (limit[some] == limit[some[0]])
+            some = some[: max(1, int(np.argmin(np.append(fit, False))))]
             i += len(some)
             x, y = a[some], b[some]
             seen, places = np.unique(np.concatenate((x, y)), return_inverse=True)
             rows, sizes = _code_points([lines[j] for j in seen])
             u, v = places[: len(x)], places[len(x) :]
-            near = edit_distances(rows[u], sizes[u], rows[v], sizes[v], edits) <= edits
+            near = _near(rows[u], sizes[u], rows[v], sizes[v], int(limit[some[0]]))
             x, y = x[near], y[near]
             swap = rank[x] < rank[y]
             later.append(np.where(swap, y, x))
@@ -208,8 +294,8 @@ def links_in_groups(table: pa.Table, starts: np.ndarray, edits: int) -> tuple[np
     return x[first], y[first]
 
 
-def parts_of(docs: DataFrame, edits: int, edit_chars: int, text: str) -> DataFrame:
-    """``(part, id, index)`` of the lines of all texts, see ``segment_keys``; ``id`` is the first half of a line's digest."""
+def parts_of(docs: DataFrame, edits: int, edit_chars: int, text: str, share: int | None = None) -> DataFrame:
+    """``(part, id, index)`` of the lines of all texts, see ``segment_keys`` and ``class_keys``; ``id`` is the first half of a line's digest."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -217,7 +303,7 @@ def parts_of(docs: DataFrame, edits: int, edit_chars: int, text: str) -> DataFra
             for a, b in slices(pc.binary_length(column).to_pylist(), SLICE_BYTES):
                 lines = list({line for whole in column.slice(a, b - a).to_pylist() for line in whole.split("\n") if len(line) >= edit_chars})
                 if lines:
-                    part, line, index = segment_keys(lines, edits, edit_chars)
+                    part, line, index = segment_keys(lines, edits, edit_chars) if share is None else class_keys(lines, edits, edit_chars, share)
                     ids = np.array([xxhash.xxh64_intdigest(x.encode(), 42) for x in lines], dtype=np.uint64).view(np.int64)
                     yield pa.RecordBatch.from_pydict({"part": pa.array(part), "id": pa.array(ids[line]), "index": pa.array(index)})
 
@@ -229,9 +315,9 @@ def sent_if_few(keys: DataFrame) -> DataFrame:
     return F.broadcast(keys) if keys.count() <= BROADCAST_KEYS else keys
 
 
-def near_lines(docs: DataFrame, edits: int, edit_chars: int, key: str, text: str) -> DataFrame:
+def near_lines(docs: DataFrame, edits: int, edit_chars: int, key: str, text: str, share: int | None = None) -> DataFrame:
     """``(h1, h2, first, near)``: lines linked with an earlier one, where they and the earliest such line first stand."""
-    parts = parts_of(docs, edits, edit_chars, text)
+    parts = parts_of(docs, edits, edit_chars, text, share)
     # Lines meet under a part that two different ones have, one of them as its own segment.
     shared = parts.groupBy("part").agg(F.min("id").alias("a"), F.max("id").alias("b"), F.max("index").alias("own")).where("a <> b and own")
     shared = stored(shared.select("part"), "shared-parts")
@@ -251,7 +337,7 @@ def near_lines(docs: DataFrame, edits: int, edit_chars: int, key: str, text: str
         order = pc.sort_indices(pa.table({"k": keys, "p": places}), sort_keys=[("k", "ascending"), ("p", "ascending")], null_placement="at_start")
         rank = np.empty(len(table), dtype=np.int64)
         rank[order.to_numpy()] = np.arange(len(table))
-        later, earlier = links_in_groups(table.append_column("rank", pa.array(rank)), starts, edits)
+        later, earlier = links_in_groups(table.append_column("rank", pa.array(rank)), starts, edits, share)
         return {
             "id": table.column("id").to_numpy()[later],
             "near_key": keys.take(pa.array(earlier)),
@@ -264,7 +350,7 @@ def near_lines(docs: DataFrame, edits: int, edit_chars: int, key: str, text: str
 
 
 def repeated_lines(
-    docs: DataFrame, edits: int = EDITS, min_chars: int = MIN_CHARS, edit_chars: int = EDIT_CHARS, key: str = "doc_id", text: str = "text"
+    docs: DataFrame, edits: int = EDITS, min_chars: int = MIN_CHARS, edit_chars: int = EDIT_CHARS, key: str = "doc_id", text: str = "text", share: int | None = None
 ) -> DataFrame:
     """``(key, pos, reason, first_key, first_pos)`` of each line that goes; ``reason`` is ``exact`` or ``near``. Runs jobs and stores tables.
 
@@ -273,7 +359,7 @@ def repeated_lines(
     here = F.struct("key", "pos")
     places = lines_of(docs, key, text).where(F.length("line") >= min_chars).select("key", "pos", *_digest(F.col("line")))
     equal = places.groupBy("h1", "h2").agg(F.min(here).alias("first"), F.count("*").alias("n")).where("n > 1").drop("n")
-    near = near_lines(docs, edits, edit_chars, key, text).withColumnRenamed("first", "near_first")
+    near = near_lines(docs, edits, edit_chars, key, text, share).withColumnRenamed("first", "near_first")
     both = equal.join(near, ["h1", "h2"], "full_outer").withColumn("first", F.coalesce("first", "near_first"))
     earliest = F.when(F.col("near").isNull() | (F.col("first") < F.col("near")), F.col("first")).otherwise(F.col("near"))
     wanted = stored(both.select("h1", "h2", "first", earliest.alias("earliest")), "repeated")
