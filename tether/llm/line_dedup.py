@@ -244,10 +244,11 @@ def links_in_groups(table: pa.Table, starts: np.ndarray, edits: int, share: int
         left.clear(), right.clear()
         shorter, longer = np.minimum(line_sizes[a], line_sizes[b]), np.maximum(line_sizes[a], line_sizes[b])
         limit = allowed(shorter, edits, share)
-        # Two lines that share several segments are compared once.
-        _, once = np.unique(np.stack((np.minimum(ids[a], ids[b]), np.maximum(ids[a], ids[b]))), axis=1, return_index=True)
-        once = once[(longer - shorter)[once] <= limit[once]]
-        a, b, longer, limit = a[once], b[once], longer[once], limit[once]
+        if share is not None:
+            # Two lines that share several of their many segments are compared once.
+            _, once = np.unique(np.stack((np.minimum(ids[a], ids[b]), np.maximum(ids[a], ids[b]))), axis=1, return_index=True)
+            once = once[(longer - shorter)[once] <= limit[once]]
+            a, b, longer, limit = a[once], b[once], longer[once], limit[once]
         # Pairs of like length together, so that short lines are not padded to long ones.
         order = np.lexsort((longer, limit))
         i = 0
@@ -261,7 +262,8 @@ def links_in_groups(table: pa.Table, starts: np.ndarray, edits: int, share: int
             seen, places = np.unique(np.concatenate((x, y)), return_inverse=True)
             rows, sizes = _code_points([lines[j] for j in seen])
             u, v = places[: len(x)], places[len(x) :]
-            near = _near(rows[u], sizes[u], rows[v], sizes[v], int(limit[some[0]]))
+            pairs, most = (rows[u], sizes[u], rows[v], sizes[v]), int(limit[some[0]])
+            near = edit_distances(*pairs, most) <= most if share is None else _near(*pairs, most)
             x, y = x[near], y[near]
             swap = rank[x] < rank[y]
             later.append(np.where(swap, y, x))
