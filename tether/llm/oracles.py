@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import string
+
 from tether.llm import embedding_dedup, line_dedup, quality_rules
 
 WORD = r"[^\x20\x09-\x0D]+"
@@ -93,9 +95,17 @@ FROM embeddings LEFT JOIN (SELECT x AS vec_id, count(*) AS n FROM link GROUP BY
 JOIN (SELECT a AS vec_id, min(b) AS component_id FROM reach GROUP BY a) USING (vec_id)
 """
 
+LETTERS = f"'{string.ascii_uppercase}', '{string.ascii_lowercase}'"
+EXACT = f"""
+SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, sha256(t) AS text_sha256 FROM (
+    SELECT doc_id, t, max(doc_id) OVER (PARTITION BY t) AS keep_id, count(*) OVER (PARTITION BY t) AS group_size
+    FROM (SELECT doc_id, translate(coalesce(text, ''), {LETTERS}) AS t FROM documents))
+"""
+
 ORACLES = {
     "op1_quality_rules": _quality_rules(),
     "op4_warc": WARC,
     "op6_line_dedup": LINES,
     "op8_embedding_dedup": VECTORS,
+    "op11_exact_dedup": EXACT,
 }

@@ -11,7 +11,19 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tether.llm import byte_bpe, embedding_dedup, language, line_dedup, packing, quality_net, quality_rules, simhash, token_counts, warc
+from tether.llm import (
+    byte_bpe,
+    embedding_dedup,
+    exact_dedup,
+    language,
+    line_dedup,
+    packing,
+    quality_net,
+    quality_rules,
+    simhash,
+    token_counts,
+    warc,
+)
 from tether.llm.oracles import ORACLES
 from tether.session import fresh_path
 
@@ -104,3 +116,8 @@ def op9_language_id(spark, sf_dir):
 @query
 def op10_token_counts(spark, sf_dir):
     return token_counts.token_counts(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+
+
+@query
+def op11_exact_dedup(spark, sf_dir):
+    return exact_dedup.exact_duplicates(table(spark, sf_dir, "documents"))
