@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import string
 
-from tether.llm import embedding_dedup, line_dedup, quality_rules
+from tether.llm import divergence, embedding_dedup, line_dedup, quality_rules
 
 WORD = r"[^\x20\x09-\x0D]+"
 GRAMS = (quality_rules.BASE, *quality_rules.GRAM_PERCENT)
@@ -102,10 +102,81 @@ SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, sha256(t) AS text_
     FROM (SELECT doc_id, translate(coalesce(text, ''), {LETTERS}) AS t FROM documents))
 """
 
+# Every term of every source, used there or not, and every pair of sources for each.
+DIVERGENCE = rf"""
+WITH d AS MATERIALIZED (
+    SELECT row_number() OVER () AS id, coalesce(lang, '') AS lang, coalesce(source, '') AS source, translate(coalesce(text, ''), {LETTERS}) AS t FROM documents
+), w AS MATERIALIZED (SELECT id, lang, source, unnest(regexp_extract_all(t, '[^\x00-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM d),
+kept AS MATERIALIZED (SELECT lang, term, count(*) AS total FROM w GROUP BY lang, term HAVING count(DISTINCT id) >= {divergence.MIN_DOCS}),
+v AS (SELECT lang, count(*) AS v, sum(total) AS n FROM kept GROUP BY lang),
+g AS (SELECT DISTINCT lang, source FROM d),
+used AS (SELECT lang, source, term, count(*) AS c FROM w GROUP BY lang, source, term),
+e AS MATERIALIZED (SELECT g.lang, g.source, k.term, coalesce(c, 0) AS c, k.total FROM g JOIN kept k USING (lang) LEFT JOIN used USING (lang, source, term)),
+p AS MATERIALIZED (
+    SELECT lang, source, term, c, 1 + {divergence.UNIT}::HUGEINT * (c + 1) // (sum(c) OVER (PARTITION BY lang, source) + v) AS p,
+        1 + {divergence.UNIT}::HUGEINT * (total + 1) // (n + v) AS q FROM e JOIN v USING (lang)),
+pair AS (SELECT a.lang, a.source, b.source AS item, sum((a.p - b.p) * (a.p - b.p) // b.p) AS value FROM p a JOIN p b USING (lang, term) WHERE a.source <> b.source GROUP BY ALL),
+term AS (SELECT lang, source, term AS item, (p - q) * (p - q) // q AS value FROM p WHERE c > 0 AND p > q),
+ranked AS (
+    SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(value, 0) AS value
+    FROM g a JOIN g b ON a.lang = b.lang AND a.source <> b.source LEFT JOIN pair ON pair.lang = a.lang AND pair.source = a.source AND pair.item = b.source
+    UNION ALL SELECT lang, source, 'term', item, value FROM term)
+SELECT lang, source, part, item, CAST(value AS BIGINT) AS value,
+    CAST(row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS INTEGER) AS rank
+FROM ranked QUALIFY part = 'pair' OR rank <= {divergence.TOP}
+"""
+
+
+def _field(value: str) -> str:
+    return f"CASE WHEN {value} IS NULL THEN '-' ELSE octet_length(encode(CAST({value} AS VARCHAR))) || ':' || {value} END"
+
+
+def _leaf(n_chars: str) -> str:
+    return "sha256(" + " || ".join(map(_field, ("doc_id", "source", "lang", n_chars, "text"))) + ")"
+
+
+# CRC-32 of the decimal key: each digit goes in, then eight steps of one bit.
+CRC32 = """xor(list_reduce([4294967295] || list_transform(string_split(CAST(doc_id AS VARCHAR), ''), lambda s: CAST(ascii(s) AS BIGINT)),
+    lambda c, k: list_reduce([xor(c, k), 0, 0, 0, 0, 0, 0, 0, 0], lambda b, i: xor(b >> 1, (b & 1) * 3988292384))), 4294967295)"""
+
+# Level by level: a node is its two children, or one. A leaf's steps are the other child at each level of its group and then of the subroots.
+MERKLE = f"""
+WITH RECURSIVE leaf AS MATERIALIZED (
+    SELECT row_number() OVER (PARTITION BY g ORDER BY doc_id NULLS FIRST, leaf) - 1 AS pos, * FROM (
+        SELECT doc_id, coalesce('=' || lang, '') AS g, {_leaf("n_chars")} AS leaf, CASE WHEN {CRC32} % 7 = 0 THEN {_leaf("(n_chars + 1)")} ELSE {_leaf("n_chars")} END AS tampered
+        FROM documents)
+), low AS (
+    SELECT g, 0 AS level, pos, leaf AS h, count(*) OVER (PARTITION BY g) AS n FROM leaf
+    UNION ALL
+    SELECT g, level + 1, pos // 2, sha256(string_agg(h, '' ORDER BY pos)), (any_value(n) + 1) // 2 FROM low WHERE n > 1 GROUP BY g, level, pos // 2
+), place AS MATERIALIZED (SELECT g, row_number() OVER (ORDER BY g) - 1 AS pos, h AS subroot, count(*) OVER () AS n FROM low WHERE n = 1),
+top AS (
+    SELECT 0 AS level, pos, subroot AS h, n FROM place
+    UNION ALL
+    SELECT level + 1, pos // 2, sha256(string_agg(h, '' ORDER BY pos)), (any_value(n) + 1) // 2 FROM top WHERE n > 1 GROUP BY level, pos // 2
+), step AS MATERIALIZED (
+    SELECT l.g, l.pos, list({{'x': coalesce(x, ''), 'right': digit = 0}} ORDER BY level) FILTER (level IS NOT NULL) AS path, sha256(coalesce(string_agg(x, '' ORDER BY level), '')) AS proof_sha256 FROM leaf l LEFT JOIN (
+        SELECT l.g, l.pos, r.level, (l.pos >> r.level) % 2 AS digit, low.h AS x
+        FROM leaf l JOIN (SELECT DISTINCT g, level FROM low WHERE n > 1) r USING (g) LEFT JOIN low ON low.g = l.g AND low.level = r.level AND low.pos = xor(l.pos >> r.level, 1)
+        UNION ALL
+        SELECT l.g, l.pos, 100 + r.level, (p.pos >> r.level) % 2, top.h
+        FROM leaf l JOIN place p USING (g) JOIN (SELECT DISTINCT level FROM top WHERE n > 1) r ON true LEFT JOIN top ON top.level = r.level AND top.pos = xor(p.pos >> r.level, 1)
+    ) s ON s.g = l.g AND s.pos = l.pos GROUP BY l.g, l.pos
+), done AS (
+    SELECT doc_id, leaf, subroot, (SELECT h FROM top WHERE n = 1) AS root, proof_sha256,
+        list_reduce([{{'x': tampered, 'right': true}}] || coalesce(path, []),
+            lambda a, s: {{'x': CASE WHEN s.right THEN sha256(a.x || s.x) ELSE sha256(s.x || a.x) END, 'right': true}}).x AS folded_root
+    FROM leaf JOIN place USING (g) JOIN step ON step.g = leaf.g AND step.pos = leaf.pos
+)
+SELECT *, folded_root = root AS verified FROM done
+"""
+
 ORACLES = {
     "op1_quality_rules": _quality_rules(),
     "op4_warc": WARC,
     "op6_line_dedup": LINES,
     "op8_embedding_dedup": VECTORS,
     "op11_exact_dedup": EXACT,
+    "op12_source_divergence": DIVERGENCE,
+    "op13_merkle_manifest": MERKLE,
 }

@@ -13,10 +13,12 @@ from pyspark.sql import functions as F
 
 from tether.llm import (
     byte_bpe,
+    divergence,
     embedding_dedup,
     exact_dedup,
     language,
     line_dedup,
+    merkle,
     packing,
     quality_net,
     quality_rules,
@@ -121,3 +123,13 @@ def op10_token_counts(spark, sf_dir):
 @query
 def op11_exact_dedup(spark, sf_dir):
     return exact_dedup.exact_duplicates(table(spark, sf_dir, "documents"))
+
+
+@query
+def op12_source_divergence(spark, sf_dir):
+    return divergence.divergence_audit(table(spark, sf_dir, "documents"))
+
+
+@query
+def op13_merkle_manifest(spark, sf_dir):
+    return merkle.manifest(table(spark, sf_dir, "documents"))
