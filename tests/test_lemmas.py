@@ -1,9 +1,12 @@
 import random
 
+import pytest
 from brute import lemma
 
+from tether.operators import lemmas as lemma_module
 from tether.operators import mentions as m
-from tether.operators.lemmas import NOUN_ENDINGS, lemmas
+from tether.operators.lemmas import NOUN_ENDINGS, capitals_decide, lemmas
+from tether.session import stored
 
 
 def test_lemmas_equal_rule_loop(table):
@@ -26,3 +29,60 @@ def test_lemmas_in_documents(table):
     lexicon = table([("dog",)], "word string")
     got = {r.warc_id: r.words for r in m.word_arrays(docs, lexicon).collect()}
     assert got == {"1": ["Two", "dogshouses", "dog", "and", "Dogs", "dog"], "2": []}
+
+
+def by_full_stage(docs, lexicon, odd=None):
+    """Every word through the lemma stage, then tags."""
+    return {r.warc_id: r.mentions for r in m.mention_arrays(m.tag_tokens(m.word_arrays(docs, lexicon, odd))).collect()}
+
+
+def random_docs(table, seed, n=120):
+    r = random.Random(seed)
+    atoms = ["Dogs", "dogs", "Dog", "Boxes", "Men", "men", "Wolves", "wolves", "1s", "9es", "'s", "s", "Es", "es", "4Fs", "1Dogs", "-Cities", "Geese", "geese", "Zs", "The", "x", "X", "\xe9s", "_", "As"]
+    return table([(str(i), " ".join(r.choice(atoms) for _ in range(r.randint(0, 14)))) for i in range(n)], "warc_id string, body string")
+
+
+LEXICONS = [
+    (["Dog", "dog", "Box", "man", "wolf", "Wolf", "A", "City"], None, True),
+    (["Dog", "Goose", "1Dog", "-City"], [("Geese", "Goose"), ("geese", "goose")], True),
+    # Words without a letter, and lower-case words with capitalised or empty forms, matter too.
+    (["Dog", "1", "9", "\xe9", "'"], None, False),
+    (["Dog", "Goose", "5"], [("geese", "Goose")], False),
+    (["Dog", "x", "5x"], [("x", "5"), ("men", "4F")], False),
+]
+
+
+@pytest.mark.parametrize(("known", "odd", "capitals"), LEXICONS)
+def test_capitalised_words_are_enough(table, known, odd, capitals):
+    docs = random_docs(table, len(known))
+    lexicon = table([(w,) for w in known], "word string")
+    exceptions = odd and table(odd, "word string, form string")
+    assert capitals_decide(lexicon, exceptions) == capitals
+    got = {r.warc_id: r.mentions for r in m.text_mention_arrays(docs, None, lexicon, exceptions).collect()}
+    assert got == by_full_stage(docs, lexicon, exceptions)
+    assert got != {r.warc_id: r.mentions for r in m.text_mention_arrays(docs).collect()}
+    chunks = {r.warc_id: r.chunks for r in m.text_chunk_arrays(docs, lexicon, exceptions).collect()}
+    assert chunks == {r.warc_id: r.chunks for r in m.chunk_arrays(m.tag_tokens(m.word_arrays(docs, lexicon, exceptions))).collect()}
+
+
+def test_documents_are_read_twice_at_most(spark, tmp_path, table, monkeypatch):
+    path = str(tmp_path / "docs")
+    random_docs(table, 3).write.parquet(path)
+    lexicon = table([("Dog",)], "word string")
+    plans = []
+
+    def kept(df, name):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return stored(df, name)
+
+    for module in (m, lemma_module):
+        monkeypatch.setattr(module, "stored", kept)
+    found = m.text_mention_arrays(spark.read.parquet(path), None, lexicon)
+    plans.append(found._jdf.queryExecution().executedPlan().toString())
+    assert sum(p.count("ReadSchema: struct<warc_id:string,body:string>") for p in plans) == 2
+
+
+def test_words_beside_the_changed_ones_stay(table):
+    docs = table([("1", "Two Dogs of Mr Dogs-Wolves 4FDogs, Dogs"), ("2", "no names")], "warc_id string, body string")
+    got = {r.warc_id: r.mentions for r in m.text_mention_arrays(docs, None, table([("Dog",)], "word string")).collect()}
+    assert got == {"1": ["Two", "Dog", "DogsWolves", "Dog", "Dog", "Two Dog", "Mr DogsWolves Dog Dog"], "2": []}

@@ -8,7 +8,9 @@ from pyspark.sql import functions as F
 from __spark_entry__ import entry
 from tether.functions import keys
 from tether.operators import dictionary, search
-from tether.plans.documents import document_mentions
+from tether.operators.mentions import mention_counts
+from tether.operators.rows import keyed
+from tether.plans.documents import document_mentions, record_mentions
 from tether.plans.linking import best_links, link_entities
 from tether.session import shared_dir
 from workload import queries as wq
@@ -155,6 +157,22 @@ def test_lemmas_reach_mentions(table):
     assert {r.warc_id: r.mentions for r in document_mentions(docs, lemma_lexicon=lexicon, lemma_exceptions=odd).collect()} == {"1": ["Dog", "Goose"], "2": ["Foo"]}
 
 
+def test_records_that_share_an_id_are_scored_alone(tiny, table):
+    docs, labels, triples = tiny
+    texts = [("1", "Foo Bar and Alpha"), ("1", "Foo Bar met Zeta and Eta and Theta"), ("1", "Foo Bar and Alpha")]
+    shared = table(texts, "warc_id string, body string")
+    apart = table([(str(i), body) for i, (_, body) in enumerate(texts)], "warc_id string, body string")
+    want = sorted(("1", r.mention, r.n, r.kb_id, r.score) for r in best_links(apart, labels, triples).collect())
+    got = [(r.warc_id, r.mention, r.kb_id, r.score) for r in best_links(shared, labels, triples).collect() for _ in range(r.n)]
+    assert sorted(got) == sorted((w[0], w[1], w[3], w[4]) for w in want for _ in range(w[2]))
+    assert len({r[3] for r in got if r[1] == "Foo Bar"}) == 2
+    assert collected(link_entities(shared, labels, triples)) == sorted(("1", m, k) for _, m, k in collected(link_entities(apart, labels, triples)))
+    counts = mention_counts(record_mentions(keyed(shared)))
+    assert sorted((r.warc_id.id, r.mention, r.n, r.n_mentions) for r in counts.collect()) == sorted(
+        [("1", x, 2, 8) for x in ("Foo", "Bar", "Alpha", "Foo Bar")] + [("1", x, 1, 6) for x in ("Foo", "Bar", "Zeta", "Eta", "Theta", "Foo Bar")]
+    )
+
+
 def test_tied_hits_keep_the_order_of_the_response(table):
     hits = table([("m", 0, "b", "x", 1.0), ("m", 1, "a", "y", 1.0), ("m", 2, "c", "z", 2.0)], "mention string, pos int, kb_id string, label string, search_score double")
     assert [r.kb_id for r in search.top_hits(hits, 2).orderBy("rank").collect()] == ["c", "b"]

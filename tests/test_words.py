@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from tether.functions import words as fw
 from tether.operators import mentions as m
+from tether.plans.documents import document_mentions
 
 EDGES = ["4Fcaf\xe9 3AB New-York U.S. snake_case 1E2 na\xefve", "The the DOD A Al", "don't It's he'll 'tis N'T", "foo--bar end...Start ''q``", ""]
 
@@ -53,8 +54,6 @@ def test_runs_and_mentions(table):
     tagged = m.tag_tokens(m.word_arrays(docs))
     got = {r.warc_id: r.mentions for r in m.mention_arrays(tagged).collect()}
     assert got == {"1": ["Foo", "Big", "Red", "The", "X", "Y", "Foo", "Big Red", "Al The X Y"], "2": [], "3": []}
-    cut = {r.warc_id: r.mentions for r in m.mention_arrays(tagged, max_run=2).collect()}
-    assert cut["1"][-1] == "Big Red"
     counts = {(r.warc_id, r.mention): (r.n, r.n_mentions) for r in m.mention_counts(m.mention_arrays(tagged)).collect()}
     assert counts["1", "Foo"] == (2, 9) and counts["1", "Big Red"] == (1, 9)
     kinds = [(r.ord, r.kind) for r in m.mention_rows(m.mention_arrays(tagged)).orderBy("ord").collect()]
@@ -63,7 +62,7 @@ def test_runs_and_mentions(table):
 
 def test_text_mentions_equal_tagged_mentions(table):
     docs = table([(str(i), t) for i, t in enumerate(EDGES + random_texts())], "warc_id string, body string")
-    for options in ({}, {"stop_words": ["Foo", "the"]}, {"max_run": 3}):
+    for options in ({}, {"stop_words": ["Foo", "the"]}):
         whole = {r.warc_id: r.mentions for r in m.text_mention_arrays(docs, **options).collect()}
         tagged = {r.warc_id: r.mentions for r in m.mention_arrays(m.tag_tokens(m.word_arrays(docs)), **options).collect()}
         assert whole == tagged
@@ -88,18 +87,63 @@ def test_tag_lexicon(table):
     assert got == {"the": (3, 1, "NN"), "bob": (3, 2, "NNP"), "x": (1, 0, "NN")}
 
 
+def typed(docs, gazetteer, types=None):
+    return m.typed_entities(m.chunk_arrays(m.tag_tokens(m.word_arrays(docs))), gazetteer, types)
+
+
 def test_typed_entities(table):
     docs = table([("1", "Bob met Big Red and Bob again"), ("2", "nobody")], "warc_id string, body string")
     gazetteer = table([("Bob", "PERSON"), ("Bob", "GPE"), ("Big Red", "ORGANIZATION"), ("Red", "GPE")], "name string, type string")
-    tagged = m.tag_tokens(m.word_arrays(docs))
-    found = m.typed_entities(tagged, gazetteer)
-    assert {(r.pos, r.entity, r.type) for r in found.collect()} == {
-        (0, "Bob", "PERSON"),
-        (0, "Bob", "GPE"),
-        (1, "Big Red", "ORGANIZATION"),
-        (2, "Bob", "PERSON"),
-        (2, "Bob", "GPE"),
+    found = typed(docs, gazetteer)
+    assert {(r.pos, r.at, r.entity, r.type) for r in found.collect()} == {
+        (0, 0, "Bob", "PERSON"),
+        (0, 0, "Bob", "GPE"),
+        (1, 0, "Big Red", "ORGANIZATION"),
+        (2, 0, "Bob", "PERSON"),
+        (2, 0, "Bob", "GPE"),
     }
     assert {(r.entity, r.type) for r in m.entity_types(found).collect()} == {("Bob", "PERSON"), ("Big Red", "ORGANIZATION")}
-    places = m.entity_mentions(m.typed_entities(tagged, gazetteer, ["GPE"]), tagged)
+    # The longer name takes its words though its type is not wanted.
+    places = m.entity_mentions(typed(docs, gazetteer, ["GPE"]), docs)
     assert {r.warc_id: r.mentions for r in places.collect()} == {"1": ["Bob"], "2": []}
+
+
+def test_names_inside_runs(table):
+    docs = table([("1", "we met President Barack Obama"), ("2", "A B C D C D E")], "warc_id string, body string")
+    names = ["Barack Obama", "Obama", "A B C", "B C D E", "C D", "C D E", "", " ", "D  E"]
+    found = typed(docs, table([(n, "X") for n in names], "name string, type string"))
+    assert {(r.warc_id, r.at, r.entity) for r in found.collect()} == {("1", 1, "Barack Obama"), ("2", 0, "A B C"), ("2", 4, "C D E")}
+
+
+def test_names_in_random_runs_equal_a_walk(table):
+    r = random.Random(11)
+    letters = "ABCD"
+    names = sorted({" ".join(r.choice(letters) for _ in range(r.randint(1, 4))) for _ in range(25)})
+    chunks = [[" ".join(r.choice(letters) for _ in range(r.randint(1, 12))) for _ in range(r.randint(0, 4))] for _ in range(60)] + [[" ".join("AB" * 500)]]
+    want = set()
+    for i, texts in enumerate(chunks):
+        for pos, chunk in enumerate(texts):
+            words, at = chunk.split(), 0
+            while at < len(words):
+                longest = max((n for n in range(1, len(words) - at + 1) if " ".join(words[at : at + n]) in names), default=0)
+                if longest:
+                    want.add((i, pos, at, " ".join(words[at : at + longest])))
+                at += max(longest, 1)
+    rows = table(list(enumerate(chunks)), "warc_id int, chunks array<string>")
+    found = m.typed_entities(rows, table([(n, "X") for n in names], "name string, type string"))
+    assert {(x.warc_id, x.pos, x.at, x.entity) for x in found.collect()} == want
+
+
+def test_words_of_all_scripts(table):
+    docs = table([("1", "Élan vital in Ōsaka Москва4 9F½x and naïve Straße_1")], "warc_id string, body string")
+    assert m.word_arrays(docs, unicode=True).first().words == ["Élan", "vital", "in", "Ōsaka", "Москва", "½x", "and", "naïve", "Straße"]
+    assert document_mentions(docs, unicode=True).first().mentions == ["Élan", "Ōsaka", "Москва", "Straße", "Ōsaka Москва"]
+    lexicon = table([("Straße",), ("Москва",)], "word string")
+    assert document_mentions(docs, unicode=True, lemma_lexicon=lexicon).first().mentions[:3] == ["Élan", "Ōsaka", "Москва"]
+
+
+def test_unicode_words_equal_cleaning_each_token(table):
+    df = table([(t,) for t in EDGES + random_texts() + ["½ ² Ⅳ é1é _ ß"]], "t string")
+    each = fw.nonempty(F.transform(fw.tokens(F.col("t")), lambda w: fw.clean(fw.strip_hex(w), True)))
+    for r in df.select(fw.clean_words(F.col("t"), True).alias("whole"), each.alias("each")).collect():
+        assert r.whole == r.each

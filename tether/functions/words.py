@@ -72,27 +72,40 @@ def nonempty(words: Column) -> Column:
     return F.filter(words, lambda w: w != "")
 
 
-def clean_text(text: Column) -> Column:
+def clean_text(text: Column, unicode: bool = False) -> Column:
     """``text`` with its words cleaned in place: only letters and separators are left.
 
-    None of the deletions can reach over a separator, so they may run on the whole text, before the split.
+    None of the deletions can reach over a separator, so they may run on the whole text, before the split. With ``unicode=True`` letters
+    of any script stay, and numbers that are no digits too, as in ``clean``.
     """
-    return F.regexp_replace(strip_hex(_split_ready(text)), f"[^{_LETTERS}{SEPARATORS}]+", "")
+    others = f"[^{_LETTERS}{SEPARATORS}]+"
+    if unicode:
+        others = rf"[^\p{{L}}\p{{N}}{SEPARATORS}]+|[0-9]+"
+    return F.regexp_replace(strip_hex(_split_ready(text)), others, "")
 
 
-def clean_words(text: Column) -> Column:
+def clean_words(text: Column, unicode: bool = False) -> Column:
     """Cleaned, non-empty words of ``text`` in order; equal to cleaning each of ``tokens`` in turn."""
-    return F.regexp_extract_all(clean_text(text), F.lit(f"[{_LETTERS}]+"), F.lit(0))
+    return F.regexp_extract_all(clean_text(text, unicode), F.lit(f"[^{SEPARATORS}]+" if unicode else f"[{_LETTERS}]+"), F.lit(0))
 
 
-def rule_tag(word: Column) -> Column:
+def capitalised_tokens(text: Column) -> Column:
+    """Distinct tokens, without their hexadecimal pairs, that cleaning makes a word in capitals or with a capital first letter.
+
+    A token's first letter decides, so the others are passed over without becoming array elements.
+    """
+    token = rf"(?<![^{SEPARATORS}])[^{SEPARATORS}{_LETTERS}]*+[A-Z][^{SEPARATORS}]*+"
+    return F.array_distinct(F.regexp_extract_all(strip_hex(_split_ready(text)), F.lit(token), F.lit(0)))
+
+
+def rule_tag(word: Column, unicode: bool = False) -> Column:
     """Tag of a word no lexicon knows: capitalised words are proper nouns."""
-    return F.when(word.rlike("^[A-Z]"), F.lit(NOUN)).otherwise(F.lit(OTHER))
+    return F.when(word.rlike(r"^\p{Lu}" if unicode else "^[A-Z]"), F.lit(NOUN)).otherwise(F.lit(OTHER))
 
 
-def tag_by_rule(words: Column) -> Column:
+def tag_by_rule(words: Column, unicode: bool = False) -> Column:
     """Array of words to array of ``(word, tag)``."""
-    return F.transform(words, lambda w: F.struct(w.alias("word"), rule_tag(w).alias("tag")))
+    return F.transform(words, lambda w: F.struct(w.alias("word"), rule_tag(w, unicode).alias("tag")))
 
 
 def is_stop_word(word: Column, stop_words: list[str] | None = None) -> Column:
@@ -120,20 +133,24 @@ def noun_chunks(tagged: Column) -> Column:
     return nonempty(chunks)
 
 
-def noun_runs(tagged: Column, max_run: int | None = None) -> Column:
-    """Stretches of two or more proper nouns. ``max_run`` drops longer stretches; the default keeps all."""
-    runs = F.filter(noun_chunks(tagged), lambda c: F.contains(c, F.lit(" ")))
-    if max_run is not None:
-        runs = F.filter(runs, lambda c: F.size(F.split(c, " ", -1)) <= max_run)
-    return runs
+def noun_runs(tagged: Column) -> Column:
+    """Stretches of two or more proper nouns, of any length."""
+    return F.filter(noun_chunks(tagged), lambda c: F.contains(c, F.lit(" ")))
 
 
-def mentions(tagged: Column, stop_words: list[str] | None = None, max_run: int | None = None) -> Column:
+def mentions(tagged: Column, stop_words: list[str] | None = None) -> Column:
     """Mention bag of one document: single nouns in text order, then runs; duplicates kept."""
-    return F.concat(noun_words(tagged, stop_words), noun_runs(tagged, max_run))
+    return F.concat(noun_words(tagged, stop_words), noun_runs(tagged))
+
+
+def rule_chunks(cleaned: Column) -> Column:
+    """``noun_chunks`` under ``rule_tag``, taken straight from a ``clean_text`` column."""
+    # A full stop takes the place of every other word; between full stops only proper nouns are left.
+    gaps = F.regexp_replace(cleaned, f"[a-z](?<![{_LETTERS}].)[{_LETTERS}]*+", ".")
+    return nonempty(F.transform(F.split(gaps, rf"\.[.{SEPARATORS}]*+", -1), lambda c: F.trim(F.regexp_replace(c, f"[{SEPARATORS}]+", " "))))
 
 
-def rule_mentions(cleaned: Column, stop_words: list[str] | None = None, max_run: int | None = None) -> Column:
+def rule_mentions(cleaned: Column, stop_words: list[str] | None = None) -> Column:
     """``mentions`` under ``rule_tag``, taken straight from a ``clean_text`` column.
 
     Words that are no proper nouns never become array elements, which is most of the work on ordinary text.
@@ -143,10 +160,4 @@ def rule_mentions(cleaned: Column, stop_words: list[str] | None = None, max_run:
     words = F.filter(F.regexp_extract_all(cleaned, F.lit(f"[A-Z](?<![{_LETTERS}].)[{_LETTERS}]*+"), F.lit(0)), long_or_acronym)
     if capital_stops:
         words = F.filter(words, lambda w: ~w.isin(capital_stops))
-    # A full stop takes the place of every other word; between full stops only proper nouns are left.
-    gaps = F.regexp_replace(cleaned, f"[a-z](?<![{_LETTERS}].)[{_LETTERS}]*+", ".")
-    chunks = F.transform(F.split(gaps, rf"\.[.{SEPARATORS}]*+", -1), lambda c: F.trim(F.regexp_replace(c, f"[{SEPARATORS}]+", " ")))
-    runs = F.filter(chunks, lambda c: F.contains(c, F.lit(" ")))
-    if max_run is not None:
-        runs = F.filter(runs, lambda c: F.size(F.split(c, " ", -1)) <= max_run)
-    return F.concat(words, runs)
+    return F.concat(words, F.filter(rule_chunks(cleaned), lambda c: F.contains(c, F.lit(" "))))

@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tether.functions import words as fw
 from tether.operators.rows import exploded
+from tether.session import stored
 
 # Noun endings and what replaces them, in order of preference.
 NOUN_ENDINGS = (
@@ -70,34 +72,59 @@ def lemmas(words: DataFrame, lexicon: DataFrame, exceptions: DataFrame | None =
     return distinct.join(best, "word", "left").select("word", F.coalesce("lemma", "word").alias("lemma"))
 
 
+def may_change(word: Column) -> Column:
+    """Whether some rule applies to ``word``."""
+    ends = F.lit(False)
+    for old, _ in NOUN_ENDINGS:
+        ends |= word.endswith(old)
+    return ends
+
+
 def changed_words(words: DataFrame, lexicon: DataFrame, exceptions: DataFrame | None = None) -> DataFrame:
     """``(word, new)``: the distinct words of ``words (word)`` whose lemma is another word."""
-    may_change = F.lit(False)
-    for old, _ in NOUN_ENDINGS:
-        may_change |= F.col("word").endswith(old)
     distinct = words.select("word").distinct()
-    some = distinct.where(may_change)
+    some = distinct.where(may_change(F.col("word")))
     if exceptions is not None:
         some = some.unionByName(distinct.join(exceptions.select("word").distinct(), "word", "left_semi")).distinct()
     return lemmas(some, lexicon, exceptions).where("lemma <> word").select("word", F.col("lemma").alias("new"))
 
 
-def swaps(words: DataFrame, changed: DataFrame) -> DataFrame:
-    """``(warc_id, swaps)``: for each document that has some of the words in ``changed (word, new)``, these as a map.
+def capitals_decide(lexicon: DataFrame, exceptions: DataFrame | None = None) -> bool:
+    """Whether, under tags by capitalisation, no lemma of any but a capitalised word can change a mention.
+
+    Endings never change a word's first letter, so such a word stays what it is, a gap between names, unless its lemma has no letter
+    that cleaning leaves, or is listed as irregular with a form of another kind. Word tables of usual make have neither.
+    """
+    if not lexicon.where(~F.col("word").rlike("[A-Za-z]")).isEmpty():
+        return False
+    if exceptions is None:
+        return True
+    first = lambda c: F.regexp_extract(fw.clean(fw.strip_hex(F.col(c))), "^.", 0)
+    return exceptions.where(~first("word").rlike("[A-Z]") & ((first("form") == "") | first("form").rlike("[A-Z]"))).isEmpty()
+
+
+def swaps(listed: DataFrame, lexicon: DataFrame, exceptions: DataFrame | None = None) -> DataFrame:
+    """``(warc_id, swaps)``: for each row of ``listed (warc_id, words)`` that has words whose lemma is another word, these as a map.
 
-    Only distinct words that change are gathered, never the document's words in order.
+    ``listed`` is read twice, so it should be a stored table. Each distinct word is looked up once; the words of a document in order
+    are never shuffled.
     """
-    pairs = exploded(words, ["warc_id"], F.array_distinct("words"), "word").join(changed, "word")
+    changed = stored(changed_words(exploded(listed, [], "words", "word"), lexicon, exceptions), "lemmas")
+    pairs = exploded(listed, ["warc_id"], "words", "word").join(changed, "word")
+    # Rows that are equal in key have equal words.
     distinct = pairs.groupBy("warc_id", "word").agg(F.min("new").alias("new"))
     return distinct.groupBy("warc_id").agg(F.map_from_entries(F.collect_list(F.struct("word", "new"))).alias("swaps"))
 
 
-def lemmatise_words(words: DataFrame, lexicon: DataFrame, exceptions: DataFrame | None = None) -> DataFrame:
-    """``(warc_id, words)`` with every word replaced by its lemma, in the document's row.
+def swapped(words: Column) -> Column:
+    """``words`` with those of the column ``swaps`` in place of them."""
+    return F.when(F.col("swaps").isNull(), words).otherwise(F.transform(words, lambda w: F.coalesce(F.try_element_at("swaps", w), w)))
 
-    Each distinct word of the corpus is looked up once, and a document is joined once, with the few words of it that change.
-    """
-    changed = changed_words(exploded(words, [], F.array_distinct("words"), "word"), lexicon, exceptions)
-    joined = words.join(swaps(words, changed), "warc_id", "left")
-    swapped = F.transform("words", lambda w: F.coalesce(F.try_element_at("swaps", w), w))
-    return joined.select("warc_id", F.when(F.col("swaps").isNull(), F.col("words")).otherwise(swapped).alias("words"))
+
+def lemmatise_words(words: DataFrame, lexicon: DataFrame, exceptions: DataFrame | None = None) -> DataFrame:
+    """``(warc_id, words)`` with every word replaced by its lemma, in the document's row."""
+    listed = F.array_distinct("words")
+    if exceptions is None:
+        listed = F.filter(listed, may_change)
+    asked = stored(words.select("warc_id", listed.alias("words")), "words-asked")
+    return words.join(swaps(asked, lexicon, exceptions), "warc_id", "left").select("warc_id", swapped(F.col("words")).alias("words"))

@@ -2,25 +2,42 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from tether.functions import words as fw
-from tether.operators.lemmas import lemmatise_words, swaps
+from tether.operators.gazetteer import chunk_entities
+from tether.operators.lemmas import capitals_decide, lemmatise_words, may_change, swapped, swaps
 from tether.operators.rows import exploded
+from tether.session import stored
 
 
-def word_arrays(docs: DataFrame, lexicon: DataFrame | None = None, exceptions: DataFrame | None = None) -> DataFrame:
-    """``(warc_id, words)``: cleaned words in order.
+def word_arrays(docs: DataFrame, lexicon: DataFrame | None = None, exceptions: DataFrame | None = None, unicode: bool = False) -> DataFrame:
+    """``(warc_id, words)``: cleaned words in order; letters of all scripts stay with ``unicode=True``.
 
     With a ``lexicon`` of known words the noun lemma is taken between the hexadecimal and the non-word step, which needs joins;
     without one the document never leaves its row.
     """
     if lexicon is None:
-        return docs.select("warc_id", fw.clean_words(F.col("body")).alias("words"))
+        return docs.select("warc_id", fw.clean_words(F.col("body"), unicode).alias("words"))
     raw = docs.select("warc_id", F.transform(fw.tokens(F.col("body")), fw.strip_hex).alias("words"))
-    lemmas = lemmatise_words(raw, lexicon, exceptions)
-    return lemmas.select("warc_id", fw.nonempty(F.transform("words", lambda w: fw.clean(w))).alias("words"))
+    return lemmatise_words(raw, lexicon, exceptions).select("warc_id", _cleaned(F.col("words"), unicode).alias("words"))
+
+
+def _cleaned(words: Column, unicode: bool = False) -> Column:
+    return fw.nonempty(F.transform(words, lambda w: fw.clean(w, unicode)))
+
+
+def _capital_swaps(docs: DataFrame, lexicon: DataFrame, exceptions: DataFrame | None) -> DataFrame:
+    """``docs`` with ``swaps``, the lemmas of its capitalised words; documents without any have none."""
+    asked = fw.capitalised_tokens(F.col("body"))
+    if exceptions is None:
+        asked = F.filter(asked, may_change)
+    listed = docs.select("warc_id", F.explode_outer(F.array(asked)).alias("words")).where(F.size("words") > 0)
+    return docs.join(swaps(stored(listed, "words-asked"), lexicon, exceptions), "warc_id", "left")
 
 
 def token_rows(words: DataFrame, column: str = "words") -> DataFrame:
@@ -41,22 +58,24 @@ def proper_nouns(rows: DataFrame) -> DataFrame:
     return rows.where(F.col("tag") == fw.NOUN)
 
 
-def tag_tokens(words: DataFrame, lexicon: DataFrame | None = None) -> DataFrame:
+def tag_tokens(words: DataFrame, lexicon: DataFrame | None = None, unicode: bool = False) -> DataFrame:
     """``(warc_id, tagged)``: each word with its tag.
 
     ``lexicon`` is ``(word, tag)`` with lower-case words; words it does not list fall back on capitalisation. Any table with a
     ``tagged`` array of ``(word, tag)`` can take this one's place, for instance one filled by a tagging model.
     """
     if lexicon is None:
-        return words.select("warc_id", fw.tag_by_rule(F.col("words")).alias("tagged"))
-    # Only words whose tag is not the rule's are looked up, so the document stays in its row.
-    distinct = exploded(words, [], F.array_distinct("words"), "word").distinct()
+        return words.select("warc_id", fw.tag_by_rule(F.col("words"), unicode).alias("tagged"))
+    # Only words whose tag is not the rule's are gathered, so the document stays in its row.
+    asked = exploded(words, ["warc_id"], F.array_distinct("words"), "word")
     known = lexicon.select(F.col("word").alias("known"), F.col("tag").alias("new"))
-    changed = distinct.join(known, F.lower("word") == F.col("known")).where(F.col("new") != fw.rule_tag(F.col("word"))).select("word", "new")
-    joined = words.join(swaps(words, changed), "warc_id", "left")
-    tag = lambda w: F.coalesce(F.try_element_at("swaps", w), fw.rule_tag(w))
+    changed = asked.join(known, F.lower("word") == F.col("known")).where(F.col("new") != fw.rule_tag(F.col("word"), unicode))
+    changed = changed.groupBy("warc_id", "word").agg(F.min("new").alias("new"))
+    by_doc = changed.groupBy("warc_id").agg(F.map_from_entries(F.collect_list(F.struct("word", "new"))).alias("swaps"))
+    joined = words.join(by_doc, "warc_id", "left")
+    tag = lambda w: F.coalesce(F.try_element_at("swaps", w), fw.rule_tag(w, unicode))
     swapped = F.transform("words", lambda w: F.struct(w.alias("word"), tag(w).alias("tag")))
-    by_rule = fw.tag_by_rule(F.col("words"))
+    by_rule = fw.tag_by_rule(F.col("words"), unicode)
     return joined.select("warc_id", F.when(F.col("swaps").isNull(), by_rule).otherwise(swapped).alias("tagged"))
 
 
@@ -76,15 +95,44 @@ def tag_lexicon(words: DataFrame, min_share: float = 0.5) -> DataFrame:
     )
 
 
-def mention_arrays(tagged: DataFrame, stop_words: list[str] | None = None, max_run: int | None = None) -> DataFrame:
+def mention_arrays(tagged: DataFrame, stop_words: list[str] | None = None) -> DataFrame:
     """``(warc_id, mentions)``: single nouns in text order, then runs of two or more."""
-    return tagged.select("warc_id", fw.mentions(F.col("tagged"), stop_words, max_run).alias("mentions"))
+    return tagged.select("warc_id", fw.mentions(F.col("tagged"), stop_words).alias("mentions"))
+
+
+def _by_rule(docs: DataFrame, name: str, from_text: Callable, from_tagged: Callable, lexicon: DataFrame | None, exceptions: DataFrame | None) -> DataFrame:
+    """``(warc_id, name)`` of documents under the capitalisation rule.
+
+    Without lemmas a fixed number of passes over each text gives it. With them, a document is taken to words only if some of its
+    capitalised words change, as no others can matter; only those words leave their rows.
+    """
+    if lexicon is not None and not capitals_decide(lexicon, exceptions):
+        return tag_tokens(word_arrays(docs, lexicon, exceptions)).select("warc_id", from_tagged(F.col("tagged")).alias(name))
+    if lexicon is None:
+        cleaned = docs.select("warc_id", fw.clean_text(F.col("body")).alias("cleaned"))
+        return cleaned.select("warc_id", from_text(F.col("cleaned")).alias(name))
+    joined = _capital_swaps(docs, lexicon, exceptions)
+    changes = F.col("swaps").isNotNull()
+    raw = F.transform(fw.tokens(F.col("body")), fw.strip_hex)
+    parts = joined.select("warc_id", "swaps", F.when(~changes, fw.clean_text(F.col("body"))).alias("cleaned"), F.when(changes, raw).alias("raw"))
+    words = parts.select("warc_id", "cleaned", F.when(F.col("cleaned").isNull(), _cleaned(swapped(F.col("raw")))).alias("words"))
+    found = F.when(F.col("words").isNull(), from_text(F.col("cleaned"))).otherwise(from_tagged(fw.tag_by_rule(F.col("words"))))
+    return words.select("warc_id", found.alias(name))
+
+
+def text_mention_arrays(docs: DataFrame, stop_words: list[str] | None = None, lexicon: DataFrame | None = None, exceptions: DataFrame | None = None) -> DataFrame:
+    """``mention_arrays`` of documents under the capitalisation rule, after noun lemmas if a ``lexicon`` is given."""
+    return _by_rule(docs, "mentions", lambda c: fw.rule_mentions(c, stop_words), lambda t: fw.mentions(t, stop_words), lexicon, exceptions)
 
 
-def text_mention_arrays(docs: DataFrame, stop_words: list[str] | None = None, max_run: int | None = None) -> DataFrame:
-    """``mention_arrays`` of documents under the capitalisation rule, in a fixed number of passes over each text."""
-    cleaned = docs.select("warc_id", fw.clean_text(F.col("body")).alias("cleaned"))
-    return cleaned.select("warc_id", fw.rule_mentions(F.col("cleaned"), stop_words, max_run).alias("mentions"))
+def text_chunk_arrays(docs: DataFrame, lexicon: DataFrame | None = None, exceptions: DataFrame | None = None) -> DataFrame:
+    """``chunk_arrays`` of documents under the capitalisation rule, after noun lemmas if a ``lexicon`` is given."""
+    return _by_rule(docs, "chunks", fw.rule_chunks, fw.noun_chunks, lexicon, exceptions)
+
+
+def chunk_arrays(tagged: DataFrame) -> DataFrame:
+    """``(warc_id, chunks)``: stretches of proper nouns in text order, single ones too."""
+    return tagged.select("warc_id", fw.noun_chunks(F.col("tagged")).alias("chunks"))
 
 
 def mention_rows(arrays: DataFrame) -> DataFrame:
@@ -96,30 +144,31 @@ def mention_rows(arrays: DataFrame) -> DataFrame:
 def mention_counts(arrays: DataFrame) -> DataFrame:
     """``(warc_id, mention, n, n_mentions)``: distinct mentions with their count and the size of the record's whole bag.
 
-    ``warc_id`` names one record.
+    ``warc_id`` is the record's key (see ``keyed``). Copies of a record count as one record with as many times its mentions.
     """
-    return (
-        exploded(arrays, ["warc_id", F.size("mentions").cast("long").alias("n_mentions")], "mentions", "mention")
-        .groupBy("warc_id", "mention")
-        .agg(F.count("*").alias("n"), F.max("n_mentions").alias("n_mentions"))
-    )
+    # Dealt by record, so counts and sums need one shuffle.
+    rows = exploded(arrays, ["warc_id"], "mentions", "mention").repartition("warc_id")
+    counts = rows.groupBy("warc_id", "mention").agg(F.count("*").alias("n"))
+    return counts.withColumn("n_mentions", F.sum("n").over(W.partitionBy("warc_id")))
 
 
-def typed_entities(tagged: DataFrame, gazetteer: DataFrame, types: list[str] | None = None) -> DataFrame:
-    """``(warc_id, pos, entity, type)``: proper-noun chunks of any length that ``gazetteer (name, type)`` lists.
+def typed_entities(chunks: DataFrame, gazetteer: DataFrame, types: list[str] | None = None) -> DataFrame:
+    """``(warc_id, pos, at, entity, type)``: names of ``gazetteer (name, type)`` in the proper-noun ``chunks (warc_id, chunks)``.
 
-    ``types`` keeps some types only; the default keeps all.
+    A chunk may hold several names, between other words: the leftmost ones, the longest from where they start, and none that begins inside
+    another. ``pos`` is the chunk's place in the record, ``at`` the name's first word in the chunk. ``types`` keeps the entities
+    of some types only; a name of another type still takes its words. Each distinct chunk is searched once, and ``chunks`` is read twice.
     """
-    known = gazetteer.select(F.col("name").alias("entity"), "type").distinct()
-    if types is not None:
-        known = known.where(F.col("type").isin(types))
-    chunks = tagged.select("warc_id", fw.noun_chunks(F.col("tagged")).alias("chunks"))
-    return exploded(chunks, ["warc_id"], "chunks", "entity", "pos").join(known, "entity")
+    occurrences = exploded(chunks, ["warc_id"], "chunks", "chunk", "pos")
+    named = gazetteer.select(F.col("name").alias("entity"), "type").distinct()
+    found = chunk_entities(occurrences.select("chunk").distinct(), named.select("entity").distinct())
+    typed = found.join(named if types is None else named.where(F.col("type").isin(types)), "entity")
+    return occurrences.join(typed, "chunk").select("warc_id", "pos", "at", "entity", "type")
 
 
 def entity_types(entities: DataFrame) -> DataFrame:
     """``(warc_id, entity, type)``: one type per entity text, the last occurrence wins (the greater type where a name has several)."""
-    return entities.groupBy("warc_id", "entity").agg(F.max(F.struct("pos", "type"))["type"].alias("type"))
+    return entities.groupBy("warc_id", "entity").agg(F.max(F.struct("pos", "at", "type"))["type"].alias("type"))
 
 
 def entity_mentions(entities: DataFrame, records: DataFrame) -> DataFrame:

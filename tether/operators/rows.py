@@ -17,3 +17,23 @@ def exploded(df: DataFrame, keep: list[str | Column], array: Column | str, name:
     else:
         rows = df.select(*keep, F.posexplode_outer(array).alias(pos, name))
     return rows.where(F.col(name).isNotNull())
+
+
+def keyed(docs: DataFrame) -> DataFrame:
+    """``(warc_id, body)`` with the id made a key of the record: the id and 128 bits of its text.
+
+    Ids may repeat, and each record is judged alone. The key follows from the record itself, so it is the same whenever and wherever the
+    record is read; records equal in id and text are copies, for which all results are equal.
+    """
+    key = F.struct(F.col("warc_id").alias("id"), F.xxhash64("body").alias("a"), F.xxhash64(F.lit("record"), "body").alias("b"))
+    return docs.select(key.alias("warc_id"), "body")
+
+
+def unkeyed(rows: DataFrame) -> DataFrame:
+    """``rows`` with the record's id in place of its key."""
+    return rows.withColumn("warc_id", F.col("warc_id.id"))
+
+
+def short_key(text: Column) -> Column:
+    """``text`` to join or group by, digested where it is long."""
+    return F.when(F.length(text) > 64, F.sha2(text, 256)).otherwise(text)

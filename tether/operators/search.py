@@ -21,7 +21,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from tether.operators.joins import balanced_join
-from tether.operators.rows import exploded
+from tether.operators.rows import exploded, short_key
 from tether.session import stored
 
 
@@ -40,9 +40,8 @@ def _by_commonness(rows: DataFrame, keys: list[str], weights: DataFrame) -> Data
 
 
 def _short_key(words: Column) -> Column:
-    """Words as one string to group by, digested where that would be long."""
-    text = F.array_join(words, " ")
-    return F.when(F.length(text) > 64, F.sha2(text, 256)).otherwise(text)
+    """Words as one string to group by."""
+    return short_key(F.array_join(words, " "))
 
 
 def _words_of(feats: Column) -> Column:

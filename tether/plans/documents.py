@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 
 from tether.operators import mentions as m
+from tether.operators.rows import keyed, unkeyed
+from tether.session import stored
 from tether.sources import archive
 
 
@@ -15,7 +17,7 @@ def archive_documents(spark: SparkSession, paths: str | Sequence[str], **options
     return archive.documents(archive.read_records(archive.warc_records(spark, paths, **options)))
 
 
-def document_mentions(
+def record_mentions(
     docs: DataFrame,
     tag_lexicon: DataFrame | None = None,
     lemma_lexicon: DataFrame | None = None,
@@ -23,17 +25,29 @@ def document_mentions(
     gazetteer: DataFrame | None = None,
     types: list[str] | None = None,
     stop_words: list[str] | None = None,
-    max_run: int | None = None,
+    unicode: bool = False,
 ) -> DataFrame:
-    """``(warc_id, mentions)`` of documents ``(warc_id, body)``, one row per document.
+    """``document_mentions`` of documents whose ``warc_id`` is the record's key."""
+    by_rule = tag_lexicon is None and not unicode
+    if gazetteer is None and by_rule:
+        return m.text_mention_arrays(docs, stop_words, lemma_lexicon, lemma_exceptions)
+    if by_rule:
+        chunks = m.text_chunk_arrays(docs, lemma_lexicon, lemma_exceptions)
+    else:
+        tagged = m.tag_tokens(m.word_arrays(docs, lemma_lexicon, lemma_exceptions, unicode), tag_lexicon, unicode)
+        if gazetteer is None:
+            return m.mention_arrays(tagged, stop_words)
+        chunks = m.chunk_arrays(tagged)
+    chunks = stored(chunks, "chunks")
+    return m.entity_mentions(m.typed_entities(chunks, gazetteer, types), chunks)
+
+
+def document_mentions(docs: DataFrame, **options) -> DataFrame:
+    """``(warc_id, mentions)`` of documents ``(warc_id, body)``, one row per document; ids may repeat.
 
     Mentions are proper nouns and their runs. With a ``gazetteer (name, type)`` they are the distinct typed entities instead, of the given
     ``types`` or of all. With a ``lemma_lexicon (word)`` of known words, and irregular forms in ``lemma_exceptions (word, form)``, words are
-    replaced by their noun lemmas first; without one they stay as they are and no document leaves its row.
+    replaced by their noun lemmas first. ``tag_lexicon (word, tag)`` has tags other than by capitalisation. ``unicode=True`` keeps letters of
+    all scripts in words, and takes a capital of any script for one. ``stop_words`` replaces the list of words that are no mentions.
     """
-    if tag_lexicon is None and lemma_lexicon is None and gazetteer is None:
-        return m.text_mention_arrays(docs, stop_words, max_run)
-    tagged = m.tag_tokens(m.word_arrays(docs, lemma_lexicon, lemma_exceptions), tag_lexicon)
-    if gazetteer is not None:
-        return m.entity_mentions(m.typed_entities(tagged, gazetteer, types), tagged)
-    return m.mention_arrays(tagged, stop_words, max_run)
+    return unkeyed(record_mentions(keyed(docs), **options))

@@ -8,14 +8,15 @@ from pyspark.sql import functions as F
 from tether.operators import graph, scoring, search
 from tether.operators.mentions import mention_counts
 from tether.operators.similarity import similar_words
-from tether.plans.documents import document_mentions
+from tether.operators.rows import keyed, unkeyed
+from tether.plans.documents import document_mentions, record_mentions
 from tether.session import stored
 
 
 def description_nouns(abstracts: DataFrame, **mention_options) -> DataFrame:
     """``(kb_id, mention, n, n_mentions)`` of the joined abstracts, found the same way as mentions of records."""
     bodies = graph.concat_abstracts(abstracts).select(F.col("kb_id").alias("warc_id"), "body")
-    return mention_counts(document_mentions(bodies, **mention_options)).withColumnRenamed("warc_id", "kb_id")
+    return mention_counts(record_mentions(bodies, **mention_options)).withColumnRenamed("warc_id", "kb_id")
 
 
 def scored_candidates(
@@ -75,12 +76,15 @@ def best_links(
     descriptions: DataFrame | None = None,
     **mention_options,
 ) -> DataFrame:
-    """``(warc_id, mention, n, kb_id, score)``: the link of each distinct mention and how often the record has it."""
-    counts = stored(mention_counts(document_mentions(docs, **mention_options)), "mentions")
+    """``(warc_id, mention, n, kb_id, score)``: the link of each distinct mention and how often the record has it.
+
+    Ids may repeat; each record is scored alone, with its own bag.
+    """
+    counts = stored(mention_counts(record_mentions(keyed(docs), **mention_options)), "mentions")
     scored = scored_candidates(
         counts, labels, triples, word_threshold, size, results, english, normalize, threshold, candidates, descriptions, **mention_options
     )
-    return scoring.best_candidate(scored).select("warc_id", "mention", "n", "kb_id", "score")
+    return unkeyed(scoring.best_candidate(scored).select("warc_id", "mention", "n", "kb_id", "score"))
 
 
 def link_entities(docs: DataFrame, labels: DataFrame | None = None, triples: DataFrame | None = None, **options) -> DataFrame:

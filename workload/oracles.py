@@ -71,7 +71,7 @@ def lemma_ctes(p: str) -> None:
     )
 
 
-def text_ctes(p: str, source: str, lemmas: bool = True) -> None:
+def text_ctes(p: str, source: str, lemmas: bool = True, other: str = r"[\W_]+", capital: str = "[A-Z]") -> None:
     breaks = "|".join(re.escape(mark) for mark in fw.BREAKS)
     spaced = rf"regexp_replace(regexp_replace(body, {q(breaks)}, ' ', 'g'), {q(fw.CLITICS)}, ' \1', 'g')"
     cte(
@@ -88,12 +88,12 @@ def text_ctes(p: str, source: str, lemmas: bool = True) -> None:
     cte(
         f"{p}_words",
         rf"""SELECT warc_id, word, row_number() OVER (PARTITION BY warc_id ORDER BY pos) - 1 AS pos FROM (
-            SELECT warc_id, pos, regexp_replace(regexp_replace(raw, '[\W_]+', '', 'g'), '[0-9]', '', 'g') AS word FROM ({rows}))
+            SELECT warc_id, pos, regexp_replace(regexp_replace(raw, '{other}', '', 'g'), '[0-9]', '', 'g') AS word FROM ({rows}))
             WHERE word <> ''""",
         f"{p}_tokens",
         *([f"{p}_lemma_table"] if lemmas else []),
     )
-    mention_ctes(p, f"(SELECT *, CASE WHEN regexp_matches(word, '^[A-Z]') THEN 'NNP' ELSE 'NN' END AS tag FROM {p}_words)", f"{p}_words")
+    mention_ctes(p, f"(SELECT *, CASE WHEN regexp_matches(word, '^{capital}') THEN 'NNP' ELSE 'NN' END AS tag FROM {p}_words)", f"{p}_words")
 
 
 def mention_ctes(p: str, tagged: str, *reads: str) -> None:
@@ -124,6 +124,7 @@ def mention_ctes(p: str, tagged: str, *reads: str) -> None:
 
 cte("docs", "SELECT CAST(doc_id AS VARCHAR) AS warc_id, text AS body FROM documents")
 text_ctes("doc", "docs")
+text_ctes("uni", "docs", lemmas=False, other=r"[^\p{L}\p{N}]+", capital=r"\p{Lu}")
 
 # Knowledge base ------------------------------------------------------------------------------------------------------------------
 
@@ -336,13 +337,41 @@ hit_ctes("lex_", "lex_distinct")
 link_ctes("lex_", "lex_doc_counts", "lex_kb_counts", "lex_candidates")
 
 # With typed entities as mentions: each distinct entity of a text is one mention
+cte("names", "SELECT name, len(string_split(name, ' ')) AS n FROM (SELECT DISTINCT name FROM gazetteer)", "gazetteer")
 for side in ("doc", "kb"):
+    # All stretches of all chunks up to the longest name; then from each taken name to the first one that begins at its end or later.
+    cte(
+        f"{side}_spans",
+        f"""SELECT chunk, off, max(w.n) AS n FROM (
+                SELECT chunk, off, unnest(range(1, least(size - off, (SELECT max(n) FROM names)) + 1)) AS n, l FROM (
+                    SELECT chunk, len(l) AS size, unnest(range(len(l))) AS off, l FROM (
+                        SELECT DISTINCT chunk, string_split(chunk, ' ') AS l FROM {side}_chunks))) w
+            JOIN names ON name = array_to_string(l[off + 1:off + w.n], ' ') GROUP BY chunk, off""",
+        f"{side}_chunks",
+        "names",
+    )
+    cte(
+        f"{side}_taken",
+        f"""SELECT chunk, min(off) AS off FROM {side}_spans GROUP BY chunk
+            UNION ALL
+            SELECT t.chunk, (SELECT min(x.off) FROM {side}_spans x WHERE x.chunk = t.chunk AND x.off >= s.off + s.n)
+            FROM {side}_taken t JOIN {side}_spans s ON s.chunk = t.chunk AND s.off = t.off""",
+        f"{side}_spans",
+    )
+    cte(
+        f"{side}_entities",
+        f"""SELECT warc_id, pos, s.off, array_to_string((string_split(c.chunk, ' '))[s.off + 1:s.off + s.n], ' ') AS entity
+            FROM (SELECT *, row_number() OVER (PARTITION BY warc_id ORDER BY start) - 1 AS pos FROM {side}_chunks) c
+            JOIN {side}_taken t ON t.chunk = c.chunk JOIN {side}_spans s ON s.chunk = t.chunk AND s.off = t.off""",
+        f"{side}_chunks",
+        f"{side}_taken",
+        f"{side}_spans",
+    )
     cte(
         f"typed_{side}_counts",
         f"""SELECT warc_id, mention, 1 AS n, count(*) OVER (PARTITION BY warc_id) AS n_mentions
-            FROM (SELECT DISTINCT warc_id, chunk AS mention FROM {side}_chunks WHERE chunk IN (SELECT name FROM gazetteer))""",
-        f"{side}_chunks",
-        "gazetteer",
+            FROM (SELECT DISTINCT warc_id, entity AS mention FROM {side}_entities)""",
+        f"{side}_entities",
     )
 cte("typed_distinct", "SELECT DISTINCT mention FROM typed_doc_counts", "typed_doc_counts")
 hit_ctes("typed_", "typed_distinct")
@@ -351,7 +380,7 @@ link_ctes("typed_", "typed_doc_counts", "typed_kb_counts", "typed_candidates")
 # Lemmas --------------------------------------------------------------------------------------------------------------------------
 
 cte("raw_tokens", "SELECT token, count(*) AS n FROM doc_tokens GROUP BY token", "doc_tokens")
-cte("known", "SELECT token AS word FROM raw_tokens WHERE regexp_matches(token, '^[a-z]+$')", "raw_tokens")
+cte("known", "SELECT DISTINCT unnest(regexp_extract_all(html, '[A-Za-z]+')) AS word FROM pages")
 cte("irregular", "SELECT word, left(word, length(word) - 1) AS form FROM known WHERE word LIKE '%ae'", "known")
 ENDINGS = ", ".join(f"({i}, {q(old)}, {q(new)})" for i, (old, new) in enumerate(NOUN_ENDINGS))
 cte("endings", f"SELECT * FROM (VALUES {ENDINGS}) e(place, old, new)")
@@ -427,32 +456,32 @@ ORACLES: dict[str, str] = {
         "doc_chunks",
     ),
     "mentions": build("SELECT warc_id, ord, kind, mention FROM doc_mentions", "doc_mentions"),
+    "unicode_mentions": build(
+        """SELECT warc_id, coalesce(string_agg(mention, '|' ORDER BY ord), '') AS mentions FROM docs LEFT JOIN uni_mentions USING (warc_id) GROUP BY warc_id""",
+        "docs",
+        "uni_mentions",
+    ),
     "typed_entities": build(
-        """SELECT warc_id, pos, chunk AS entity, type
-           FROM (SELECT *, row_number() OVER (PARTITION BY warc_id ORDER BY start) - 1 AS pos FROM doc_chunks)
-           JOIN gazetteer ON name = chunk""",
-        "doc_chunks",
-        "gazetteer",
+        "SELECT warc_id, pos, off AS \"at\", entity, type FROM doc_entities JOIN gazetteer ON name = entity", "doc_entities", "gazetteer"
     ),
     "entity_types": build(
-        """SELECT warc_id, chunk AS entity, last(type ORDER BY start, type) AS type FROM doc_chunks JOIN gazetteer ON name = chunk
-           GROUP BY warc_id, chunk""",
-        "doc_chunks",
+        """SELECT warc_id, entity, last(type ORDER BY pos, off, type) AS type FROM doc_entities JOIN gazetteer ON name = entity
+           GROUP BY warc_id, entity""",
+        "doc_entities",
         "gazetteer",
     ),
     "entity_mentions": build(
-        """SELECT warc_id, coalesce(string_agg(DISTINCT chunk, '|' ORDER BY chunk) FILTER (chunk IN (SELECT name FROM gazetteer)), '') AS mentions
-           FROM docs LEFT JOIN doc_chunks USING (warc_id) GROUP BY warc_id""",
+        """SELECT warc_id, coalesce(string_agg(DISTINCT entity, '|' ORDER BY entity), '') AS mentions
+           FROM docs LEFT JOIN doc_entities USING (warc_id) GROUP BY warc_id""",
         "docs",
-        "doc_chunks",
-        "gazetteer",
+        "doc_entities",
     ),
     "typed_places": build(
-        """SELECT warc_id, coalesce(string_agg(DISTINCT chunk, '|' ORDER BY chunk) FILTER (
-               chunk IN (SELECT name FROM gazetteer WHERE type IN ('GPE', 'ORGANIZATION'))), '') AS mentions
-           FROM docs LEFT JOIN doc_chunks USING (warc_id) GROUP BY warc_id""",
+        """SELECT warc_id, coalesce(string_agg(DISTINCT entity, '|' ORDER BY entity) FILTER (
+               entity IN (SELECT name FROM gazetteer WHERE type IN ('GPE', 'ORGANIZATION'))), '') AS mentions
+           FROM docs LEFT JOIN doc_entities USING (warc_id) GROUP BY warc_id""",
         "docs",
-        "doc_chunks",
+        "doc_entities",
         "gazetteer",
     ),
     "candidate_search": build("SELECT mention, kb_id, label, n_words, search_score, rank FROM hits WHERE rank <= 100", "hits"),
@@ -500,6 +529,9 @@ ORACLES: dict[str, str] = {
     ),
     "link_threshold": build("SELECT warc_id, mention, kb_id, round(score, 6) AS score FROM best WHERE score >= 0.2", "best"),
     "link_entities": build("SELECT warc_id, mention, kb_id FROM links", "links"),
+    "link_entities_shared_ids": build(
+        "SELECT source AS warc_id, mention, kb_id FROM links JOIN documents ON CAST(doc_id AS VARCHAR) = warc_id", "links"
+    ),
     "link_entities_from_responses": build("SELECT warc_id, mention, kb_id FROM links", "links"),
     "link_entities_with_lexicon": build("SELECT warc_id, mention, kb_id FROM lex_links", "lex_links"),
     "link_entities_by_type": build("SELECT warc_id, mention, kb_id FROM typed_links", "typed_links"),

@@ -11,7 +11,7 @@ from tether.functions import hamming, keys, markup
 from tether.functions import words as fw
 from tether.operators import dictionary, evaluation, graph, lemmas, scoring, search, similarity
 from tether.operators import mentions as m
-from tether.operators.rows import exploded
+from tether.operators.rows import exploded, keyed, unkeyed
 from tether.plans import documents as pd
 from tether.plans import linking
 from tether.session import fresh_path, stored
@@ -31,8 +31,8 @@ def query(fn: Query) -> Query:
 
 
 def _lemma_options(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    """Known words and irregular forms of the corpus as stored tables, as dictionaries would come."""
-    known = stored(_lexicon(spark, sf_dir), "known-words")
+    """Known words and irregular forms as stored tables, as dictionaries would come."""
+    known = stored(t.known_words(spark, sf_dir), "known-words")
     return {"lemma_lexicon": known, "lemma_exceptions": stored(_irregular(known), "irregular")}
 
 
@@ -59,28 +59,22 @@ def _mentions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return stored(exploded(_arrays(spark, sf_dir), [], "mentions", "mention").distinct(), "mentions")
 
 
+def _chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return stored(m.text_chunk_arrays(t.docs(spark, sf_dir), *_lemma_options(spark, sf_dir).values()), "chunks")
+
+
 def _raw_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Distinct tokens with their number of uses."""
     tokens = exploded(t.docs(spark, sf_dir), [], fw.tokens(F.col("body")), "token")
     return tokens.groupBy("token").agg(F.count("*").alias("n"))
 
 
-def _lexicon(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Known words: the lower-case words of the corpus."""
-    tokens = exploded(t.docs(spark, sf_dir), [], F.array_distinct(fw.tokens(F.col("body"))), "word")
-    return tokens.where(F.col("word").rlike("^[a-z]+$")).distinct()
-
-
 def _irregular(known: DataFrame) -> DataFrame:
+    """Irregular forms: known words in ``-ae`` go with the form in ``-a``."""
     ae = known.where(F.col("word").endswith("ae"))
     return ae.select("word", F.expr("substring(word, 1, length(word) - 1)").alias("form"))
 
 
-def _exceptions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Irregular forms: words of the corpus in ``-ae`` go with the form in ``-a``."""
-    return _irregular(_lexicon(spark, sf_dir))
-
-
 def _word_counts(rows: DataFrame) -> DataFrame:
     return rows.groupBy("word").agg(F.count("*").alias("n"))
 
@@ -106,8 +100,8 @@ def _knowledge(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
 
 def _scored(spark: SparkSession, sf_dir: str, normalize: str = "document") -> DataFrame:
     options = _lemma_options(spark, sf_dir)
-    counts = stored(m.mention_counts(pd.document_mentions(t.docs(spark, sf_dir), **options)), "mentions")
-    return linking.scored_candidates(counts, *_knowledge(spark, sf_dir), normalize=normalize, **options)
+    counts = stored(m.mention_counts(pd.record_mentions(keyed(t.docs(spark, sf_dir)), **options)), "mentions")
+    return unkeyed(linking.scored_candidates(counts, *_knowledge(spark, sf_dir), normalize=normalize, **options))
 
 
 def _gold(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -195,7 +189,7 @@ def strip_digits(spark, sf_dir):
 @query
 def lemmas_of_words(spark, sf_dir):
     words = _raw_tokens(spark, sf_dir).select(fw.strip_hex(F.col("token")).alias("word"))
-    return lemmas.lemmas(words, _lexicon(spark, sf_dir), _exceptions(spark, sf_dir))
+    return lemmas.lemmas(words, *_lemma_options(spark, sf_dir).values())
 
 
 @query
@@ -241,12 +235,19 @@ def noun_runs(spark, sf_dir):
 
 @query
 def mentions(spark, sf_dir):
-    return m.mention_rows(m.mention_arrays(_tagged(spark, sf_dir)))
+    return m.mention_rows(_arrays(spark, sf_dir))
+
+
+@query
+def unicode_mentions(spark, sf_dir):
+    """Mentions whose words keep the letters of all scripts."""
+    found = pd.document_mentions(t.docs(spark, sf_dir), unicode=True)
+    return found.select("warc_id", F.array_join("mentions", "|").alias("mentions"))
 
 
 @query
 def typed_entities(spark, sf_dir):
-    return m.typed_entities(_tagged(spark, sf_dir), t.gazetteer(spark, sf_dir))
+    return m.typed_entities(_chunks(spark, sf_dir), t.gazetteer(spark, sf_dir))
 
 
 @query
@@ -259,7 +260,7 @@ def typed_places(spark, sf_dir):
 
 @query
 def entity_types(spark, sf_dir):
-    return m.entity_types(m.typed_entities(_tagged(spark, sf_dir), t.gazetteer(spark, sf_dir)))
+    return m.entity_types(m.typed_entities(_chunks(spark, sf_dir), t.gazetteer(spark, sf_dir)))
 
 
 @query
@@ -414,6 +415,13 @@ def link_entities(spark, sf_dir):
     return linking.link_entities(t.docs(spark, sf_dir), *_knowledge(spark, sf_dir), **_lemma_options(spark, sf_dir))
 
 
+@query
+def link_entities_shared_ids(spark, sf_dir):
+    """Links of documents that go by the name of their source, so each id stands for many records, scored one by one."""
+    rows = t.table(spark, sf_dir, "documents").select(F.col("source").alias("warc_id"), F.col("text").alias("body"))
+    return linking.link_entities(rows, *_knowledge(spark, sf_dir), **_lemma_options(spark, sf_dir))
+
+
 @query
 def link_entities_from_responses(spark, sf_dir):
     """Links whose candidates and abstracts come from stored answers of the two services."""

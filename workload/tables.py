@@ -40,6 +40,12 @@ def items(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def known_words(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``word``: the distinct words of all pages, in either case, as a word list would come."""
+    words = F.regexp_extract_all("html", F.lit("[A-Za-z]+"), F.lit(0))
+    return table(spark, sf_dir, "pages").select(F.explode(F.array_distinct(words)).alias("word")).distinct()
+
+
 def kb_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``(kb_id, label)``: the mentions of each passage, and its opening three words as a title."""
     words = m.word_arrays(items(spark, sf_dir).select(F.col("kb_id").alias("warc_id"), F.col("text").alias("body")))
