@@ -95,12 +95,12 @@ def capitals_decide(lexicon: DataFrame, exceptions: DataFrame | None = None) ->
     Endings never change a word's first letter, so such a word stays what it is, a gap between names, unless its lemma has no letter
     that cleaning leaves, or is listed as irregular with a form of another kind. Word tables of usual make have neither.
     """
-    if not lexicon.where(~F.col("word").rlike("[A-Za-z]")).isEmpty():
-        return False
-    if exceptions is None:
-        return True
-    first = lambda c: F.regexp_extract(fw.clean(fw.strip_hex(F.col(c))), "^.", 0)
-    return exceptions.where(~first("word").rlike("[A-Z]") & ((first("form") == "") | first("form").rlike("[A-Z]"))).isEmpty()
+    odd = lexicon.where(~F.col("word").rlike("[A-Za-z]")).select("word")
+    if exceptions is not None:
+        first = lambda c: F.regexp_extract(fw.clean(fw.strip_hex(F.col(c))), "^.", 0)
+        other_kind = ~first("word").rlike("[A-Z]") & ((first("form") == "") | first("form").rlike("[A-Z]"))
+        odd = odd.unionByName(exceptions.where(other_kind).select("word"))
+    return odd.isEmpty()
 
 
 def swaps(listed: DataFrame, lexicon: DataFrame, exceptions: DataFrame | None = None) -> DataFrame:

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tether.functions.hamming import allowed_differences, hamming_similarity
 from tether.operators.joins import balanced_join
+from tether.session import stored
 
 
 def _int(column: Column) -> Column:
@@ -104,16 +105,17 @@ def similar_words(left: DataFrame, right: DataFrame, threshold: float = 0.8) ->
     """
     if not 0 <= threshold < 1:
         raise ValueError("threshold must be at least 0 and less than 1")
-    a = left.select(F.col(left.columns[0]).alias("word")).where("word <> ''").distinct()
-    b = right.select(F.col(right.columns[0]).alias("word")).where("word <> ''").distinct()
+    # Each side is computed once: its words are read for their lengths and their keys, its keys for their counts and the join.
+    a = stored(left.select(F.col(left.columns[0]).alias("word")).where("word <> ''").distinct(), "words")
+    b = stored(right.select(F.col(right.columns[0]).alias("word")).where("word <> ''").distinct(), "words")
     a_lengths = a.select(F.length("word").alias("length")).distinct()
     b_lengths = b.select(F.length("word").alias("length")).distinct()
     ka = part_keys(_with_lengths(a, a_lengths, b_lengths, threshold), threshold)
     kb = part_keys(_with_lengths(b, b_lengths, a_lengths, threshold), threshold)
-    met = balanced_join(
-        ka.select("key", F.col("word").alias("word_a"), F.col("is_longer").alias("a_longer")),
-        kb.select("key", F.col("word").alias("word_b"), F.col("is_longer").alias("b_longer")),
-        "key",
-    )
+    right_keys = stored(kb.select("key", F.col("word").alias("word_b"), F.col("is_longer").alias("b_longer")), "keys")
+    # Most keys of the larger side have no partner, and are left out before anything is counted.
+    partners = right_keys.select("key").distinct()
+    left_keys = ka.select("key", F.col("word").alias("word_a"), F.col("is_longer").alias("a_longer")).join(partners, "key", "left_semi")
+    met = balanced_join(stored(left_keys, "keys"), right_keys, "key")
     close: Column = hamming_similarity(F.col("word_a"), F.col("word_b")) > threshold
     return met.where((F.col("a_longer") | F.col("b_longer")) & close).select("word_a", "word_b").distinct()

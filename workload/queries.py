@@ -50,13 +50,13 @@ def _tagged_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("warc_id", "pos", "t.word", "t.tag")
 
 
-def _arrays(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return pd.document_mentions(t.docs(spark, sf_dir), **_lemma_options(spark, sf_dir))
+def _arrays(spark: SparkSession, sf_dir: str, options: dict[str, DataFrame] | None = None) -> DataFrame:
+    return pd.document_mentions(t.docs(spark, sf_dir), **(options or _lemma_options(spark, sf_dir)))
 
 
-def _mentions(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _mentions(spark: SparkSession, sf_dir: str, options: dict[str, DataFrame] | None = None) -> DataFrame:
     """Distinct mentions of the corpus."""
-    return stored(exploded(_arrays(spark, sf_dir), [], "mentions", "mention").distinct(), "mentions")
+    return stored(exploded(_arrays(spark, sf_dir, options), [], "mentions", "mention").distinct(), "mentions")
 
 
 def _chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -83,9 +83,9 @@ def _abstracts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return graph.kb_abstracts(t.kb_triples(spark, sf_dir), t.items(spark, sf_dir))
 
 
-def _nouns(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _nouns(spark: SparkSession, sf_dir: str, options: dict[str, DataFrame]) -> DataFrame:
     abstracts = graph.english_abstracts(_abstracts(spark, sf_dir))
-    return stored(linking.description_nouns(abstracts, **_lemma_options(spark, sf_dir)), "nouns")
+    return stored(linking.description_nouns(abstracts, **options), "nouns")
 
 
 def _labels(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -382,7 +382,8 @@ def hamming_similarity(spark, sf_dir):
 
 @query
 def similar_words(spark, sf_dir):
-    return similarity.similar_words(_mentions(spark, sf_dir), _nouns(spark, sf_dir).select("mention"))
+    options = _lemma_options(spark, sf_dir)
+    return similarity.similar_words(_mentions(spark, sf_dir, options), _nouns(spark, sf_dir, options).select("mention"))
 
 
 def _rounded(rows: DataFrame) -> DataFrame:
