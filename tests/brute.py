@@ -72,3 +72,42 @@ def label_sets(hits):
     for kb_id, label, _ in hits:
         sets[kb_id].add(label)
     return dict(sets)
+
+
+def html_text(markup, sep=" "):
+    """Text nodes by a walk over the letters; see the scanner for what is dropped."""
+    out, i, n = [], 0, len(markup)
+
+    def tag_end(i):
+        while i < n and markup[i] != ">":
+            if markup[i] == "=":
+                j = i + 1
+                while j < n and markup[j] in " \t\n\x0b\f\r":
+                    j += 1
+                if j < n and markup[j] in "\"'" and markup.find(markup[j], j + 1) >= 0:
+                    i = markup.find(markup[j], j + 1)
+            i += 1
+        return min(i + 1, n)
+
+    while i < n:
+        rest = markup[i:].lower()
+        if rest.startswith("<!--"):
+            ends = [m.end() for p in ("-->", "--!>") for m in [re.compile(re.escape(p)).search(markup, i + 4)] if m]
+            i += 5 if rest[4:5] == ">" else 6 if rest[4:6] == "->" else min(ends, default=n) - i
+            out.append(sep)
+        elif re.match(r"<(script|style)[\s/>]", rest, re.ASCII) and markup[tag_end(i + 2) - 1] == ">":
+            name = re.match(r"<(script|style)", rest)[1]
+            start = tag_end(i + 1 + len(name))
+            close = re.compile(rf"</{name}(?:[\s/][^>]*)?>", re.I | re.ASCII).search(markup, start)
+            i = close.end() if close else n
+            out.append(sep)
+        elif re.match(r"</?[a-z]", rest):
+            i = tag_end(i + 2)
+            out.append(sep)
+        elif re.match(r"<[!?/]", rest):
+            i = markup.find(">", i) + 1 or n
+            out.append(sep)
+        else:
+            out.append(markup[i])
+            i += 1
+    return "".join(out)

@@ -1,4 +1,5 @@
 import pytest
+from brute import html_text as brute_html_text
 from brute import strip_code_blocks
 from pyspark.sql import functions as F
 
@@ -74,3 +75,39 @@ def test_strip_code_blocks_on_all_orders(table, parts):
 def test_references_of_any_name_and_length(spark):
     rows = spark.createDataFrame([("&#0000000233; &#x00000000E9; &alpha; &rarr; &Sigma; &hearts; &apos; &nosuch;",)], "t string")
     assert rows.select(markup.unescape(F.col("t"))).first()[0] == "\xe9 \xe9 \u03b1 \u2192 \u03a3 \u2665 ' &nosuch;"
+
+
+def test_quoted_and_unclosed_markup(table):
+    pages = [
+        '<a title="x > y">z</a>',
+        "a<script>var a=1; if (b<c) {}",
+        "a<STYLE type='>'>p > q {}</Style\n>b",
+        "<p title=it's>kept</p>",
+        '<p title="never closed>text</p>',
+        "a<b",
+        "x<!-->y<!--->z<!-- a --!>t<!-- b",
+        "<scripted>kept</scripted>",
+        "<a b = \n'>' c>d",
+    ]
+    assert column(table, pages, lambda c: markup.html_text(c, "")) == ["z", "a", "ab", "kept", "text", "a", "xyzt", "kept", "d"]
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_scanner_equals_a_walk(table, seed):
+    import random
+
+    r = random.Random(seed)
+    atoms = ["<", ">", "<a", "</a", "<script", "</script", "<STYLE>", "</style >", "<!--", "-->", "--!>", "<!", "=", '"', "'", " ", "/", "x", "1", "\n", "<p title=", "-", "?"]
+    texts = ["".join(r.choice(atoms) for _ in range(r.randint(0, 14))) for _ in range(1500)]
+    assert column(table, texts, markup.tag_free) == [brute_html_text(t) for t in texts]
+
+
+def test_long_markup_neither_deepens_the_stack_nor_repeats(table):
+    attributes = "".join(f" a{i}='>{i}'" for i in range(60000))
+    texts = [f"<p{attributes}>end", "<a " * 100000, "<!-- " * 100000, "<script>" + "<" * 300000, "&" * 100000 + "&eacute"]
+    assert column(table, texts, lambda c: markup.html_text(c, "")) == ["end", "", "", "", "&" * 100000 + "\xe9"]
+
+
+def test_references_without_semicolon(table):
+    texts = ["&eacutet&eacute &copyright &notin; &notit; &AMP;&AMP &#233x &#xE9g &alpha &sup1 &sup &frac123", "&lt&gt&amp;lt &ampamp;"]
+    assert column(table, texts, markup.unescape) == ["\xe9t\xe9 \xa9right \u2209 \xacit; && \xe9x \xe9g &alpha \xb9 &sup \xbd3", "<>&lt &amp;"]

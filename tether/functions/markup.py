@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from html.entities import name2codepoint
+from html.entities import html5, name2codepoint
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -11,18 +11,41 @@ from pyspark.sql import functions as F
 CONTENT_TYPE = "Content-Type: text/html; charset=UTF-8"
 RECORD_KEY = "WARC-TREC-ID"
 
-# The named character references of HTML 4, as Python's own table gives them, and the apostrophe.
-NAMED = {name: chr(code) for name, code in sorted(name2codepoint.items())} | {"apos": "'"}
+# The named character references of HTML 4, as Python's own table gives them, and the apostrophe; of them those that HTML
+# knows without a semicolon too, and four in capitals.
+BARE = {name: html5[name] for name in sorted(html5) if not name.endswith(";")}
+NAMED = BARE | {name: chr(code) for name, code in sorted(name2codepoint.items())} | {"apos": "'"}
+
+# Attributes of a tag: a quoted value may hold anything but its quote, and a quote that is not closed or begins no value is a letter like
+# any other. All loops are possessive, so they neither go back nor deepen the stack, and each letter is passed once.
+_ATTRIBUTES = r"""(?:[^>"'=]++|=\s*+(?:"[^"]*+"|'[^']*+')|["'=])*+"""
+_COMMENT = r"<!--(?:-?>|.*?(?:--!?>|\z))"
+_RAW = r"(?i:<%(name)s(?:[\s/]%(attributes)s)?+>.*?(?:</%(name)s(?:[\s/][^>]*+)?+>|\z))"
+_TAG = rf"</?[a-zA-Z]{_ATTRIBUTES}(?:>|\z)"
+_OTHER = r"<[!?/][^>]*+(?:>|\z)"
+
+
+def scanner(strip_scripts: bool = True) -> str:
+    """All that is no text, as one ordered choice: comments, scripts and styles whole, tags, declarations. What is not closed runs to the end."""
+    raw = [_RAW % {"name": name, "attributes": _ATTRIBUTES} for name in ("script", "style")] if strip_scripts else []
+    return "(?s)" + "|".join([_COMMENT, *raw, _TAG, _OTHER])
+
+
+def _reference_pattern() -> str:
+    """Character references; the longest name counts, with its semicolon if it has one."""
+    longest = lambda names: "|".join(sorted(names, key=lambda n: (-len(n), n)))
+    return f"&#[0-9]++;?+|&#[xX][0-9A-Fa-f]++;?+|&(?:{longest(NAMED)});|&(?:{longest(BARE)})"
 
 
 def _named_references() -> Column:
-    return F.create_map(*[F.lit(x) for name, char in NAMED.items() for x in (f"&{name};", char)])
+    spelled = {f"&{name};": char for name, char in NAMED.items()} | {f"&{name}": char for name, char in BARE.items()}
+    return F.create_map(*[F.lit(x) for pair in spelled.items() for x in pair])
 
 
 def _numeric_reference(ref: Column) -> Column:
-    """``&#233;`` and ``&#xE9;`` to their character; null where ``ref`` is no valid numeric reference."""
-    digits = F.regexp_extract(ref, r"^&#0*([0-9]{1,7});$", 1)
-    hex_digits = F.regexp_extract(ref, r"^&#[xX]0*([0-9A-Fa-f]{1,6});$", 1)
+    """``&#233;`` and ``&#xE9;``, with or without semicolon, to their character; null where ``ref`` is no valid numeric reference."""
+    digits = F.regexp_extract(ref, r"^&#0*([0-9]{1,7});?$", 1)
+    hex_digits = F.regexp_extract(ref, r"^&#[xX]0*([0-9A-Fa-f]{1,6});?$", 1)
     code = F.coalesce(
         F.when(digits != "", F.hex(digits.try_cast("bigint"))),
         F.when(hex_digits != "", hex_digits),
@@ -33,8 +56,11 @@ def _numeric_reference(ref: Column) -> Column:
 
 
 def unescape(text: Column) -> Column:
-    """Replace character references in one left-to-right pass, so ``&amp;lt;`` becomes ``&lt;`` and not ``<``."""
-    pieces = F.regexp_extract_all(text, F.lit("[^&]+|&#?[A-Za-z0-9]+;|&"), F.lit(0))
+    """Replace character references in one left-to-right pass, so ``&amp;lt;`` becomes ``&lt;`` and not ``<``.
+
+    Semicolons may be missing where HTML lets them: after numbers, and after the names it has known longest.
+    """
+    pieces = F.regexp_extract_all(text, F.lit(f"[^&]++|{_reference_pattern()}|&"), F.lit(0))
     named = _named_references()
 
     def decode(piece: Column) -> Column:
@@ -44,12 +70,8 @@ def unescape(text: Column) -> Column:
 
 
 def tag_free(markup: Column, sep: str = " ", strip_scripts: bool = True) -> Column:
-    """``html_text`` with its character references left as they are."""
-    text = F.regexp_replace(markup, r"(?s)<!--.*?(?:-->|\z)", sep)
-    if strip_scripts:
-        text = F.regexp_replace(text, r"(?is)<script\b[^>]*>.*?</script\s*>", sep)
-        text = F.regexp_replace(text, r"(?is)<style\b[^>]*>.*?</style\s*>", sep)
-    return F.regexp_replace(text, r"<[!/?a-zA-Z][^>]*>", sep)
+    """``html_text`` with its character references left as they are, in one pass over ``markup``."""
+    return F.regexp_replace(markup, scanner(strip_scripts), sep)
 
 
 def html_text(markup: Column, sep: str = " ", strip_scripts: bool = True) -> Column:

@@ -187,14 +187,10 @@ cte(
 
 
 def markup_text(column: str) -> str:
-    text = column
-    for pattern in (
-        r"(?s)<!--.*?(?:-->|\z)",
-        r"(?is)<script\b[^>]*>.*?</script\s*>",
-        r"(?is)<style\b[^>]*>.*?</style\s*>",
-        "<[!/?a-zA-Z][^>]*>",
-    ):
-        text = f"regexp_replace({text}, {q(pattern)}, ' ', 'g')"
+    attributes = """(?:[^>"'=]|=\\s*(?:"[^"]*"|'[^']*')|["'=])*"""
+    raw = [rf"(?i:<{name}(?:[\s/]{attributes})?>.*?(?:</{name}(?:[\s/][^>]*)?>|\z))" for name in ("script", "style")]
+    parts = [r"<!--(?:-?>|.*?(?:--!?>|\z))", *raw, rf"</?[a-zA-Z]{attributes}(?:>|\z)", r"<[!?/][^>]*(?:>|\z)"]
+    text = f"regexp_replace({column}, {q('(?s)' + '|'.join(parts))}, ' ', 'g')"
     for name, char in (("middot", "·"), ("copy", "©"), ("quot", '"'), ("amp", "&")):
         text = f"replace({text}, '&{name};', {q(char)})"
     return text
