@@ -6,6 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tether.operators import context
 from tether.operators import mentions as m
 from tether.operators.rows import keyed, unkeyed
 from tether.session import stored
@@ -26,15 +27,21 @@ def record_mentions(
     types: list[str] | None = None,
     stop_words: list[str] | None = None,
     unicode: bool = False,
+    tag_uses: DataFrame | None = None,
+    tag_moves: DataFrame | None = None,
 ) -> DataFrame:
     """``document_mentions`` of documents whose ``warc_id`` is the record's key."""
-    by_rule = tag_lexicon is None and not unicode
+    by_rule = tag_lexicon is None and tag_uses is None and not unicode
     if gazetteer is None and by_rule:
         return m.text_mention_arrays(docs, stop_words, lemma_lexicon, lemma_exceptions)
     if by_rule:
         chunks = m.text_chunk_arrays(docs, lemma_lexicon, lemma_exceptions)
     else:
-        tagged = m.tag_tokens(m.word_arrays(docs, lemma_lexicon, lemma_exceptions, unicode), tag_lexicon, unicode)
+        words = m.word_arrays(docs, lemma_lexicon, lemma_exceptions, unicode)
+        if tag_uses is not None:
+            tagged = context.tag_in_context(stored(words, "words"), tag_uses, tag_moves)
+        else:
+            tagged = m.tag_tokens(words, tag_lexicon, unicode)
         if gazetteer is None:
             return m.mention_arrays(tagged, stop_words)
         chunks = m.chunk_arrays(tagged)
@@ -47,7 +54,7 @@ def document_mentions(docs: DataFrame, **options) -> DataFrame:
 
     Mentions are proper nouns and their runs. With a ``gazetteer (name, type)`` they are the distinct typed entities instead, of the given
     ``types`` or of all. With a ``lemma_lexicon (word)`` of known words, and irregular forms in ``lemma_exceptions (word, form)``, words are
-    replaced by their noun lemmas first. ``tag_lexicon (word, tag)`` has tags other than by capitalisation. ``unicode=True`` keeps letters of
-    all scripts in words, and takes a capital of any script for one. ``stop_words`` replaces the list of words that are no mentions.
+    replaced by their noun lemmas first. ``tag_lexicon (word, tag)`` has tags other than by capitalisation; ``tag_uses (word, tag, n)`` and
+    ``tag_moves (before, tag, n)`` let the words around decide instead (see ``tag_in_context``). ``unicode=True`` keeps letters of all scripts in words, and takes a capital of any script for one. ``stop_words`` replaces the list of words that are no mentions.
     """
     return unkeyed(record_mentions(keyed(docs), **options))

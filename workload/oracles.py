@@ -381,6 +381,66 @@ cte("irregular", "SELECT word, left(word, length(word) - 1) AS form FROM known W
 ENDINGS = ", ".join(f"({i}, {q(old)}, {q(new)})" for i, (old, new) in enumerate(NOUN_ENDINGS))
 cte("endings", f"SELECT * FROM (VALUES {ENDINGS}) e(place, old, new)")
 
+# Tags in context: best cost up to each word for each tag, word by word through whole documents, then back from the last word.
+cte("uses", "SELECT lower(word) AS word, tag, count(*) AS n FROM doc_tagged GROUP BY lower(word), tag", "doc_tagged")
+cte(
+    "moves",
+    """SELECT before, tag, count(*) AS n FROM (
+           SELECT coalesce(lag(tag) OVER w, '') AS before, tag FROM doc_tagged WINDOW w AS (PARTITION BY warc_id ORDER BY pos)
+           UNION ALL SELECT last(tag ORDER BY pos), '' FROM doc_tagged GROUP BY warc_id
+           UNION ALL SELECT '', '' FROM docs WHERE warc_id NOT IN (SELECT warc_id FROM doc_tagged)) GROUP BY before, tag""",
+    "doc_tagged",
+    "docs",
+)
+cte(
+    "move_costs",
+    """SELECT a.t AS before, b.t AS tag, round(-1000.0 * ln((coalesce(n, 0) + 1) / sum(coalesce(n, 0) + 1) OVER (PARTITION BY a.t))) AS cost
+       FROM (VALUES (''), ('NN'), ('NNP')) a(t), (VALUES (''), ('NN'), ('NNP')) b(t) LEFT JOIN moves ON before = a.t AND tag = b.t""",
+    "moves",
+)
+cte(
+    "use_costs",
+    """SELECT word, tag, round(-1000.0 * ln(n / sum(n) OVER (PARTITION BY word)))
+           - round(-1000.0 * ln(sum(n) OVER (PARTITION BY tag) / sum(n) OVER ())) AS cost, count(*) OVER (PARTITION BY word) AS n_tags FROM uses""",
+    "uses",
+)
+cte(
+    "lattice",
+    """SELECT warc_id, d.pos, d.word, x.tag, CASE WHEN u.n_tags > 1 AND d.tag = 'NNP' THEN u.cost WHEN x.tag = d.tag THEN 0 END AS cost,
+           max(d.pos) OVER (PARTITION BY warc_id) AS final
+       FROM doc_tagged d, (VALUES ('NN'), ('NNP')) x(tag) LEFT JOIN use_costs u ON u.word = lower(d.word) AND u.tag = x.tag""",
+    "doc_tagged",
+    "use_costs",
+)
+cte(
+    "forward",
+    """SELECT warc_id, pos, tag, CAST(l.cost + c.cost AS DOUBLE) AS cost, '' AS before FROM lattice l JOIN move_costs c USING (tag)
+       WHERE pos = 0 AND c.before = '' AND l.cost IS NOT NULL
+       UNION ALL
+       SELECT warc_id, pos, tag, min(cost), arg_min(before, (cost, before)) FROM (
+           SELECT f.warc_id, l.pos, l.tag, f.cost + c.cost + l.cost AS cost, f.tag AS before
+           FROM forward f JOIN lattice l ON l.warc_id = f.warc_id AND l.pos = f.pos + 1 JOIN move_costs c ON c.before = f.tag AND c.tag = l.tag
+           WHERE l.cost IS NOT NULL) GROUP BY warc_id, pos, tag""",
+    "lattice",
+    "move_costs",
+)
+cte(
+    "backward",
+    """SELECT f.warc_id, f.pos, arg_min(f.tag, (f.cost + c.cost, f.tag)) AS tag FROM forward f JOIN move_costs c ON c.before = f.tag AND c.tag = ''
+       JOIN (SELECT DISTINCT warc_id, final FROM lattice) e ON e.warc_id = f.warc_id AND e.final = f.pos GROUP BY f.warc_id, f.pos
+       UNION ALL SELECT b.warc_id, b.pos - 1, f.before FROM backward b JOIN forward f ON f.warc_id = b.warc_id AND f.pos = b.pos AND f.tag = b.tag WHERE b.pos > 0""",
+    "forward",
+    "move_costs",
+    "lattice",
+)
+
+mention_ctes(
+    "ctx_doc",
+    "(SELECT d.warc_id, d.pos, d.word, b.tag FROM doc_tagged d JOIN backward b ON b.warc_id = d.warc_id AND b.pos = d.pos)",
+    "doc_tagged",
+    "backward",
+)
+
 # One statement per query ---------------------------------------------------------------------------------------------------------
 
 BLOCK_LINES = r"""SELECT page_id, unnest(l) AS line, unnest(range(len(l))) AS pos FROM (
@@ -446,12 +506,22 @@ ORACLES: dict[str, str] = {
     "proper_nouns": build("SELECT warc_id, word, count(*) AS n FROM doc_tagged WHERE tag = 'NNP' GROUP BY warc_id, word", "doc_tagged"),
     "tag_lexicon": build("SELECT word, n, n_capital, tag FROM lexicon", "lexicon"),
     "tag_tokens": build("SELECT word, tag, count(*) AS n FROM lex_doc_tagged GROUP BY word, tag", "lex_doc_tagged"),
+    "tag_moves": build("SELECT before, tag, n FROM moves", "moves"),
+    "tag_in_context": build(
+        "SELECT d.warc_id, d.pos, d.word, b.tag FROM doc_tagged d JOIN backward b ON b.warc_id = d.warc_id AND b.pos = d.pos", "doc_tagged", "backward"
+    ),
     "noun_runs": build(
         """SELECT warc_id, row_number() OVER (PARTITION BY warc_id ORDER BY start) - 1 AS pos, chunk AS run
            FROM doc_chunks WHERE size >= 2""",
         "doc_chunks",
     ),
     "mentions": build("SELECT warc_id, ord, kind, mention FROM doc_mentions", "doc_mentions"),
+    "context_mentions": build(
+        """SELECT warc_id, coalesce(string_agg(mention, '|' ORDER BY ord), '') AS mentions
+           FROM docs LEFT JOIN ctx_doc_mentions USING (warc_id) GROUP BY warc_id""",
+        "docs",
+        "ctx_doc_mentions",
+    ),
     "unicode_mentions": build(
         """SELECT warc_id, coalesce(string_agg(mention, '|' ORDER BY ord), '') AS mentions FROM docs LEFT JOIN uni_mentions USING (warc_id) GROUP BY warc_id""",
         "docs",

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tether.functions import hamming, keys, markup
 from tether.functions import words as fw
-from tether.operators import dictionary, evaluation, graph, lemmas, scoring, search, similarity
+from tether.operators import context, dictionary, evaluation, graph, lemmas, scoring, search, similarity
 from tether.operators import mentions as m
 from tether.operators.rows import exploded, keyed, unkeyed
 from tether.plans import documents as pd
@@ -225,6 +225,20 @@ def tag_tokens(spark, sf_dir):
     return rows.groupBy("word", "tag").agg(F.count("*").alias("n"))
 
 
+@query
+def tag_moves(spark, sf_dir):
+    return context.tag_moves(_tagged(spark, sf_dir))
+
+
+@query
+def tag_in_context(spark, sf_dir):
+    """Tags by the best sequence, from uses and moves of the corpus itself."""
+    words = stored(_words(spark, sf_dir), "words")
+    tagged = context.tag_in_context(words, context.tag_uses(words), context.tag_moves(m.tag_tokens(words)))
+    rows = exploded(tagged, ["warc_id"], "tagged", "t", "pos")
+    return rows.select("warc_id", "pos", "t.word", "t.tag")
+
+
 # Mentions ------------------------------------------------------------------------------------------------------------------------
 
 
@@ -238,6 +252,16 @@ def mentions(spark, sf_dir):
     return m.mention_rows(_arrays(spark, sf_dir))
 
 
+@query
+def context_mentions(spark, sf_dir):
+    """Mentions by tags in context."""
+    options = _lemma_options(spark, sf_dir)
+    words = stored(m.word_arrays(t.docs(spark, sf_dir), *options.values()), "words")
+    model = {"tag_uses": context.tag_uses(words), "tag_moves": context.tag_moves(m.tag_tokens(words))}
+    found = pd.document_mentions(t.docs(spark, sf_dir), **options, **model)
+    return found.select("warc_id", F.array_join("mentions", "|").alias("mentions"))
+
+
 @query
 def unicode_mentions(spark, sf_dir):
     """Mentions whose words keep the letters of all scripts."""
