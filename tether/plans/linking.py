@@ -62,29 +62,29 @@ def scored_candidates(
     return proposed.join(scores, ["warc_id", "kb_id"]).select("warc_id", "mention", "n", "kb_id", "search_score", "score")
 
 
-def best_links(
-    docs: DataFrame,
-    labels: DataFrame | None = None,
-    triples: DataFrame | None = None,
-    threshold: float = 0.2,
-    word_threshold: float = 0.8,
-    size: int = 100,
-    results: int = 10,
-    english: str = graph.ENGLISH,
-    normalize: str = "document",
-    candidates: DataFrame | None = None,
-    descriptions: DataFrame | None = None,
-    **mention_options,
-) -> DataFrame:
+def links_of(counts: DataFrame, labels: DataFrame | None = None, triples: DataFrame | None = None, threshold: float = 0.2, **options) -> DataFrame:
+    """``best_links`` of records whose mentions are counted: ``counts`` is ``mention_counts`` with the record's key as ``warc_id``."""
+    scored = scored_candidates(counts, labels, triples, min_score=threshold, **options)
+    return unkeyed(scoring.best_candidate(scored).select("warc_id", "mention", "n", "kb_id", "score"))
+
+
+LINK_OPTIONS = ("threshold", "word_threshold", "size", "results", "english", "normalize", "candidates", "descriptions")
+
+
+def best_links(docs: DataFrame, labels: DataFrame | None = None, triples: DataFrame | None = None, **options) -> DataFrame:
     """``(warc_id, mention, n, kb_id, score)``: the link of each distinct mention and how often the record has it.
 
-    Ids may repeat; each record is scored alone, with its own bag.
+    Ids may repeat; each record is scored alone, with its own bag. ``options`` are ``threshold``, those of ``scored_candidates`` and those of
+    ``document_mentions``, which hold for records and descriptions alike.
     """
+    mention_options = {k: v for k, v in options.items() if k not in LINK_OPTIONS}
     counts = stored(mention_counts(record_mentions(keyed(docs), **mention_options)), "mentions")
-    scored = scored_candidates(
-        counts, labels, triples, word_threshold, size, results, english, normalize, threshold, candidates, descriptions, **mention_options
-    )
-    return unkeyed(scoring.best_candidate(scored).select("warc_id", "mention", "n", "kb_id", "score"))
+    return links_of(counts, labels, triples, **options)
+
+
+def occurrences(links: DataFrame) -> DataFrame:
+    """``(warc_id, mention, kb_id)`` of ``best_links``: one row per occurrence of a linked mention."""
+    return links.select("warc_id", "mention", "kb_id", F.explode(F.sequence(F.lit(1).cast("long"), F.col("n"))).alias("turn")).drop("turn")
 
 
 def link_entities(docs: DataFrame, labels: DataFrame | None = None, triples: DataFrame | None = None, **options) -> DataFrame:
@@ -92,8 +92,7 @@ def link_entities(docs: DataFrame, labels: DataFrame | None = None, triples: Dat
 
     ``docs`` is ``(warc_id, body)``, ``labels`` is ``(kb_id, label)`` and ``triples`` is ``(s, p, o)``.
     """
-    links = best_links(docs, labels, triples, **options)
-    return links.select("warc_id", "mention", "kb_id", F.explode(F.sequence(F.lit(1), F.col("n"))).alias("turn")).drop("turn")
+    return occurrences(best_links(docs, labels, triples, **options))
 
 
 def entities(

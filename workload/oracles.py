@@ -373,6 +373,11 @@ cte("typed_distinct", "SELECT DISTINCT mention FROM typed_doc_counts", "typed_do
 hit_ctes("typed_", "typed_distinct")
 link_ctes("typed_", "typed_doc_counts", "typed_kb_counts", "typed_candidates")
 
+# Page records
+cte("page_distinct", "SELECT DISTINCT mention FROM page_mentions", "page_mentions")
+hit_ctes("page_", "page_distinct")
+link_ctes("page_", "page_counts", "kb_counts", "page_candidates")
+
 # Lemmas --------------------------------------------------------------------------------------------------------------------------
 
 cte("raw_tokens", "SELECT token, count(*) AS n FROM doc_tokens GROUP BY token", "doc_tokens")
@@ -611,6 +616,7 @@ ORACLES: dict[str, str] = {
         "described",
         "kb_mentions",
     ),
+    "link_entities_streamed": build("SELECT warc_id, mention, kb_id FROM page_links", "page_links"),
     "links_tsv": build("SELECT warc_id, mention, kb_id FROM links", "links"),
     "link_eval": build(
         """SELECT gold, linked, correct, round(p, 6) AS precision, round(r, 6) AS recall,

@@ -16,6 +16,7 @@ from tether.plans import documents as pd
 from tether.plans import linking
 from tether.session import fresh_path, stored
 from tether.sources import archive, links, responses
+from tether.streaming import linking as streamed
 from workload import tables as t
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -485,6 +486,19 @@ def link_entities_with_lexicon(spark, sf_dir):
     return linking.link_entities(t.docs(spark, sf_dir), *_knowledge(spark, sf_dir), tag_lexicon=lexicon, **options)
 
 
+@query
+def link_entities_streamed(spark, sf_dir):
+    """Links of page records that arrive in two batches or more."""
+    folder = t.page_archive(spark, sf_dir)
+    n_files = spark.read.format("binaryFile").load(folder).select("path").count()
+    path, checkpoint = fresh_path(spark, "links"), fresh_path(spark, "checkpoint")
+    stream = streamed.link_stream(
+        spark, folder, *_knowledge(spark, sf_dir), path, checkpoint, max_files=max(1, n_files // 2), available_now=True, **_lemma_options(spark, sf_dir)
+    )
+    stream.awaitTermination()
+    return streamed.read_links(spark, path)
+
+
 @query
 def links_tsv(spark, sf_dir):
     path = fresh_path(spark, "links")
