@@ -66,7 +66,42 @@ def test_drop_near_duplicates_keeps_one(odd, spark):
     kept = simhash.drop_near_duplicates(docs)
     assert kept.columns == docs.columns
     assert rows_of(kept, "doc_id") == sorted({(c,) for _, _, c in brute_components(rows)}, key=repr)
-    assert simhash.drop_near_duplicates(odd).where("doc_id is null").count() == 2
+    # One row of each component stays, whatever keys repeat or are null.
+    some = [(r.doc_id, r.text) for r in odd.collect()]
+    prints = [brute_fingerprint(t or "") for _, t in some]
+    roots = components_of(len(some), [(i, j) for i in range(len(some)) for j in range(i) if bin(prints[i] ^ prints[j]).count("1") <= 2])
+    want = Counter(min((k is None, k or 0) for (k, _), x in zip(some, roots) if x == root) for root in set(roots))
+    assert Counter((r.doc_id is None, r.doc_id or 0) for r in simhash.drop_near_duplicates(odd).collect()) == want
+    assert simhash.drop_near_duplicates(odd.limit(0)).collect() == []
+
+
+CLASHING = "doc_id long, text string, gone_key string, gone_places int, rest int, row int, ORDER int, gone int, key string, own_key int, found int, fp string, component_id int"
+
+
+def test_columns_of_any_name_stay(spark):
+    line = "a line that is long enough to be compared with others"
+    rows = [(1, f"{line}\nfirst"), (1, f"{line}\nfirst"), (2, f"{line}\nsecond text"), (None, f"{line}\nthird"), (None, "alone here"), (None, "alone here")]
+    docs = spark.createDataFrame([(*r, "k", 1, 2, i, 3, 4, "x", 5, 6, "y", 7) for i, r in enumerate(rows)], CLASHING)
+    gone = line_dedup.repeated_lines(docs)
+    kept = line_dedup.drop_lines(docs, gone)
+    assert kept.columns == docs.columns
+    assert rows_of(kept, "doc_id", "text", "row") == sorted([(1, "first", 0), (1, "first", 1), (2, "second text", 2), (None, rows[3][1], 3), (None, "alone here", 4), (None, "alone here", 5)], key=repr)
+    single = simhash.drop_near_duplicates(docs)
+    assert single.columns == docs.columns
+    assert rows_of(single, "doc_id", "text") == sorted(set(rows), key=repr)
+
+
+def test_far_slabs_are_left_early():
+    draw = np.random.default_rng(5)
+    prints = draw.integers(0, 2**63, 2048).astype(np.uint64)
+    left = []
+    near = simhash.within(simhash.planes_of(prints[None]), prints[None, :64], 2, left)
+    entries = 64 * 32
+    # After a third of the planes hardly any slab but the query's own goes on.
+    assert left[0] <= entries and left[5] < 0.1 * entries and left[-1] == 64
+    lanes = np.unpackbits(near.view(np.uint8), axis=2, bitorder="little")[0]
+    want = np.bitwise_count(prints[:64, None] ^ prints[None]) <= 2
+    assert (lanes == want).all()
 
 
 @pytest.mark.parametrize("radius", [0, 1, 2, 3, 5])

@@ -23,7 +23,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tether.llm.groups import dealt_in_blocks, map_groups
-from tether.llm.texts import slices
+from tether.llm.texts import free_name, slices
 from tether.session import stored
 
 EDITS, MIN_CHARS, EDIT_CHARS = 2, 20, 40
@@ -385,12 +385,13 @@ def line_counts(docs: DataFrame, gone: DataFrame, key: str = "doc_id", text: str
 
 
 def drop_lines(docs: DataFrame, gone: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """``docs`` without the lines of ``gone``; a document that loses lines and keeps no word goes. Other columns stay as they were."""
-    places = gone.groupBy(F.col(key).alias("gone_key")).agg(F.collect_set("pos").alias("gone_places"))
-    joined = docs.join(places, docs[key].eqNullSafe(F.col("gone_key")), "left")
-    lines = F.split(docs[text], "\n", -1)
-    kept = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), F.col("gone_places"))
-    rest = F.array_join(F.transform(kept, lambda i: F.get(lines, i)), "\n")
-    whole = F.col("gone_places").isNull()
-    shortened = joined.withColumn("rest", F.when(whole, docs[text]).otherwise(rest)).where(whole | F.col("rest").rlike(r"[^\x20\x09-\x0D]"))
-    return shortened.select(*[F.col("rest").alias(c) if c == text else docs[c] for c in docs.columns])
+    """``docs`` without the lines of ``gone``; a document that loses lines and keeps no word goes. Other columns, of any name, stay as they were."""
+    mine, theirs, where, rest = (free_name(docs, c) for c in ("own_key", "gone_key", "gone_places", "rest"))
+    places = gone.groupBy(F.col(key).alias(theirs)).agg(F.collect_set("pos").alias(where))
+    joined = docs.withColumn(mine, F.col(key)).join(places, F.col(mine).eqNullSafe(F.col(theirs)), "left")
+    lines = F.split(F.col(text), "\n", -1)
+    kept = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), F.col(where))
+    shortened = F.array_join(F.transform(kept, lambda i: F.get(lines, i)), "\n")
+    whole = F.col(where).isNull()
+    left = joined.withColumn(rest, F.when(whole, F.col(text)).otherwise(shortened)).where(whole | F.col(rest).rlike(r"[^\x20\x09-\x0D]"))
+    return left.select(*[F.col(rest).alias(c) if c == text else F.col(c) for c in docs.columns])

@@ -2,11 +2,13 @@
 
 Fingerprints that differ in ``radius`` bits or fewer agree wholly in all but ``radius`` of some blocks of bits; each choice of blocks is a
 key, so every link is found. Fingerprints that share a key are compared with bit planes: plane i holds bit i of all of them, differing
-bits are added to all distances at once by carry-save counters, and a slab is given up once all its distances exceed the radius.
+bits are added to all distances at once by carry-save counters, and a slab of 64 lanes is given up for a query once all its distances exceed
+the radius. Planes in which the fingerprints differ most are read first, as those that share a key agree in most of their bits. A group of
+one slab is read to the end, since each of its lanes is a query at distance 0 from itself.
 
-Equal fingerprints are compared once. Null and empty texts have fingerprint zero, linked as any other. Repeated rows and repeated ids keep
-a row each; a null id never names a component unless all ids of the component are null. Other columns are left out, or kept as they are
-(``drop_near_duplicates``).
+Equal fingerprints are compared once. Null and empty texts have fingerprint zero, linked as any other; texts of any length are hashed
+shingle by shingle. Repeated rows and repeated ids keep a row each; a null id never names a component unless all ids of the component are
+null. Other columns are left out, or kept as they are whatever their names (``drop_near_duplicates``).
 """
 
 from __future__ import annotations
@@ -20,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tether.llm.groups import components, dealt_in_blocks, map_groups
-from tether.llm.texts import map_texts
+from tether.llm.texts import free_name, map_texts
 from tether.session import stored
 
 SEED = 42
@@ -29,6 +31,8 @@ BITS = 64
 # Fingerprints of one key compared in one task: two blocks at most.
 BLOCK = 2048
 SHINGLES_AT_ONCE = 1 << 15
+# Planes read between two looks at which slabs go on.
+CHECKED = 4
 CLASSES = (2, 4, 8, 16, 32, 64)
 
 
@@ -79,27 +83,43 @@ def planes_of(prints: np.ndarray) -> np.ndarray:
     return out
 
 
-def within(planes: np.ndarray, queries: np.ndarray, radius: int) -> np.ndarray:
+def telling_bits(planes: np.ndarray) -> list[int]:
+    """Bits in which most lanes differ from their group first, bits that are the same throughout last."""
+    lanes = planes.shape[2] * 64
+    ones = np.bitwise_count(planes).sum(axis=2, dtype=np.int64)
+    return np.argsort(-np.minimum(ones, lanes - ones).sum(axis=1), kind="stable").tolist()
+
+
+def within(planes: np.ndarray, queries: np.ndarray, radius: int, left: list[int] | None = None) -> np.ndarray:
     """``(groups, queries, words)``: lanes at ``radius`` bits or fewer from each query of their group.
 
-    Counters are kept bit-sliced, just wide enough for ``radius + 1``, and stay above the radius once they have passed it.
+    Counters are kept bit-sliced, just wide enough for ``radius + 1``, and stay above the radius once they have passed it. Every few planes
+    the (query, slab) entries whose lanes have all passed it are taken out; ``left`` gets the number of those that go on.
     """
-    width = (radius + 1).bit_length()
-    counters = [np.zeros((*queries.shape, planes.shape[2]), dtype=np.uint64) for _ in range(width)]
-    over = np.zeros_like(counters[0])
-    full = ~np.uint64(0)
-    for bit in range(BITS):
+    near = np.zeros((*queries.shape, planes.shape[2]), dtype=np.uint64)
+    group, query, slab = (x.ravel() for x in np.indices(near.shape))
+    width, full = (radius + 1).bit_length(), ~np.uint64(0)
+    counters = [np.zeros(near.size, dtype=np.uint64) for _ in range(width)]
+    over = np.zeros(near.size, dtype=np.uint64)
+    for read, bit in enumerate(telling_bits(planes), 1):
         wanted = np.where(queries >> np.uint64(bit) & np.uint64(1), full, np.uint64(0))
-        carry = planes[bit][:, None, :] ^ wanted[:, :, None]
+        carry = planes[bit][group, slab] ^ wanted[group, query]
         for counter in counters:
             counter ^= carry
             carry &= ~counter
         over |= carry
-        if bit % 8 == 7:
+        if read % CHECKED == 0 and planes.shape[2] > 1:
             over |= _exceeds(counters, radius)
-            if (over == full).all():
+            stays = over != full
+            if left is not None:
+                left.append(int(stays.sum()))
+            if not stays.all():
+                group, query, slab, over = group[stays], query[stays], slab[stays], over[stays]
+                counters = [counter[stays] for counter in counters]
+            if not len(over):
                 break
-    return ~(over | _exceeds(counters, radius))
+    near[group, query, slab] = ~(over | _exceeds(counters, radius))
+    return near
 
 
 def _exceeds(counters: list[np.ndarray], radius: int) -> np.ndarray:
@@ -196,10 +216,15 @@ def simhash_components(docs: DataFrame, shingle: int = SHINGLE, radius: int = RA
 
 
 def drop_near_duplicates(docs: DataFrame, shingle: int = SHINGLE, radius: int = RADIUS, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """``docs`` with one document of each component, the one with the smallest key; all columns as they were.
+    """``docs`` with one row of each component, the one with the smallest key; all columns as they were.
 
-    Rows that repeat a key stay or go together. Rows with a null key stay.
+    Keys need not tell rows apart: rows are numbered in a stored table first. Of rows that repeat the smallest key one stays, and a null
+    key comes after all others. Runs jobs and stores tables.
     """
-    found = simhash_components(docs, shingle, radius, key, text)
-    gone = found.where(F.col(key) != F.col("component_id")).select(F.col(key).alias("gone_key")).distinct()
-    return docs.join(gone, docs[key] == F.col("gone_key"), "left_anti")
+    row, order = free_name(docs, "row"), free_name(docs, "order")
+    numbered = stored(docs.withColumn(row, F.monotonically_increasing_id()), "numbered")
+    place = F.struct(F.col(key).isNull().alias("last"), F.col(key).alias("key"), F.col(row).alias("row"))
+    found = simhash_components(numbered.withColumn(order, place).select(order, text), shingle, radius, order, text)
+    gone = free_name(docs, "gone")
+    others = found.where(F.col(order) != F.col("component_id")).select(F.col(f"{order}.row").alias(gone))
+    return numbered.join(others, F.col(row) == F.col(gone), "left_anti").drop(row)

@@ -49,6 +49,14 @@ def map_texts(docs: DataFrame, key: str, text: str, work: Callable[[list], dict[
     return source.mapInArrow(run, f"key {key_type}, {schema}").withColumnRenamed("key", key)
 
 
+def free_name(docs: DataFrame, name: str) -> str:
+    """``name``, lengthened until no column of ``docs`` is called so; case does not tell columns apart."""
+    taken = {c.lower() for c in docs.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def crc32_of_id(key: str | Column) -> Column:
     """CRC-32 of an id's decimal text; a null id counts as the empty text."""
     return F.crc32(F.coalesce(F.col(key).cast("string") if isinstance(key, str) else key.cast("string"), F.lit("")).cast("binary"))
@@ -71,7 +79,5 @@ def judged(docs: DataFrame, text: str, work: Callable[[list], dict[str, list | p
                 found.setdefault(name, []).append(_array(values))
         return pa.StructArray.from_arrays([pa.concat_arrays(parts) for parts in found.values()], list(found))
 
-    name = "found"
-    while name in docs.columns:
-        name += "_"
+    name = free_name(docs, "found")
     return docs.withColumn(name, find(F.coalesce(F.col(text), F.lit("")))).where(keep(F.col(name))).drop(name)
