@@ -32,7 +32,7 @@ def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 def line_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     prepared(spark)
-    kept = line_dedup.drop_lines(docs, line_dedup.repeated_lines(docs))
+    kept = line_dedup.drop_lines(docs, line_dedup.repeated_lines(docs, **line_dedup.GROWING))
     return kept.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
 
 

@@ -29,6 +29,8 @@ from tether.session import stored
 EDITS, MIN_CHARS, EDIT_CHARS = 2, 20, 40
 # Characters for each edit where edits grow with the line, and the edits that no line goes beyond: it has 300 characters then.
 SHARE, MOST_EDITS = 20, 15
+# As the queries use it: edits that grow, from the shortest lines on that are compared at all.
+GROWING = {"edit_chars": MIN_CHARS, "share": SHARE}
 # Lines of one length class are cut alike; a class ends where the edits grow, or at so many times its first length.
 CLASS_GROWTH = 1.25
 # Lines under one segment compared in one task: two blocks at most.

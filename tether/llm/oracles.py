@@ -64,14 +64,15 @@ SELECT page_id, payload_bytes,
 FROM b
 """
 
+LINE_EDITS = f"greatest({line_dedup.EDITS}, least({line_dedup.MOST_EDITS}, least(a.n, b.n) // {line_dedup.SHARE}))"
 LINES = f"""
 WITH l AS (
     SELECT doc_id, unnest(s) AS line, unnest(range(len(s))) AS pos FROM (SELECT doc_id, string_split(text, chr(10)) AS s FROM documents)
 ), d AS MATERIALIZED (
     SELECT line, min(ROW(doc_id, pos)) AS first, length(line) AS n FROM l WHERE length(line) >= {line_dedup.MIN_CHARS} GROUP BY line
 ), near AS (
-    SELECT a.line, min(b.first) AS first FROM d a JOIN d b ON b.first < a.first AND b.n BETWEEN a.n - {line_dedup.EDITS} AND a.n + {line_dedup.EDITS}
-    WHERE a.n >= {line_dedup.EDIT_CHARS} AND b.n >= {line_dedup.EDIT_CHARS} AND levenshtein(a.line, b.line) <= {line_dedup.EDITS} GROUP BY a.line
+    SELECT a.line, min(b.first) AS first FROM d a JOIN d b ON b.first < a.first AND b.n BETWEEN a.n - {line_dedup.MOST_EDITS} AND a.n + {line_dedup.MOST_EDITS}
+    WHERE abs(a.n - b.n) <= {LINE_EDITS} AND levenshtein(a.line, b.line) <= {LINE_EDITS} GROUP BY a.line
 ), judged AS (
     SELECT l.doc_id, CASE WHEN ROW(l.doc_id, l.pos) > d.first THEN 'exact' WHEN near.first IS NOT NULL THEN 'near' END AS reason
     FROM l LEFT JOIN d USING (line) LEFT JOIN near USING (line)

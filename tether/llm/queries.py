@@ -96,7 +96,7 @@ def op5_quality_classifier(spark, sf_dir):
 @query
 def op6_line_dedup(spark, sf_dir):
     docs = table(spark, sf_dir, "documents")
-    return line_dedup.line_counts(docs, line_dedup.repeated_lines(docs))
+    return line_dedup.line_counts(docs, line_dedup.repeated_lines(docs, **line_dedup.GROWING))
 
 
 @query
