@@ -1,14 +1,16 @@
 from collections import Counter
 
 import corpus_pipeline
+import duckdb
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from tether.llm import language, packing, quality_net
+from tether.llm import language, oracles, packing, quality_net
 from tether.session import stored
 
 from .conftest import SF
-from .test_near_copies import brute_components, brute_growing, brute_lines
+from .test_near_copies import brute_components, brute_lines
 from .test_tokens import by_tokenizers, checked
 
 
@@ -51,9 +53,11 @@ def test_language_and_quality_take_effect(spark, stages):
 def test_lines_go_as_brute_force_says(stages):
     before, after = stages["line_dedup"]
     texts = [(r.doc_id, r.text) for r in before.collect()]
-    # Equal lines and lines within as many edits as the shorter one's length allows, by all pairs.
-    gone = {k[:2] for k in brute_lines(texts, edit_chars=1 << 30)} | {w[:2] for w in brute_growing([t for t in texts if t[1]])}
-    assert len(gone) > len({k[:2] for k in brute_lines(texts, edit_chars=1 << 30)})
+    # Equal lines, and all pairs of lines within as many edits as the shorter one's length allows.
+    con = duckdb.connect()
+    con.register("documents", pa.table({"doc_id": [k for k, _ in texts], "text": [t for _, t in texts]}))
+    gone = set(con.execute(f"{oracles.LINE_REASONS} SELECT doc_id, pos FROM judged WHERE reason IS NOT NULL").fetchall())
+    assert gone > {k[:2] for k in brute_lines(texts, edit_chars=1 << 30)}
     want = {}
     for key, text in texts:
         kept = [line for pos, line in enumerate(text.split("\n")) if (key, pos) not in gone]

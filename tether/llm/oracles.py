@@ -65,7 +65,8 @@ FROM b
 """
 
 LINE_EDITS = f"greatest({line_dedup.EDITS}, least({line_dedup.MOST_EDITS}, least(a.n, b.n) // {line_dedup.SHARE}))"
-LINES = f"""
+# Every line with why it goes, if it does.
+LINE_REASONS = f"""
 WITH l AS (
     SELECT doc_id, unnest(s) AS line, unnest(range(len(s))) AS pos FROM (SELECT doc_id, string_split(text, chr(10)) AS s FROM documents)
 ), d AS MATERIALIZED (
@@ -74,9 +75,11 @@ WITH l AS (
     SELECT a.line, min(b.first) AS first FROM d a JOIN d b ON b.first < a.first AND b.n BETWEEN a.n - {line_dedup.MOST_EDITS} AND a.n + {line_dedup.MOST_EDITS}
     WHERE abs(a.n - b.n) <= {LINE_EDITS} AND levenshtein(a.line, b.line) <= {LINE_EDITS} GROUP BY a.line
 ), judged AS (
-    SELECT l.doc_id, CASE WHEN ROW(l.doc_id, l.pos) > d.first THEN 'exact' WHEN near.first IS NOT NULL THEN 'near' END AS reason
+    SELECT l.doc_id, l.pos, CASE WHEN ROW(l.doc_id, l.pos) > d.first THEN 'exact' WHEN near.first IS NOT NULL THEN 'near' END AS reason
     FROM l LEFT JOIN d USING (line) LEFT JOIN near USING (line)
 )
+"""
+LINES = f"""{LINE_REASONS}
 SELECT doc_id, count(*) AS n_lines, count(*) FILTER (reason = 'exact') AS n_exact, count(*) FILTER (reason = 'near') AS n_near
 FROM judged GROUP BY doc_id
 """
