@@ -307,7 +307,7 @@ def with_words_changed(draw, line, n):
     return " ".join(words)
 
 
-def brute_growing(rows):
+def brute_growing(rows, limit):
     first = {}
     for key, text in rows:
         for pos, line in enumerate(text.split("\n")):
@@ -316,14 +316,14 @@ def brute_growing(rows):
     for a in first:
         for b in first:
             short = min(len(a), len(b))
-            most = min(15, max(2, short // 20))
+            most = min(limit, max(2, short // 20))
             if first[b] < first[a] and short >= 20 and abs(len(a) - len(b)) <= most and distance(a, b) <= most:
                 near[a] = min(near.get(a, first[b]), first[b])
     return {(*first[a], *earliest) for a, earliest in near.items()}
 
 
-@pytest.mark.parametrize("block", [512, 3])
-def test_edits_grow_with_the_line(spark, monkeypatch, block):
+@pytest.mark.parametrize(("block", "most"), [(512, 15), (3, 15), (512, 5)])
+def test_edits_grow_with_the_line(spark, monkeypatch, block, most):
     """Long lines with changed words and lines of 20 to 39 characters, against brute force."""
     monkeypatch.setattr(line_dedup, "BLOCK", block)
     draw = random.Random(8)
@@ -334,9 +334,9 @@ def test_edits_grow_with_the_line(spark, monkeypatch, block):
     draw.shuffle(lines)
     rows = [(i, "\n".join(lines[i * 3 : i * 3 + 3])) for i in range(-(-len(lines) // 3))]
     docs = spark.createDataFrame(rows, "doc_id long, text string")
-    found = line_dedup.repeated_lines(docs, edit_chars=20, share=line_dedup.SHARE).where("reason = 'near'").collect()
-    want = brute_growing(rows)
+    found = line_dedup.repeated_lines(docs, edit_chars=20, share=line_dedup.SHARE, most=most).where("reason = 'near'").collect()
+    want = brute_growing(rows, most)
     size = {(key, pos): len(line) for key, text in rows for pos, line in enumerate(text.split("\n"))}
     assert {(r.doc_id, r.pos, r.first_key, r.first_pos) for r in found} == want
-    assert any(size[w[:2]] >= 300 for w in want) and any(size[w[:2]] < 40 for w in want)
+    assert any(size[w[:2]] >= (300 if most == 15 else 100) for w in want) and any(size[w[:2]] < 40 for w in want)
     assert len(line_dedup.repeated_lines(docs).where("reason = 'near'").collect()) < len(want)

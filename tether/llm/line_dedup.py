@@ -7,7 +7,7 @@ could be; lines that meet under a segment are verified with a banded bit-paralle
 A line is a stretch between line feeds, and lines are ordered by document key and place. A line goes if it equals an earlier one, or is
 linked to an earlier one, whether that one stays or not. Lines under ``min_chars`` characters always stay: they say too little to be a copy.
 Lines under ``edit_chars`` are only compared for equality. With ``share``, the edits grow with the line: one for each ``share`` characters of
-the shorter of the two, ``edits`` at least and ``MOST_EDITS`` at most. Null and empty texts have no such line; a null key comes
+the shorter of the two, ``edits`` at least and ``most`` at most. Null and empty texts have no such line; a null key comes
 before all others. Rows that repeat both key and text are not told apart: their lines go or stay together.
 """
 
@@ -27,8 +27,9 @@ from tether.llm.texts import free_name, slices
 from tether.session import stored
 
 EDITS, MIN_CHARS, EDIT_CHARS = 2, 20, 40
-# Characters for each edit where edits grow with the line, and the edits that no line goes beyond: it has 300 characters then.
-SHARE, MOST_EDITS = 20, 15
+# Characters for each edit where edits grow with the line, and the edits that no line goes beyond: it has 100 characters then. What a line
+# probes grows with the square of its edits. The edit distance allows for up to 31.
+SHARE, MOST_EDITS = 20, 5
 # As the queries use it: edits that grow, from the shortest lines on that are compared at all.
 GROWING = {"edit_chars": MIN_CHARS, "share": SHARE}
 # Lines of one length class are cut alike; a class ends where the edits grow, or at so many times its first length.
@@ -97,23 +98,23 @@ def segment_keys(lines: list[str], edits: int, edit_chars: int) -> tuple[np.ndar
     return np.concatenate(found), np.concatenate([u for u, _ in own]), np.concatenate([x for _, x in own])
 
 
-def allowed(sizes: np.ndarray, edits: int, share: int | None) -> np.ndarray:
+def allowed(sizes: np.ndarray, edits: int, share: int | None, most: int) -> np.ndarray:
     """Edits at which a line may be linked with one that is not shorter."""
-    return np.full(len(sizes), edits) if share is None else np.clip(sizes // share, edits, max(edits, MOST_EDITS))
+    return np.full(len(sizes), edits) if share is None else np.clip(sizes // share, edits, max(edits, most))
 
 
-def class_bounds(longest: int, edits: int, edit_chars: int, share: int) -> list[int]:
+def class_bounds(longest: int, edits: int, edit_chars: int, share: int, most: int) -> list[int]:
     """First lengths of the classes up to ``longest``, and the one after them; a class has one number of edits."""
     bounds = [edit_chars]
     while bounds[-1] <= longest:
         here = bounds[-1]
         later = np.arange(here + 1, max(here + 2, int(here * CLASS_GROWTH) + 1))
-        grown = later[allowed(later, edits, share) > allowed(np.array([here]), edits, share)]
+        grown = later[allowed(later, edits, share, most) > allowed(np.array([here]), edits, share, most)]
         bounds.append(int(grown[0] if len(grown) else later[-1]))
     return bounds
 
 
-def class_keys(lines: list[str], edits: int, edit_chars: int, share: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def class_keys(lines: list[str], edits: int, edit_chars: int, share: int, limit: int = MOST_EDITS) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """As ``segment_keys``, with edits that grow: ``(part, line, index)``.
 
     The first characters of a class's lines, as many as its shortest line has, are cut into one segment more than it has edits. For some i,
@@ -128,9 +129,9 @@ def class_keys(lines: list[str], edits: int, edit_chars: int, share: int) -> tup
     sums = np.concatenate((np.zeros(1, dtype=np.uint64), np.cumsum(_mixed(points + np.uint64(1)) * _powers(BASE, longest)[places])))
     back = _powers(pow(BASE, -1, 1 << 64), longest)
     found, line, own = [], [], []
-    bounds = class_bounds(longest, edits, edit_chars, share)
+    bounds = class_bounds(longest, edits, edit_chars, share, limit)
     for low, high in zip(bounds, bounds[1:]):
-        most = int(allowed(np.array([low]), edits, share)[0])
+        most = int(allowed(np.array([low]), edits, share, limit)[0])
         usable = np.flatnonzero((sizes >= low) & (sizes < high + most))
         if not len(usable):
             continue
@@ -231,7 +232,7 @@ def _near(first: np.ndarray, m: np.ndarray, second: np.ndarray, n: np.ndarray, m
     return edit_distances(*_without_ends(*turned, most), most) <= most
 
 
-def links_in_groups(table: pa.Table, starts: np.ndarray, edits: int, share: int | None = None) -> tuple[np.ndarray, np.ndarray]:
+def links_in_groups(table: pa.Table, starts: np.ndarray, edits: int, share: int | None = None, most_edits: int = MOST_EDITS) -> tuple[np.ndarray, np.ndarray]:
     """Rows of linked lines: ``(later, earlier)`` with the earliest such line for each later one and group."""
     ids, index, own, p, q = (table.column(c).to_numpy(zero_copy_only=False) for c in ("id", "index", "own", "p", "q"))
     lines = table.column("line").to_pylist()
@@ -245,7 +246,7 @@ def links_in_groups(table: pa.Table, starts: np.ndarray, edits: int, share: int
         a, b = np.concatenate(left), np.concatenate(right)
         left.clear(), right.clear()
         shorter, longer = np.minimum(line_sizes[a], line_sizes[b]), np.maximum(line_sizes[a], line_sizes[b])
-        limit = allowed(shorter, edits, share)
+        limit = allowed(shorter, edits, share, most_edits)
         if share is not None:
             # Two lines that share several of their many segments are compared once.
             _, once = np.unique(np.stack((np.minimum(ids[a], ids[b]), np.maximum(ids[a], ids[b]))), axis=1, return_index=True)
@@ -298,7 +299,7 @@ def links_in_groups(table: pa.Table, starts: np.ndarray, edits: int, share: int
     return x[first], y[first]
 
 
-def parts_of(docs: DataFrame, edits: int, edit_chars: int, text: str, share: int | None = None) -> DataFrame:
+def parts_of(docs: DataFrame, edits: int, edit_chars: int, text: str, share: int | None = None, most: int = MOST_EDITS) -> DataFrame:
     """``(part, id, index)`` of the lines of all texts, see ``segment_keys`` and ``class_keys``; ``id`` is the first half of a line's digest."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -307,7 +308,7 @@ def parts_of(docs: DataFrame, edits: int, edit_chars: int, text: str, share: int
             for a, b in slices(pc.binary_length(column).to_pylist(), SLICE_BYTES):
                 lines = list({line for whole in column.slice(a, b - a).to_pylist() for line in whole.split("\n") if len(line) >= edit_chars})
                 if lines:
-                    part, line, index = segment_keys(lines, edits, edit_chars) if share is None else class_keys(lines, edits, edit_chars, share)
+                    part, line, index = segment_keys(lines, edits, edit_chars) if share is None else class_keys(lines, edits, edit_chars, share, most)
                     ids = np.array([xxhash.xxh64_intdigest(x.encode(), 42) for x in lines], dtype=np.uint64).view(np.int64)
                     yield pa.RecordBatch.from_pydict({"part": pa.array(part), "id": pa.array(ids[line]), "index": pa.array(index)})
 
@@ -319,12 +320,16 @@ def sent_if_few(keys: DataFrame) -> DataFrame:
     return F.broadcast(keys) if keys.count() <= BROADCAST_KEYS else keys
 
 
-def near_lines(docs: DataFrame, edits: int, edit_chars: int, key: str, text: str, share: int | None = None) -> DataFrame:
+def near_lines(docs: DataFrame, edits: int, edit_chars: int, key: str, text: str, share: int | None = None, most: int = MOST_EDITS) -> DataFrame:
     """``(h1, h2, first, near)``: lines linked with an earlier one, where they and the earliest such line first stand."""
-    parts = parts_of(docs, edits, edit_chars, text, share)
-    # Lines meet under a part that two different ones have, one of them as its own segment.
-    shared = parts.groupBy("part").agg(F.min("id").alias("a"), F.max("id").alias("b"), F.max("index").alias("own")).where("a <> b and own")
-    shared = stored(shared.select("part"), "shared-parts")
+    parts = parts_of(docs, edits, edit_chars, text, share, most)
+    # Lines meet under a part that two different ones have, one of them as its own segment. The lowest bit of a line's id makes room for
+    # that, so a row to shuffle is two numbers; adding up before the shuffle would make it four, and few parts stand twice in a task.
+    own = F.col("index").cast("long")
+    marks = parts.select("part", F.shiftleft(F.shiftright("id", 1), 1).bitwiseOR(own).alias("mark")).repartition("part")
+    line = F.shiftright("mark", 1)
+    marks = marks.groupBy("part").agg(F.min(line).alias("a"), F.max(line).alias("b"), F.max(F.col("mark").bitwiseAND(1)).alias("own"))
+    shared = stored(marks.where("a <> b and own = 1").select("part"), "shared-parts")
     meeting = stored(parts.join(sent_if_few(shared), "part").groupBy("part", "id").agg(F.max("index").alias("index")), "meeting-lines")
     wanted = stored(meeting.select("id").distinct(), "wanted-lines")
     lines = lines_of(docs, key, text).where(F.length("line") >= edit_chars).select("key", "pos", "line", *_digest(F.col("line")))
@@ -341,7 +346,7 @@ def near_lines(docs: DataFrame, edits: int, edit_chars: int, key: str, text: str
         order = pc.sort_indices(pa.table({"k": keys, "p": places}), sort_keys=[("k", "ascending"), ("p", "ascending")], null_placement="at_start")
         rank = np.empty(len(table), dtype=np.int64)
         rank[order.to_numpy()] = np.arange(len(table))
-        later, earlier = links_in_groups(table.append_column("rank", pa.array(rank)), starts, edits, share)
+        later, earlier = links_in_groups(table.append_column("rank", pa.array(rank)), starts, edits, share, most)
         return {
             "id": table.column("id").to_numpy()[later],
             "near_key": keys.take(pa.array(earlier)),
@@ -354,7 +359,7 @@ def near_lines(docs: DataFrame, edits: int, edit_chars: int, key: str, text: str
 
 
 def repeated_lines(
-    docs: DataFrame, edits: int = EDITS, min_chars: int = MIN_CHARS, edit_chars: int = EDIT_CHARS, key: str = "doc_id", text: str = "text", share: int | None = None
+    docs: DataFrame, edits: int = EDITS, min_chars: int = MIN_CHARS, edit_chars: int = EDIT_CHARS, key: str = "doc_id", text: str = "text", share: int | None = None, most: int = MOST_EDITS
 ) -> DataFrame:
     """``(key, pos, reason, first_key, first_pos)`` of each line that goes; ``reason`` is ``exact`` or ``near``. Runs jobs and stores tables.
 
@@ -363,7 +368,7 @@ def repeated_lines(
     here = F.struct("key", "pos")
     places = lines_of(docs, key, text).where(F.length("line") >= min_chars).select("key", "pos", *_digest(F.col("line")))
     equal = places.groupBy("h1", "h2").agg(F.min(here).alias("first"), F.count("*").alias("n")).where("n > 1").drop("n")
-    near = near_lines(docs, edits, edit_chars, key, text, share).withColumnRenamed("first", "near_first")
+    near = near_lines(docs, edits, edit_chars, key, text, share, most).withColumnRenamed("first", "near_first")
     both = equal.join(near, ["h1", "h2"], "full_outer").withColumn("first", F.coalesce("first", "near_first"))
     earliest = F.when(F.col("near").isNull() | (F.col("first") < F.col("near")), F.col("first")).otherwise(F.col("near"))
     wanted = stored(both.select("h1", "h2", "first", earliest.alias("earliest")), "repeated")
