@@ -15,8 +15,9 @@ def corpus(seed, n_labels=250, n_mentions=60):
     return sorted(labels), sorted(mentions)
 
 
-@pytest.mark.parametrize("seed,size", [(1, 3), (2, 10), (3, 100), (4, 1)])
-def test_hits_equal_scoring_every_label(table, seed, size):
+@pytest.mark.parametrize(("seed", "size", "long"), [(1, 3, 64), (2, 10, 2), (3, 100, 64), (4, 1, 0), (5, 7, 1)])
+def test_hits_equal_scoring_every_label(table, monkeypatch, seed, size, long):
+    monkeypatch.setattr(search, "LONG_MENTION", long)
     labels, mentions = corpus(seed)
     hits = search.search_hits(table([(x,) for x in mentions], "mention string"), table(labels, "kb_id string, label string"), size)
     got = {}
@@ -56,3 +57,22 @@ def test_very_long_mention(table):
     got = search.search_hits(table([(mention,)], "mention string"), table(labels, "kb_id string, label string"), 20)
     want = brute.search([mention], labels, 20)[mention]
     assert [(r.kb_id, r.label) for r in got.orderBy("rank").collect()] == [x[:2] for x in want]
+
+
+def test_mention_of_twenty_thousand_words(table, monkeypatch):
+    """Rows grow with the words of a mention, not with their square."""
+    labels = [(f"/m/{i}", f"w{i} w{i + 1}" + (" the" if i % 3 else "")) for i in range(20000)]
+    mention = " ".join(f"w{i}" for i in range(20000)) + " the"
+    made = []
+    plain = search._word_hits
+
+    def counted(words, postings):
+        made.append((words.count(), words.join(postings, "word").count()))
+        return plain(words, postings)
+
+    monkeypatch.setattr(search, "_word_hits", counted)
+    got = search.search_hits(table([(mention,), ("w7 the",)], "mention string"), table(labels, "kb_id string, label string"), 5).collect()
+    assert made[0][0] == 20001 and made[0][1] < 5 * 20001
+    assert {r.mention for r in got} == {mention, "w7 the"} and len(got) == 10
+    best = next(r for r in got if r.mention == mention and r["rank"] == 1)
+    assert best.label in {"w19999 w20000", "w0 w1"} or best.n_words == 3

@@ -12,6 +12,9 @@ two prefixes and the label's length. So
 * mentions with the same prefix have the same hits there, so each distinct prefix is searched once.
 
 The more common a word is, the fewer distinct prefixes end in it, so the hottest words have the shortest lists.
+
+The prefixes of a mention together grow with the square of its words. So a mention of very many label words is not cut into prefixes: its
+words stay rows, meet the same lists, and what a label shares with it is added up over a join with those rows.
 """
 
 from __future__ import annotations
@@ -25,6 +28,10 @@ from tether.operators.rows import exploded, short_key
 from tether.session import stored
 
 
+# Distinct label words up to which a mention is cut into prefixes.
+LONG_MENTION = 64
+
+
 def label_words(text: Column) -> Column:
     """Lower-case words of a label or mention."""
     return F.regexp_extract_all(F.lower(text), F.lit(r"[\p{L}\p{N}]+"), F.lit(0))
@@ -60,6 +67,10 @@ def _relevance(shared: Column, n_words: Column) -> Column:
     return F.round(total / F.sqrt(n_words), 6)
 
 
+def _hit_order() -> list[Column]:
+    return [F.desc("search_score"), F.col("n_words"), F.col("kb_id"), F.col("label")]
+
+
 def word_weights(labels: DataFrame) -> DataFrame:
     """``(word, rarity, idf)`` over the distinct labels; ``rarity`` sorts common words first."""
     rows = labels.select("kb_id", "label").distinct()
@@ -76,14 +87,38 @@ def word_weights(labels: DataFrame) -> DataFrame:
     )
 
 
+def _prefix_hits(queries: DataFrame, postings: DataFrame, size: int) -> DataFrame:
+    """``(query, kb_id, label, n_words, search_score)`` of ``queries (query, feats)``, each distinct prefix of them searched once."""
+    query_prefixes = _prefixes(queries, ["query"])
+    in_prefix = W.partitionBy("prefix_key").orderBy(*_hit_order())
+    shared = F.filter("label_prefix", lambda f: F.array_contains("prefix", f["word"]))
+    searched = query_prefixes.select("word", "prefix_key", _words_of(F.col("prefix")).alias("prefix")).distinct()
+    prefix_hits = (
+        balanced_join(searched, postings, "word")
+        .select("prefix_key", "kb_id", "label", "n_words", _relevance(shared, F.col("n_words")).alias("search_score"))
+        .withColumn("place", F.row_number().over(in_prefix))
+        .where(F.col("place") <= size)
+        .drop("place")
+    )
+    return query_prefixes.select("query", "prefix_key").join(prefix_hits, "prefix_key").drop("prefix_key")
+
+
+def _word_hits(words: DataFrame, postings: DataFrame) -> DataFrame:
+    """``_prefix_hits`` of queries given as rows ``(query, word, idf)``: a row per word, per label met at it, and per word they share."""
+    met = words.select("query", "word").join(postings, "word")
+    each = exploded(met, ["query", "word", "kb_id", "label", "n_words"], _words_of(F.col("label_prefix")), "other")
+    shared = each.join(words.select("query", F.col("word").alias("other"), "idf"), ["query", "other"])
+    # Added from common to rare words, as everywhere, so equal relevances are equal to the last digit.
+    ordered = shared.groupBy("query", "word", "kb_id", "label", "n_words").agg(F.array_sort(F.collect_list(F.struct("idf", "other"))).alias("feats"))
+    return ordered.select("query", "kb_id", "label", "n_words", _relevance(F.col("feats"), F.col("n_words")).alias("search_score"))
+
+
 def search_hits(mentions: DataFrame, labels: DataFrame, size: int = 100) -> DataFrame:
     """First ``size`` label hits of each distinct mention: ``(mention, kb_id, label, n_words, search_score, rank)``.
 
     ``mentions`` has a column ``mention``, ``labels`` has ``kb_id`` and ``label``. Any shared word makes a hit.
     """
     weights = word_weights(labels)
-    hit_order = [F.desc("search_score"), F.col("n_words"), F.col("kb_id"), F.col("label")]
-
     label_rows = labels.select("kb_id", "label").distinct().withColumn("words", label_words(F.col("label")))
     label_feats = _by_commonness(
         exploded(label_rows, ["kb_id", "label", F.size("words").alias("n_words")], F.array_distinct("words"), "word"),
@@ -105,25 +140,17 @@ def search_hits(mentions: DataFrame, labels: DataFrame, size: int = 100) -> Data
         ),
         "mention-words",
     )
-    query_prefixes = _prefixes(mention_feats.select("query", "feats").distinct(), ["query"])
-
-    in_prefix = W.partitionBy("prefix_key").orderBy(*hit_order)
-    shared = F.filter("label_prefix", lambda f: F.array_contains("prefix", f["word"]))
-    searched = query_prefixes.select("word", "prefix_key", _words_of(F.col("prefix")).alias("prefix")).distinct()
-    prefix_hits = (
-        balanced_join(searched, stored(postings, "postings"), "word")
-        .select("prefix_key", "kb_id", "label", "n_words", _relevance(shared, F.col("n_words")).alias("search_score"))
-        .withColumn("place", F.row_number().over(in_prefix))
-        .where(F.col("place") <= size)
-        .drop("place")
-    )
-
-    # A label met at several prefixes of a query has its full relevance at the rarest shared word, which is the greatest.
-    in_query = W.partitionBy("query").orderBy(*hit_order)
+    queries = mention_feats.select("query", "feats").distinct()
+    postings = stored(postings, "postings")
+    found = _prefix_hits(queries.where(F.size("feats") <= LONG_MENTION), postings, size)
+    long_ones = stored(exploded(queries.where(F.size("feats") > LONG_MENTION), ["query"], "feats", "feat"), "long-mentions")
+    if not long_ones.isEmpty():
+        found = found.unionByName(_word_hits(long_ones.select("query", "feat.word", "feat.idf"), postings))
+
+    # A label met at several words of a query has its full relevance at the rarest shared one, which is the greatest.
+    in_query = W.partitionBy("query").orderBy(*_hit_order())
     query_hits = (
-        query_prefixes.select("query", "prefix_key")
-        .join(prefix_hits, "prefix_key")
-        .groupBy("query", "kb_id", "label", "n_words")
+        found.groupBy("query", "kb_id", "label", "n_words")
         .agg(F.max("search_score").alias("search_score"))
         .withColumn("rank", F.row_number().over(in_query))
         .where(F.col("rank") <= size)

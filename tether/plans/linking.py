@@ -122,3 +122,12 @@ def entities(
         .join(nouns, "kb_id")
         .select("warc_id", F.col("mention").alias("name"), "kb_id", "labels", "abstract", "nouns", "score")
     )
+
+
+def linked_entities(docs: DataFrame, labels: DataFrame, triples: DataFrame, size: int = 100, results: int = 10, **options) -> DataFrame:
+    """``entities`` of the links of ``docs``, with one search for both; ``options`` are those of ``best_links``."""
+    mention_options = {k: v for k, v in options.items() if k not in LINK_OPTIONS}
+    counts = stored(mention_counts(record_mentions(keyed(docs), **mention_options)), "mentions")
+    candidates = stored(search.best_candidates(counts, labels, size, results), "candidates")
+    links = stored(links_of(counts, triples=triples, candidates=candidates, **options), "links")
+    return entities(links, labels, triples, english=options.get("english", graph.ENGLISH), candidates=candidates, **mention_options)

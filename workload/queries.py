@@ -471,8 +471,7 @@ def link_entities_by_type(spark, sf_dir):
 def linked_entities(spark, sf_dir):
     labels, triples = _knowledge(spark, sf_dir)
     options = _lemma_options(spark, sf_dir)
-    best = stored(linking.best_links(t.docs(spark, sf_dir), labels, triples, **options), "best")
-    rows = linking.entities(best, labels, triples, **options)
+    rows = linking.linked_entities(t.docs(spark, sf_dir), labels, triples, **options)
     flat = [F.array_join(c, "|").alias(c) for c in ("labels", "nouns")]
     return _rounded(rows.select("warc_id", "name", "kb_id", "abstract", "score", *flat))
 
