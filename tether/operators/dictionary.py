@@ -19,35 +19,65 @@ def _pieces(text: Column) -> Column:
     return F.split(text, _SPACE, -1)
 
 
-def _grams(words: DataFrame) -> DataFrame:
-    """``(word, gram)``: the substrings of one to three characters of each word."""
-    at = words.select("word", F.explode(F.sequence(F.lit(1), F.length("word"))).alias("at"))
-    sized = at.select("word", "at", F.explode(F.array(*[F.lit(w) for w in range(1, _GRAM + 1)])).alias("width"))
-    return sized.where(F.col("at") + F.col("width") - 1 <= F.length("word")).select("word", F.substr("word", F.col("at"), F.col("width")).alias("gram"))
+def _grams(words: DataFrame, name: str) -> DataFrame:
+    """``(name, at, gram)``: the substrings of ``_GRAM`` characters of each word and where they start; a shorter word is one itself."""
+    width = F.least(F.length(name), F.lit(_GRAM))
+    starts = F.sequence(F.lit(1), F.length(name) - width + 1)
+    return words.select(name, F.explode(starts).alias("at")).select(name, "at", F.substr(name, F.col("at"), width).alias("gram"))
 
 
-def _edge_keys(word: Column, at_end: bool) -> Column:
-    """The one to three characters at an edge of ``word``, as an array of ``(width, edge)``."""
-    edges = [F.struct(F.lit(w).alias("width"), (F.right(word, F.lit(w)) if at_end else F.left(word, F.lit(w))).alias("edge")) for w in range(1, _GRAM + 1)]
-    return F.filter(F.array(*edges), lambda e: e["width"] <= F.length(word))
+def _short_grams(words: DataFrame) -> DataFrame:
+    """``(word, at, gram)``: substrings of fewer than ``_GRAM`` characters, for labels as short as that."""
+    widths = F.array(*[F.lit(w) for w in range(1, _GRAM)])
+    at = words.select("word", F.explode(F.sequence(F.lit(1), F.length("word"))).alias("at")).select("word", "at", F.explode(widths).alias("width"))
+    return at.where(F.col("at") + F.col("width") - 1 <= F.length("word")).select("word", "at", F.substr("word", F.col("at"), F.col("width")).alias("gram"))
 
 
-def _piece_matches(pieces: DataFrame, vocabulary: DataFrame) -> DataFrame:
+def _labels_in_words(single: DataFrame, vocabulary: DataFrame) -> DataFrame:
+    """``(word, label)``: labels without blanks and the distinct words of the text that hold them.
+
+    A label is looked for at the rarest of its grams, in place: a word is a candidate only where it has that gram, and is compared there. So
+    a beginning that many labels and words share makes no pairs as long as anything else in the label is rare.
+    """
+    short = F.length("label") < _GRAM
+    of_label = _grams(single, "label")
+    wanted = stored(of_label.select("gram").distinct(), "grams")
+    # Only grams that some label has; short labels are whole grams, so the short substrings of words are made for them alone.
+    places = _grams(vocabulary.select("word").where(F.length("word") >= _GRAM), "word")
+    if not single.where(short).isEmpty():
+        places = places.unionByName(_short_grams(vocabulary))
+    places = stored(places.join(wanted, "gram", "left_semi"), "gram-places")
+    counts = places.groupBy("gram").agg(F.count("*").alias("n"))
+    rarest = W.partitionBy("label").orderBy("n", "offset")
+    keyed = (
+        of_label.withColumnRenamed("at", "offset")
+        .withColumn("grams", F.count("*").over(W.partitionBy("label")))
+        .join(counts, "gram")
+        .withColumn("found", F.count("*").over(W.partitionBy("label")))
+        .withColumn("place", F.row_number().over(rarest))
+        .where((F.col("place") == 1) & (F.col("found") == F.col("grams")))
+        .select("label", "offset", "gram")
+    )
+    start = F.col("at") - F.col("offset") + 1
+    met = balanced_join(places, stored(keyed, "label-grams"), "gram")
+    return met.where((start >= 1) & (F.substr("word", start, F.length("label")) == F.col("label"))).select("word", "label").distinct()
+
+
+def _piece_words(pieces: DataFrame, vocabulary: DataFrame) -> DataFrame:
     """``(kind, piece, word, df)``: the text words each distinct piece can stand in.
 
-    An inner piece is a whole word of the text, the first one ends a word and the last one begins one.
+    An inner piece is a whole word of the text, the first one ends a word and the last one begins one. Words are cut at the lengths that
+    pieces have, so each cut meets one piece at most and nothing is compared in vain.
     """
     wanted = pieces.select("kind", "piece").distinct()
-    inner = wanted.where("kind = 'inner'").join(vocabulary.withColumn("piece", F.col("word")), "piece").select("kind", "piece", "word", "df")
-    edges = []
+    found = wanted.where("kind = 'inner'").join(vocabulary.withColumn("piece", F.col("word")), "piece").select("kind", "piece", "word", "df")
     for kind, at_end in (("first", True), ("last", False)):
-        width = F.least(F.length("piece"), F.lit(_GRAM))
-        edge = F.right("piece", width) if at_end else F.left("piece", width)
-        keyed = wanted.where(F.col("kind") == kind).select("kind", "piece", width.alias("width"), edge.alias("edge"))
-        words = exploded(vocabulary, ["word", "df"], _edge_keys(F.col("word"), at_end), "e").select("word", "df", "e.width", "e.edge")
-        stands = F.endswith("word", "piece") if at_end else F.startswith("word", "piece")
-        edges.append(words.join(keyed, ["width", "edge"]).where(stands).select("kind", "piece", "word", "df"))
-    return inner.unionByName(edges[0]).unionByName(edges[1])
+        own = wanted.where(F.col("kind") == kind)
+        lengths = own.select(F.length("piece").alias("n")).distinct()
+        cuts = vocabulary.select("word", "df", F.explode(F.sequence(F.lit(1), F.length("word"))).alias("n")).join(lengths, "n")
+        edges = cuts.select("word", "df", (F.right("word", F.col("n")) if at_end else F.left("word", F.col("n"))).alias("piece"))
+        found = found.unionByName(edges.join(own, "piece").select("kind", "piece", "word", "df"))
+    return found
 
 
 def _blank_labels(texts: DataFrame, named: DataFrame) -> DataFrame:
@@ -67,14 +97,14 @@ def dictionary_labels(docs: DataFrame, labels: DataFrame, id_column: str = "warc
     * Two or more pieces: an inner piece must be a word of the text, the first must end a word and the last begin one. The piece whose
       words are in the fewest records is the anchor, so common words like "of" never are unless all of a label is common; if any piece
       is in no record, the label is nowhere.
-    * One piece: it must lie inside some word of the text. Which distinct text words hold it is settled by a join on character triples.
+    * One piece: it must lie inside some word of the text. Which distinct text words hold it is settled at the rarest of its character triples.
     * Blanks only: looked up in the corpus's distinct runs of blanks.
 
     Records holding an anchor are then checked for the whole label, unless the anchor is all of it.
     """
     texts = docs.where(F.col(id_column).isNotNull()).select(F.col(id_column).alias("id"), F.col(text_column).alias("text"))
     words = exploded(texts, ["id"], F.array_distinct(_pieces(F.col("text"))), "word").where("word <> ''")
-    vocabulary = words.groupBy("word").agg(F.count("*").alias("df"))
+    vocabulary = stored(words.groupBy("word").agg(F.count("*").alias("df")), "vocabulary")
 
     named = labels.select("label", "kb_id").where("label <> ''").distinct()
     cut = named.select("label").distinct().withColumn("pieces", _pieces(F.col("label")))
@@ -84,28 +114,23 @@ def dictionary_labels(docs: DataFrame, labels: DataFrame, id_column: str = "warc
     kinds = F.array_distinct(F.transform("pieces", lambda piece, i: F.struct(kind(i).alias("kind"), piece.alias("piece"))))
     wanted = F.filter(kinds, lambda p: p["piece"] != "")
     pieces = exploded(cut.where(n >= 2), ["label", F.size(wanted).alias("wanted")], wanted, "p").select("label", "wanted", "p.kind", "p.piece")
-    matches = _piece_matches(pieces, vocabulary)
-    sizes = matches.groupBy("kind", "piece").agg(F.sum("df").alias("df"))
+    pieces = stored(pieces, "pieces")
+    sizes = _piece_words(pieces, vocabulary).groupBy("kind", "piece").agg(F.sum("df").alias("df"))
     rarest = W.partitionBy("label").orderBy("df", "kind", "piece")
-    long_anchors = (
+    chosen = (
         pieces.join(sizes, ["kind", "piece"])
         .withColumn("place", F.row_number().over(rarest))
         .withColumn("found", F.count("*").over(W.partitionBy("label")))
         .where((F.col("place") == 1) & (F.col("found") == F.col("wanted")))
         .select("label", "kind", "piece")
-        .join(matches, ["kind", "piece"])
-        .select("label", "word")
     )
+    # Words are listed for anchors only, once all pieces have been counted.
+    chosen = stored(chosen, "label-anchors")
+    long_anchors = chosen.join(_piece_words(chosen, vocabulary), ["kind", "piece"]).select("label", "word")
 
     # A label of one piece is all in one word, so it is in a text once that word is.
     single = cut.where(n == 1).select("label")
-    held = (
-        _grams(vocabulary)
-        .join(single.select("label", F.substr("label", F.lit(1), F.lit(_GRAM)).alias("gram")), "gram")
-        .where(F.contains("word", "label"))
-        .select("word", "label")
-        .distinct()
-    )
+    held = _labels_in_words(single, vocabulary)
     anchors = long_anchors.select("label", "word", F.lit(False).alias("settled")).unionByName(held.select("label", "word", F.lit(True).alias("settled")))
 
     near = balanced_join(words, stored(anchors, "anchors"), "word").groupBy("id", "label").agg(F.first("settled").alias("settled"))
