@@ -92,19 +92,32 @@ def same(value):
     return round(value, 6) if isinstance(value, float) else value
 
 
-# Queries of many small jobs, whose parts other queries compare; check.py compares these too. TETHER_ALL_QUERIES=1 runs all of them here.
+# Variants of whole linking runs, whose parts other queries compare; check.py compares these too. TETHER_ALL_QUERIES=1 runs all of them here.
 LONG = set() if os.environ.get("TETHER_ALL_QUERIES") else set(
-    "label_sets best_candidates candidates_with_abstract flatten_hits similarity_score_by_abstract best_candidate link_threshold links_tsv "
-    "linked_entities link_entities_by_type link_entities_with_lexicon typed_entities entity_types entity_mentions similar_words top_hits".split()
+    "similarity_score_by_abstract best_candidate link_threshold links_tsv link_entities_by_type link_entities_with_lexicon link_entities_streamed".split()
 )
 
 
+def once(fn):
+    """``fn`` of a session and a folder, run once for each further text."""
+    results = {}
+
+    @functools.wraps(fn)
+    def run(spark, sf_dir, *more):
+        key = tuple(x for x in more if isinstance(x, str))
+        if key not in results:
+            results[key] = fn(spark, sf_dir, *more)
+        return results[key]
+
+    return run
+
+
 @pytest.fixture(scope="module")
 def shared_inputs():
     """Inputs that many queries derive in the same way are derived once for all tests of this module."""
     patch = pytest.MonkeyPatch()
-    for name in ("_lemma_options", "_labels", "_knowledge"):
-        patch.setattr(wq, name, functools.cache(getattr(wq, name)))
+    for name in ("_lemma_options", "_labels", "_knowledge", "_mentions", "_nouns", "_chunks"):
+        patch.setattr(wq, name, once(getattr(wq, name)))
     yield
     patch.undo()
 

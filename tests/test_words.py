@@ -95,7 +95,7 @@ def test_typed_entities(table):
     docs = table([("1", "Bob met Big Red and Bob again"), ("2", "nobody")], "warc_id string, body string")
     gazetteer = table([("Bob", "PERSON"), ("Bob", "GPE"), ("Big Red", "ORGANIZATION"), ("Red", "GPE")], "name string, type string")
     found = typed(docs, gazetteer)
-    assert {(r.pos, r.at, r.entity, r.type) for r in found.collect()} == {
+    assert {(r.pos, r.word_at, r.entity, r.type) for r in found.collect()} == {
         (0, 0, "Bob", "PERSON"),
         (0, 0, "Bob", "GPE"),
         (1, 0, "Big Red", "ORGANIZATION"),
@@ -112,7 +112,7 @@ def test_names_inside_runs(table):
     docs = table([("1", "we met President Barack Obama"), ("2", "A B C D C D E")], "warc_id string, body string")
     names = ["Barack Obama", "Obama", "A B C", "B C D E", "C D", "C D E", "", " ", "D  E"]
     found = typed(docs, table([(n, "X") for n in names], "name string, type string"))
-    assert {(r.warc_id, r.at, r.entity) for r in found.collect()} == {("1", 1, "Barack Obama"), ("2", 0, "A B C"), ("2", 4, "C D E")}
+    assert {(r.warc_id, r.word_at, r.entity) for r in found.collect()} == {("1", 1, "Barack Obama"), ("2", 0, "A B C"), ("2", 4, "C D E")}
 
 
 def test_names_in_random_runs_equal_a_walk(table):
@@ -131,7 +131,7 @@ def test_names_in_random_runs_equal_a_walk(table):
                 at += max(longest, 1)
     rows = table(list(enumerate(chunks)), "warc_id int, chunks array<string>")
     found = m.typed_entities(rows, table([(n, "X") for n in names], "name string, type string"))
-    assert {(x.warc_id, x.pos, x.at, x.entity) for x in found.collect()} == want
+    assert {(x.warc_id, x.pos, x.word_at, x.entity) for x in found.collect()} == want
 
 
 def test_words_of_all_scripts(table):

@@ -153,22 +153,22 @@ def mention_counts(arrays: DataFrame) -> DataFrame:
 
 
 def typed_entities(chunks: DataFrame, gazetteer: DataFrame, types: list[str] | None = None) -> DataFrame:
-    """``(warc_id, pos, at, entity, type)``: names of ``gazetteer (name, type)`` in the proper-noun ``chunks (warc_id, chunks)``.
+    """``(warc_id, pos, word_at, entity, type)``: names of ``gazetteer (name, type)`` in the proper-noun ``chunks (warc_id, chunks)``.
 
     A chunk may hold several names, between other words: the leftmost ones, the longest from where they start, and none that begins inside
-    another. ``pos`` is the chunk's place in the record, ``at`` the name's first word in the chunk. ``types`` keeps the entities
+    another. ``pos`` is the chunk's place in the record, ``word_at`` the name's first word in the chunk. ``types`` keeps the entities
     of some types only; a name of another type still takes its words. Each distinct chunk is searched once, and ``chunks`` is read twice.
     """
     occurrences = exploded(chunks, ["warc_id"], "chunks", "chunk", "pos")
     named = gazetteer.select(F.col("name").alias("entity"), "type").distinct()
     found = chunk_entities(occurrences.select("chunk").distinct(), named.select("entity").distinct())
     typed = found.join(named if types is None else named.where(F.col("type").isin(types)), "entity")
-    return occurrences.join(typed, "chunk").select("warc_id", "pos", "at", "entity", "type")
+    return occurrences.join(typed, "chunk").select("warc_id", "pos", F.col("at").alias("word_at"), "entity", "type")
 
 
 def entity_types(entities: DataFrame) -> DataFrame:
     """``(warc_id, entity, type)``: one type per entity text, the last occurrence wins (the greater type where a name has several)."""
-    return entities.groupBy("warc_id", "entity").agg(F.max(F.struct("pos", "at", "type"))["type"].alias("type"))
+    return entities.groupBy("warc_id", "entity").agg(F.max(F.struct("pos", "word_at", "type"))["type"].alias("type"))
 
 
 def entity_mentions(entities: DataFrame, records: DataFrame) -> DataFrame:

@@ -533,7 +533,7 @@ ORACLES: dict[str, str] = {
         "uni_mentions",
     ),
     "typed_entities": build(
-        "SELECT warc_id, pos, off AS \"at\", entity, type FROM doc_entities JOIN gazetteer ON name = entity", "doc_entities", "gazetteer"
+        "SELECT warc_id, pos, off AS word_at, entity, type FROM doc_entities JOIN gazetteer ON name = entity", "doc_entities", "gazetteer"
     ),
     "entity_types": build(
         """SELECT warc_id, entity, last(type ORDER BY pos, off, type) AS type FROM doc_entities JOIN gazetteer ON name = entity
