@@ -232,11 +232,20 @@ def _near(first: np.ndarray, m: np.ndarray, second: np.ndarray, n: np.ndarray, m
     return edit_distances(*_without_ends(*turned, most), most) <= most
 
 
+def letter_bins(lines: list[str]) -> np.ndarray:
+    """``(lines, 32)``: how many code points of each line fall into each bin."""
+    sizes = np.fromiter(map(len, lines), dtype=np.int64, count=len(lines))
+    points = np.frombuffer("".join(lines).encode("utf-32-le", "surrogatepass"), dtype=np.uint32).astype(np.int64)
+    places = np.repeat(np.arange(len(lines)) * 32, sizes) + (points & 31)
+    return np.bincount(places, minlength=32 * len(lines)).reshape(-1, 32).astype(np.int32)
+
+
 def links_in_groups(table: pa.Table, starts: np.ndarray, edits: int, share: int | None = None, most_edits: int = MOST_EDITS) -> tuple[np.ndarray, np.ndarray]:
     """Rows of linked lines: ``(later, earlier)`` with the earliest such line for each later one and group."""
     ids, index, own, p, q = (table.column(c).to_numpy(zero_copy_only=False) for c in ("id", "index", "own", "p", "q"))
     lines = table.column("line").to_pylist()
     line_sizes = np.array([len(line) for line in lines], dtype=np.int64)
+    bins = letter_bins(lines)
     rank = np.asarray(table.column("rank").to_numpy())
     left, right = [], []
     later: list[np.ndarray] = []
@@ -252,6 +261,11 @@ def links_in_groups(table: pa.Table, starts: np.ndarray, edits: int, share: int
             _, once = np.unique(np.stack((np.minimum(ids[a], ids[b]), np.maximum(ids[a], ids[b]))), axis=1, return_index=True)
             once = once[(longer - shorter)[once] <= limit[once]]
             a, b, longer, limit = a[once], b[once], longer[once], limit[once]
+        # Each edit changes one letter of a bin on either side at most, so lines whose letters differ in more are not near. Most lines that
+        # meet under a short segment go here.
+        apart = bins[a] - bins[b]
+        alike = np.maximum(np.maximum(apart, 0).sum(axis=1), np.maximum(-apart, 0).sum(axis=1)) <= limit
+        a, b, longer, limit = a[alike], b[alike], longer[alike], limit[alike]
         # Pairs of like length together, so that short lines are not padded to long ones.
         order = np.lexsort((longer, limit))
         i = 0
