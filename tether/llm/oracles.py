@@ -65,15 +65,19 @@ FROM b
 """
 
 LINE_EDITS = f"greatest({line_dedup.EDITS}, least({line_dedup.MOST_EDITS}, least(a.n, b.n) // {line_dedup.SHARE}))"
-# Every line with why it goes, if it does.
+# Every line with why it goes, if it does. SQL's edit distance counts bytes, so each letter beyond ASCII, of which the tables have fewer than
+# 30, becomes a control character of its own before lines are compared.
 LINE_REASONS = f"""
 WITH l AS (
     SELECT doc_id, unnest(s) AS line, unnest(range(len(s))) AS pos FROM (SELECT doc_id, string_split(text, chr(10)) AS s FROM documents)
+), letters AS MATERIALIZED (
+    SELECT coalesce(string_agg(c, '' ORDER BY c), '') AS f, coalesce(string_agg(chr(CAST(CASE WHEN k < 9 THEN k ELSE k + 2 END AS INTEGER)), '' ORDER BY c), '') AS g
+    FROM (SELECT c, row_number() OVER (ORDER BY c) AS k FROM (SELECT DISTINCT unnest(regexp_extract_all(text, '[^\\x00-\\x7F]')) AS c FROM documents))
 ), d AS MATERIALIZED (
-    SELECT line, min(ROW(doc_id, pos)) AS first, length(line) AS n FROM l WHERE length(line) >= {line_dedup.MIN_CHARS} GROUP BY line
+    SELECT line, translate(line, (SELECT f FROM letters), (SELECT g FROM letters)) AS flat, min(ROW(doc_id, pos)) AS first, length(line) AS n FROM l WHERE length(line) >= {line_dedup.MIN_CHARS} GROUP BY line
 ), near AS (
     SELECT a.line, min(b.first) AS first FROM d a JOIN d b ON b.first < a.first AND b.n BETWEEN a.n - {line_dedup.MOST_EDITS} AND a.n + {line_dedup.MOST_EDITS}
-    WHERE abs(a.n - b.n) <= {LINE_EDITS} AND levenshtein(a.line, b.line) <= {LINE_EDITS} GROUP BY a.line
+    WHERE abs(a.n - b.n) <= {LINE_EDITS} AND levenshtein(a.flat, b.flat) <= {LINE_EDITS} GROUP BY a.line
 ), judged AS (
     SELECT l.doc_id, l.pos, CASE WHEN ROW(l.doc_id, l.pos) > d.first THEN 'exact' WHEN near.first IS NOT NULL THEN 'near' END AS reason
     FROM l LEFT JOIN d USING (line) LEFT JOIN near USING (line)
