@@ -2,6 +2,7 @@ import random
 from collections import Counter
 
 import numpy as np
+import pandas as pd
 import pytest
 import xxhash
 from pyspark.sql import functions as F
@@ -260,6 +261,30 @@ def brute_lines(rows, edits=2, min_chars=20, edit_chars=40):
     return out
 
 
+@pytest.mark.parametrize("held", [1, 40, 1 << 22])
+def test_shared_parts(spark, held):
+    """Parts of two lines with an owner, whether a bucket is settled once or many times on the way."""
+    draw = np.random.default_rng(6)
+    rows, tables = [], []
+    for _ in range(30):
+        part, own, ids = draw.integers(-40, 40, 25) << 57, draw.random(25) < 0.15, draw.integers(-9, 9, 25)
+        # One part that very many lines have.
+        part[:8], ids[:8] = 5 << 57, draw.integers(-1000, 1000, 8)
+        rows += zip(part.tolist(), ids.tolist(), own.tolist())
+        tables.append(line_dedup.in_buckets(part, own, ids, 8).to_pandas())
+    parts = spark.createDataFrame(pd.concat(tables), "bucket int, parts binary, ids binary").repartition(3)
+    found = line_dedup.shared_parts(parts, held).groupBy("part", "id").agg(F.max("index").alias("own")).collect()
+    got = {}
+    for r in found:
+        got.setdefault(r.part, {})[r.id] = r.own
+    want = {}
+    for part, line, own in rows:
+        want.setdefault(part, {})[line] = want.get(part, {}).get(line, False) or own
+    # Groups without an owner are left out by the join that follows.
+    got = {part: lines for part, lines in got.items() if any(lines.values())}
+    assert got == {part: lines for part, lines in want.items() if len(lines) > 1 and any(lines.values())}
+
+
 def line_documents(seed=4):
     draw = random.Random(seed)
     lines = [" ".join(draw.choices(WORDS, k=draw.randint(1, 14))) for _ in range(30)]

@@ -28,8 +28,11 @@ def dealt_in_blocks(rows: DataFrame, by: list[str], member: str, block: int, als
     return cut.select(*rows.columns, "own", F.explode(pairs).alias("pair")).select(*rows.columns, "own", "pair.p", "pair.q")
 
 
-def map_groups(rows: DataFrame, by: list[str], work: Callable[[pa.Table, np.ndarray], dict[str, np.ndarray]], schema: str) -> DataFrame:
-    """``work`` gets whole groups, many at once, ordered by the whole numbers ``by``, with the row each group starts at."""
+def map_groups(rows: DataFrame, by: list[str], work: Callable[[pa.Table, np.ndarray], dict[str, np.ndarray]], schema: str, at_once: int = 0) -> DataFrame:
+    """``work`` gets whole groups, many at once, ordered by the whole numbers ``by``, with the row each group starts at.
+
+    It is called when ``at_once`` bytes of rows have come, or after each batch.
+    """
 
     def starts(table: pa.Table) -> np.ndarray:
         columns = [table.column(c).to_numpy() for c in by]
@@ -44,6 +47,9 @@ def map_groups(rows: DataFrame, by: list[str], work: Callable[[pa.Table, np.ndar
         for batch in batches:
             table = pa.Table.from_batches([batch])
             table = table if held is None else pa.concat_tables([held, table])
+            if table.nbytes < at_once:
+                held = table
+                continue
             at = starts(table)
             held = table.slice(at[-1]) if len(at) else None
             if len(at) > 1:

@@ -37,7 +37,13 @@ CLASS_GROWTH = 1.25
 # Lines under one segment compared in one task: two blocks at most.
 BLOCK = 512
 PAIRS_AT_ONCE = 1 << 16
+# Lines verified in one call, in bytes: many pairs side by side cost little more than few.
+LINES_AT_ONCE = 4 << 20
 SLICE_BYTES = 1 << 20
+# Text whose parts go to one bucket; the number of buckets follows from all of it. Bounds on its bits.
+BUCKET_TEXT, BUCKET_BITS = 16 << 20, (8, 24)
+# Parts of one bucket held before those that can only be shared are let go.
+HELD_PARTS = 1 << 22
 # Pairs verified side by side, and code points they may be padded to together.
 PAIRS_TOGETHER, CHARS_TOGETHER = 2048, 1 << 21
 TOP = np.uint64(1 << 63)
@@ -153,7 +159,7 @@ def edit_distances(first: np.ndarray, first_sizes: np.ndarray, second: np.ndarra
     """Edit distance of each pair of rows of code points, ``most + 1`` where it is more than ``most``.
 
     One 64-bit word a pair holds the vertical differences of one column inside the band of ``most`` places around the diagonal; the top
-    bit is the band's lowest row. Up to the last ``most`` columns the band slides down, then its lowest row is walked to the corner. Pairs
+    bit is the band's lowest row, and places outside a row hold -1, which no letter equals. Up to the last ``most`` columns the band slides down, then its lowest row is walked to the corner. Pairs
     that can no longer come back under ``most`` are left out on the way. Needs ``most < 32``, and first sizes of at least ``most``.
     """
     n = len(first)
@@ -162,7 +168,9 @@ def edit_distances(first: np.ndarray, first_sizes: np.ndarray, second: np.ndarra
     up = np.full(len(active), ~np.uint64(0) << np.uint64(63 - most), dtype=np.uint64)
     down = np.zeros(len(active), dtype=np.uint64)
     score = np.full(len(active), most, dtype=np.int64)
-    height = first.shape[1]
+    band = 2 * most + 1
+    padded = np.full((n, first.shape[1] + 3 * most + 1), -1, dtype=np.int32)
+    padded[:, most : most + first.shape[1]] = first
     column = 0
     while len(active):
         letter = second[active, column] if column < second.shape[1] else None
@@ -174,12 +182,10 @@ def edit_distances(first: np.ndarray, first_sizes: np.ndarray, second: np.ndarra
             if not len(active):
                 break
             letter = letter[running]
-        equal = np.zeros(len(active), dtype=np.uint64)
-        for k in range(2 * most + 1):
-            row = column + most - k
-            if 0 <= row < height:
-                same = (first[active, row] == letter) & (row < first_sizes[active])
-                equal |= np.where(same, TOP >> np.uint64(k), np.uint64(0))
+        bits = np.packbits(padded[active, column : column + band] == letter[:, None], axis=1, bitorder="little")
+        word = np.zeros((len(active), 8), dtype=np.uint8)
+        word[:, : bits.shape[1]] = bits
+        equal = word.view("<u8")[:, 0] << np.uint64(63 - 2 * most)
         diagonal = (((equal & up) + up) ^ up) | equal | down
         right_up = down | ~(diagonal | up)
         right_down = diagonal & up
@@ -313,8 +319,23 @@ def links_in_groups(table: pa.Table, starts: np.ndarray, edits: int, share: int
     return x[first], y[first]
 
 
-def parts_of(docs: DataFrame, edits: int, edit_chars: int, text: str, share: int | None = None, most: int = MOST_EDITS) -> DataFrame:
-    """``(part, id, index)`` of the lines of all texts, see ``segment_keys`` and ``class_keys``; ``id`` is the first half of a line's digest."""
+def in_buckets(part: np.ndarray, own: np.ndarray, ids: np.ndarray, bits: int) -> pa.RecordBatch:
+    """``(bucket, parts, ids)``: all parts that begin with the same ``bits`` bits, and their lines' ids, as one row of packed numbers.
+
+    A part's lowest bit makes room for ``own``.
+    """
+    keys = (part.view(np.uint64) & ~ONE) | own.astype(np.uint64)
+    bucket = (keys >> np.uint64(64 - bits)).astype(np.uint32)
+    order = np.argsort(bucket, kind="stable")
+    bucket = bucket[order]
+    first = np.flatnonzero(np.append(True, bucket[1:] != bucket[:-1]))
+    offsets = pa.py_buffer((np.append(first, len(bucket)) * 8).astype(np.int32))
+    packed = [pa.Array.from_buffers(pa.binary(), len(first), [None, offsets, pa.py_buffer(column[order])]) for column in (keys, ids)]
+    return pa.RecordBatch.from_arrays([pa.array(bucket[first].astype(np.int32)), *packed], names=["bucket", "parts", "ids"])
+
+
+def parts_of(docs: DataFrame, edits: int, edit_chars: int, text: str, bits: int, share: int | None = None, most: int = MOST_EDITS) -> DataFrame:
+    """Parts of the lines of all texts, see ``segment_keys``, ``class_keys`` and ``in_buckets``; a line's id is the first half of its digest."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -322,11 +343,89 @@ def parts_of(docs: DataFrame, edits: int, edit_chars: int, text: str, share: int
             for a, b in slices(pc.binary_length(column).to_pylist(), SLICE_BYTES):
                 lines = list({line for whole in column.slice(a, b - a).to_pylist() for line in whole.split("\n") if len(line) >= edit_chars})
                 if lines:
-                    part, line, index = segment_keys(lines, edits, edit_chars) if share is None else class_keys(lines, edits, edit_chars, share, most)
+                    part, line, own = segment_keys(lines, edits, edit_chars) if share is None else class_keys(lines, edits, edit_chars, share, most)
                     ids = np.array([xxhash.xxh64_intdigest(x.encode(), 42) for x in lines], dtype=np.uint64).view(np.int64)
-                    yield pa.RecordBatch.from_pydict({"part": pa.array(part), "id": pa.array(ids[line]), "index": pa.array(index)})
+                    if len(part):
+                        yield in_buckets(part, own, ids[line], bits)
+
+    return docs.where(F.col(text).isNotNull()).select(text).mapInArrow(run, "bucket int, parts binary, ids binary")
+
+
+def settled(keys: np.ndarray, ids: np.ndarray, last: bool) -> tuple[dict[str, np.ndarray], np.ndarray, np.ndarray]:
+    """Rows ``(part, id, index)`` of the parts that two lines have, one of them as its own, and what to hold on to of ``keys`` and ``ids``.
 
-    return docs.where(F.col(text).isNotNull()).select(text).mapInArrow(run, "part long, id long, index boolean")
+    Before the ``last`` call an owner may still come, so parts of two lines without one are given as well, and of each part the rows with its
+    smallest and largest id and its last owner are held, so that lines which come later are known to share it.
+    """
+    order = np.argsort(keys)
+    keys, ids = keys[order], ids[order]
+    part = keys >> ONE
+    same = part[1:] == part[:-1]
+    # Most parts stand once.
+    twice = np.append(False, same) | np.append(same, False)
+    alone = ~twice
+    some, those = keys[twice], ids[twice]
+    order = np.lexsort((some & ONE, those, some >> ONE))
+    some, those = some[order], those[order]
+    part = some >> ONE
+    # A line that has a part as its own and as a probe, or stands in several slices, counts once, as its owner.
+    ends = np.append((part[1:] != part[:-1]) | (those[1:] != those[:-1]), True) if len(part) else np.zeros(0, dtype=bool)
+    some, those, part = some[ends], those[ends], part[ends]
+    begins = np.flatnonzero(np.append(True, part[1:] != part[:-1])) if len(part) else np.zeros(0, dtype=np.int64)
+    sizes = np.diff(np.append(begins, len(part)))
+    owned = np.where(some & ONE, np.arange(len(part)), -1)
+    owner = np.maximum.reduceat(owned, begins) if len(part) else owned
+    out = np.repeat((sizes > 1) & ((owner >= 0) | (not last)), sizes)
+    rows = {"part": (some[out] & ~ONE).view(np.int64), "id": those[out], "index": (some[out] & ONE).astype(bool)}
+    if last:
+        return rows, keys[:0], ids[:0]
+    kept = np.unique(np.concatenate((begins, begins + sizes - 1, owner[owner >= 0])))
+    return rows, np.concatenate((keys[alone], some[kept])), np.concatenate((ids[alone], those[kept]))
+
+
+def shared_parts(parts: DataFrame, most_held: int = HELD_PARTS) -> DataFrame:
+    """``(part, id, index)`` of the parts under which lines meet; a row may come again.
+
+    Of a bucket with more than ``most_held`` parts, those that several lines have are let go of before its end, so what a task holds grows
+    with the different parts of a bucket, not with the lines under one of them.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        here, keys, ids, held, limit = None, [], [], 0, most_held
+
+        def settle(last: bool) -> Iterator[pa.RecordBatch]:
+            nonlocal keys, ids, held, limit
+            if keys:
+                rows, *rest = settled(np.concatenate(keys), np.concatenate(ids), last)
+                keys, ids = [rest[0]], [rest[1]]
+                held = len(rest[0])
+                limit = max(most_held, 2 * held)
+                if len(rows["part"]):
+                    yield pa.RecordBatch.from_pydict({k: pa.array(v) for k, v in rows.items()})
+
+        for batch in batches:
+            bucket = batch.column("bucket").to_numpy()
+            changes = np.flatnonzero(bucket[1:] != bucket[:-1]) + 1
+            for a, b in zip(np.append(0, changes), np.append(changes, len(bucket))):
+                if a == b:
+                    continue
+                if bucket[a] != here:
+                    yield from settle(True)
+                    here, keys, ids, held, limit = bucket[a], [], [], 0, most_held
+                for column, into, kind in (("parts", keys, np.uint64), ("ids", ids, np.int64)):
+                    into.append(np.frombuffer(b"".join(batch.column(column).slice(a, b - a).to_pylist()), dtype=kind))
+                held += len(keys[-1])
+                if held > limit:
+                    yield from settle(False)
+        yield from settle(True)
+
+    return parts.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(run, "part long, id long, index boolean")
+
+
+def bucket_bits(docs: DataFrame, text: str) -> int:
+    """Bits of a bucket's number for all of ``docs``."""
+    size = docs.agg(F.sum(F.octet_length(text))).first()[0] or 0
+    return int(np.clip(int(size // BUCKET_TEXT).bit_length(), *BUCKET_BITS))
 
 
 def sent_if_few(keys: DataFrame) -> DataFrame:
@@ -336,15 +435,9 @@ def sent_if_few(keys: DataFrame) -> DataFrame:
 
 def near_lines(docs: DataFrame, edits: int, edit_chars: int, key: str, text: str, share: int | None = None, most: int = MOST_EDITS) -> DataFrame:
     """``(h1, h2, first, near)``: lines linked with an earlier one, where they and the earliest such line first stand."""
-    parts = parts_of(docs, edits, edit_chars, text, share, most)
-    # Lines meet under a part that two different ones have, one of them as its own segment. The lowest bit of a line's id makes room for
-    # that, so a row to shuffle is two numbers; adding up before the shuffle would make it four, and few parts stand twice in a task.
-    own = F.col("index").cast("long")
-    marks = parts.select("part", F.shiftleft(F.shiftright("id", 1), 1).bitwiseOR(own).alias("mark")).repartition("part")
-    line = F.shiftright("mark", 1)
-    marks = marks.groupBy("part").agg(F.min(line).alias("a"), F.max(line).alias("b"), F.max(F.col("mark").bitwiseAND(1)).alias("own"))
-    shared = stored(marks.where("a <> b and own = 1").select("part"), "shared-parts")
-    meeting = stored(parts.join(sent_if_few(shared), "part").groupBy("part", "id").agg(F.max("index").alias("index")), "meeting-lines")
+    # Parts move in buckets of packed numbers, and only those under which lines meet become rows.
+    parts = shared_parts(parts_of(docs, edits, edit_chars, text, bucket_bits(docs, text), share, most))
+    meeting = stored(parts.groupBy("part", "id").agg(F.max("index").alias("index")), "meeting-lines")
     wanted = stored(meeting.select("id").distinct(), "wanted-lines")
     lines = lines_of(docs, key, text).where(F.length("line") >= edit_chars).select("key", "pos", "line", *_digest(F.col("line")))
     lines = lines.join(sent_if_few(wanted), F.col("h1") == F.col("id"))
@@ -367,7 +460,7 @@ def near_lines(docs: DataFrame, edits: int, edit_chars: int, key: str, text: str
             "near_pos": places.take(pa.array(earlier)),
         }
 
-    links = map_groups(met, ["part", "p", "q"], work, f"id long, near_key {key_type}, near_pos int")
+    links = map_groups(met, ["part", "p", "q"], work, f"id long, near_key {key_type}, near_pos int", LINES_AT_ONCE)
     near = links.groupBy("id").agg(F.min(F.struct(F.col("near_key").alias("key"), F.col("near_pos").alias("pos"))).alias("near"))
     return lines.join(near, "id").select(F.col("id").alias("h1"), "h2", "first", "near")
 
