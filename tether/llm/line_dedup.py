@@ -123,9 +123,10 @@ def class_bounds(longest: int, edits: int, edit_chars: int, share: int, most: in
 def class_keys(lines: list[str], edits: int, edit_chars: int, share: int, limit: int = MOST_EDITS) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """As ``segment_keys``, with edits that grow: ``(part, line, index)``.
 
-    The first characters of a class's lines, as many as its shortest line has, are cut into one segment more than it has edits. For some i,
-    segment i is whole, i edits lie before it and the rest after it. So it stands in the longer line at most i places before and after its
-    own, and no more than the rest before it, as the longer line does not end earlier.
+    As many characters of a class's lines as its shortest line has are cut into one segment more than it has edits: the first half of the
+    segments from the line's beginning on, the others up to its end. For some i, segment i is whole, i edits lie before it and at most the
+    rest of the edits after it. So in the other line it stands at most i places from its own, counted from the beginning, and at most the
+    rest, counted from the end.
     """
     sizes = np.fromiter(map(len, lines), dtype=np.int64, count=len(lines))
     starts = np.cumsum(sizes) - sizes
@@ -142,11 +143,13 @@ def class_keys(lines: list[str], edits: int, edit_chars: int, share: int, limit:
         if not len(usable):
             continue
         cuts = low * np.arange(most + 2) // (most + 1)
-        segment, shift = np.array([(i, d) for i in range(most + 1) for d in range(max(-i, i - most), i + 1)]).T
-        at, width = cuts[segment] + shift, np.diff(cuts)[segment]
+        segment, shift = np.array([(i, d) for i in range(most + 1) for d in range(-min(i, most - i), min(i, most - i) + 1)]).T
+        width = np.diff(cuts)[segment]
+        at = cuts[segment] + shift + np.where(2 * segment > most, sizes[usable][:, None] - low, 0)
         which, probe = np.nonzero((at >= 0) & (at + width <= sizes[usable][:, None]))
-        begin = starts[usable][which] + at[probe]
-        hashed = (sums[begin + width[probe]] - sums[begin]) * back[at[probe]]
+        at = at[which, probe]
+        begin = starts[usable][which] + at
+        hashed = (sums[begin + width[probe]] - sums[begin]) * back[at]
         found.append(_mixed(_mixed(hashed) + (low * 64 + segment[probe]).astype(np.uint64)).view(np.int64))
         line.append(usable[which])
         own.append((shift[probe] == 0) & (sizes[usable][which] < high))
