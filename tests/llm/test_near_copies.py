@@ -347,7 +347,7 @@ def brute_growing(rows, limit):
     return {(*first[a], *earliest) for a, earliest in near.items()}
 
 
-@pytest.mark.parametrize(("block", "most"), [(512, 15), (3, 15), (512, 5)])
+@pytest.mark.parametrize(("block", "most"), [(512, 15), (3, 15), (512, 7)])
 def test_edits_grow_with_the_line(spark, monkeypatch, block, most):
     """Long lines with changed words and lines of 20 to 39 characters, against brute force."""
     monkeypatch.setattr(line_dedup, "BLOCK", block)

@@ -27,9 +27,9 @@ from tether.llm.texts import free_name, slices
 from tether.session import stored
 
 EDITS, MIN_CHARS, EDIT_CHARS = 2, 20, 40
-# Characters for each edit where edits grow with the line, and the edits that no line goes beyond: it has 100 characters then. What a line
+# Characters for each edit where edits grow with the line, and the edits that no line goes beyond: it has 140 characters then. What a line
 # probes grows with the square of its edits. The edit distance allows for up to 31.
-SHARE, MOST_EDITS = 20, 5
+SHARE, MOST_EDITS = 20, 7
 # As the queries use it: edits that grow, from the shortest lines on that are compared at all.
 GROWING = {"edit_chars": MIN_CHARS, "share": SHARE}
 # Lines of one length class are cut alike; a class ends where the edits grow, or at so many times its first length.
