@@ -2,9 +2,11 @@ import random
 
 import pytest
 from brute import lemma
+from pyspark.sql import functions as F
 
 from tether.operators import lemmas as lemma_module
 from tether.operators import mentions as m
+from tether.operators import rows
 from tether.operators.lemmas import NOUN_ENDINGS, capitals_decide, lemmas
 from tether.session import stored
 
@@ -86,3 +88,32 @@ def test_words_beside_the_changed_ones_stay(table):
     docs = table([("1", "Two Dogs of Mr Dogs-Wolves 4FDogs, Dogs"), ("2", "no names")], "warc_id string, body string")
     got = {r.warc_id: r.mentions for r in m.text_mention_arrays(docs, None, table([("Dog",)], "word string")).collect()}
     assert got == {"1": ["Two", "Dog", "DogsWolves", "Dog", "Dog", "Two Dog", "Mr DogsWolves Dog Dog"], "2": []}
+
+
+def test_only_tokens_that_may_change_are_asked(table, monkeypatch):
+    """With irregular words too, other tokens never leave their text."""
+    docs = table([("1", "Two geese\x0band dogs's 4Fdogs saw (aurae) men"), ("2", "none")], "warc_id string, body string")
+    lexicon = table([("dog",), ("man",), ("aura",), ("goose",)], "word string")
+    odd = table([("aurae", "aura"), ("geese", "goose"), ("geese", "goose"), (None, "x")], "word string, form string")
+    asked = []
+
+    def kept(df, name):
+        out = stored(df, name)
+        if name == "words-asked":
+            asked.extend(w for r in out.collect() for w in r.words)
+        return out
+
+    monkeypatch.setattr(m, "stored", kept)
+    got = {r.warc_id: r.words for r in m.word_arrays(docs, lexicon, odd).collect()}
+    assert got == {"1": ["Two", "goose", "and", "dog", "s", "dog", "saw", "aura", "man"], "2": ["none"]}
+    assert sorted(asked) == ["'s", "aurae", "dogs", "geese", "men"]
+
+
+def test_words_are_looked_up_in_a_share_of_the_map(table):
+    pairs = table([("1", f"w{i}", f"v{i}") for i in range(2000)] * 2 + [("2", "a", "b")], "warc_id string, word string, new string")
+    maps = rows.word_maps(pairs, "word", "new", "swaps")
+    asked = table([("1", ["w7", "w1999", "x"]), ("2", ["a", "w7"]), ("3", ["a"])], "warc_id string, words array<string>").join(maps, "warc_id", "left")
+    largest = F.array_max(F.transform("swaps", lambda s: F.coalesce(F.size(s), F.lit(0))))
+    got = asked.select("warc_id", F.transform("words", lambda w: rows.looked_up("swaps", w)).alias("found"), largest.alias("n")).collect()
+    assert {r.warc_id: r.found for r in got} == {"1": ["v7", "v1999", None], "2": ["b", None], "3": [None]}
+    assert next(r.n for r in got if r.warc_id == "1") < 100
