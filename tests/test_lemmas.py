@@ -117,3 +117,26 @@ def test_words_are_looked_up_in_a_share_of_the_map(table):
     got = asked.select("warc_id", F.transform("words", lambda w: rows.looked_up("swaps", w)).alias("found"), largest.alias("n")).collect()
     assert {r.warc_id: r.found for r in got} == {"1": ["v7", "v1999", None], "2": ["b", None], "3": [None]}
     assert next(r.n for r in got if r.warc_id == "1") < 100
+
+
+def test_text_is_cut_down_to_names_once(spark, tmp_path, table, monkeypatch):
+    """Texts are read by one job, and what later ones read holds names and gaps only."""
+    path = str(tmp_path / "docs")
+    text = "small words " * 40 + "Two Dogs 1 Dogs, 9a (of) " + "more small words " * 40
+    table([("1", text), ("2", None), ("3", "")], "warc_id string, body string").write.parquet(path)
+    plans, left = [], []
+
+    def kept(df, name):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        out = stored(df, name)
+        if name == "names":
+            left.extend(r.body for r in out.collect())
+        return out
+
+    for module in (m, lemma_module):
+        monkeypatch.setattr(module, "stored", kept)
+    found = m.text_mention_arrays(spark.read.parquet(path), None, table([("Dog",)], "word string"))
+    plans.append(found._jdf.queryExecution().executedPlan().toString())
+    assert sum(f"{path}]" in p for p in plans) == 1
+    assert sorted(x.strip() for x in left if x) == ["x Two Dogs 1 Dogs, x"]
+    assert {r.warc_id: r.mentions for r in found.collect()} == {"1": ["Two", "Dog", "Dog", "Two Dog Dog"], "2": None, "3": []}

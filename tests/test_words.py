@@ -147,3 +147,18 @@ def test_unicode_words_equal_cleaning_each_token(table):
     each = fw.nonempty(F.transform(fw.tokens(F.col("t")), lambda w: fw.clean(fw.strip_hex(w), True)))
     for r in df.select(fw.clean_words(F.col("t"), True).alias("whole"), each.alias("each")).collect():
         assert r.whole == r.each
+
+
+def test_names_are_found_in_what_is_left_of_a_text(table):
+    """Also over tokens without letters, other scripts, and stretches of any length."""
+    long = "A " + "small 1a (9) " * 200_000 + "Foo Bar"
+    more = ["\xe9Foo Bar \xe9a Z", "4Fa Foo 4FA Bar", "1 2A 3 Foo", "a1 Foo 1 2 Bar 3 b", "Foo\x0bx\x0bBar", "x", " x Foo", "Foo -- 'S Bar", "11AB Foo 1\U0001f600b"]
+    df = table([(t,) for t in EDGES + more + [long] + random_texts()], "t string")
+    left = fw.only_letters(fw.name_text(fw.ready_text(F.col("t"))))
+    whole = fw.clean_text(F.col("t"))
+    rows = df.select(
+        "t", fw.rule_mentions(left).alias("a"), fw.rule_mentions(whole).alias("b"), fw.rule_chunks(left).alias("c"), fw.rule_chunks(whole).alias("d"), F.length(left).alias("n")
+    ).collect()
+    for r in rows:
+        assert (r.a, r.c) == (r.b, r.d), r.t[:200]
+    assert min(r.n for r in rows if len(r.t) > 1000) < 1000
