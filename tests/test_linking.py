@@ -8,8 +8,10 @@ from pyspark.sql import functions as F
 from __spark_entry__ import entry
 from tether.functions import keys
 from tether.operators import dictionary, search
+from tether.operators import mentions as m
 from tether.operators.mentions import mention_counts
 from tether.operators.rows import keyed
+from tether.plans import linking
 from tether.plans.documents import document_mentions, record_mentions
 from tether.plans.linking import best_links, link_entities
 from tether.session import shared_dir
@@ -189,3 +191,28 @@ def test_records_that_share_an_id_are_scored_alone(tiny, table):
 def test_tied_hits_keep_the_order_of_the_response(table):
     hits = table([("m", 0, "b", "x", 1.0), ("m", 1, "a", "y", 1.0), ("m", 2, "c", "z", 2.0)], "mention string, pos int, kb_id string, label string, search_score double")
     assert [r.kb_id for r in search.top_hits(hits, 2).orderBy("rank").collect()] == ["c", "b"]
+
+
+def test_candidates_are_scored_without_their_mentions(tiny):
+    docs, labels, triples = tiny
+    counts = mention_counts(record_mentions(keyed(docs)))
+    scored = linking.scored_candidates(counts, labels, triples).select("warc_id.id", "kb_id", "score").distinct()
+    assert collected(linking.record_scores(counts, labels, triples).select("warc_id.id", "kb_id", "score")) == collected(scored)
+
+
+@pytest.mark.parametrize("name", ["link_entities_from_responses", "link_entities_with_lexicon"])
+def test_texts_become_mentions_once(spark, monkeypatch, name):
+    """Stored answers and a learned lexicon need the mentions or words of all texts before links do; texts are not cleaned again for those."""
+    made = []
+
+    def counted(function):
+        def call(docs, *args, **options):
+            made.append("body" in docs.columns and any("documents.parquet" in f for f in docs.inputFiles()))
+            return function(docs, *args, **options)
+
+        return call
+
+    monkeypatch.setattr(m, "word_arrays", counted(m.word_arrays))
+    monkeypatch.setattr(m, "text_mention_arrays", counted(m.text_mention_arrays))
+    assert REGISTRY[name](spark, SF).columns == ["warc_id", "mention", "kb_id"]
+    assert sum(made) == 1

@@ -6,6 +6,8 @@ import pytest
 
 from tether.operators import scoring
 from tether.operators.evaluation import link_eval
+from tether.operators.similarity import similar_words
+from tether.session import stored
 
 
 def bag_rows(bags):
@@ -82,3 +84,15 @@ def test_evaluation(table):
         gold = table([(str(i), "m", "k") for i in range(n_gold)], schema)
         links = table([(str(i) if i < n_correct else f"x{i}", "m", "k") for i in range(n_linked)], schema)
         assert list(link_eval(links, gold).first())[3:] == pytest.approx(ratios)
+
+
+def test_least_score_equals_a_filter_and_pairs_are_read_once(table, bags):
+    pairs, counts, nouns, _ = make(table, bags)
+    pairs, similar = stored(pairs, "pairs"), stored(similar_words(counts.select("mention"), nouns.select("mention")), "similar")
+    for normalize in ("document", "abstract"):
+        whole = scoring.similarity_scores(pairs, counts, nouns, normalize=normalize, similar=similar).collect()
+        got = scoring.similarity_scores(pairs, counts, nouns, normalize=normalize, similar=similar, min_score=0.2)
+        want = sorted(tuple(r) for r in whole if r.score >= 0.2)
+        assert sorted(map(tuple, got.collect())) == want and 0 < len(want) < len(whole)
+        plan = got._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("ReadSchema: struct<warc_id:string,kb_id:string") == 1
